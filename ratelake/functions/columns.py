@@ -24,8 +24,13 @@ def currency_code(c: Column | str) -> Column:
 
 
 def rate_text(c: Column, places: int = 4) -> Column:
-    """A double rounded and written in plain notation, at least one decimal, no trailing zeros."""
-    fixed = F.round(c, places).cast(f"decimal(38,{places})").cast("string")
+    """A double rounded and written in plain notation, at least one decimal, no trailing zeros.
+
+    Rounding is done on the scaled double, not on its decimal text, so 24.71185 (stored slightly
+    below) becomes 24.7118.
+    """
+    scale = float(10**places)
+    fixed = (F.round(c * scale) / scale).cast(f"decimal(38,{places})").cast("string")
     return F.regexp_replace(fixed, r"(\.\d+?)0+$", "$1")
 
 

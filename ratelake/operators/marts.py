@@ -274,8 +274,8 @@ def health_metrics(
 ) -> DataFrame:
     """One row on freshness, volume, validation and flagged share of the newest date.
 
-    The fact is reduced to one row per (date, currency) before anything global is computed; the
-    flagged statistics come from a scalar subquery, so no rows are joined.
+    The fact is read once: it is reduced to (date, currency), then grouped by date and by currency
+    in one pass.  The flagged statistics are one row per date and meet the summary on the date.
     """
     now = as_of if isinstance(as_of, Column) else F.lit(as_of)
     per_key = fact.groupBy("rate_date", "target_currency").agg(
@@ -284,34 +284,37 @@ def health_metrics(
         F.count_if(F.col("severity") == "WARNING").alias("warn"),
         F.max("extraction_timestamp").alias("ts"),
     )
-    per_date = per_key.groupBy("rate_date").agg(
+    by_date_and_currency = per_key.groupingSets(
+        [["rate_date"], ["target_currency"]], "rate_date", "target_currency"
+    ).agg(
         F.sum("n").alias("n"), F.sum("ok").alias("ok"), F.sum("warn").alias("warn"),
-        F.max("ts").alias("ts"),
+        F.max("ts").alias("ts"), F.grouping("rate_date").alias("is_currency"),
+    )
+    is_date = F.col("is_currency") == 0
+
+    def on_newest(column: str) -> Column:
+        return F.coalesce(F.max_by(F.when(is_date, F.col(column)), "rate_date"), F.lit(0))
+
+    summary = by_date_and_currency.agg(
+        F.max("ts").alias("last_extraction"),
+        F.max("rate_date").alias("last_rate_date"),
+        F.count_if(~is_date & F.col("target_currency").isNotNull()).alias("currency_count"),
+        F.coalesce(F.sum(F.when(is_date, F.col("n"))), F.lit(0)).alias("total_records"),
+        on_newest("n").alias("validated_count"),
+        on_newest("ok").alias("ok_count"),
+        on_newest("warn").alias("warning_count"),
     )
-    currencies = fact.agg(F.count_distinct("target_currency")).scalar()
     flagged = (
-        consensus.where(
-            (F.col("status") == "FLAGGED") & (F.col("rate_date") == newest_date(fact))
-        )
+        consensus.where(F.col("status") == "FLAGGED")
+        .groupBy(F.col("rate_date").alias("last_rate_date"))
         .agg(
-            F.struct(
-                F.count(F.lit(1)).alias("flagged_count"),
-                F.avg(first_dev).alias("avg_variance"),
-                F.max(first_dev).alias("max_variance"),
-            )
+            F.count(F.lit(1)).alias("flagged_count"),
+            F.avg(first_dev).alias("avg_variance"),
+            F.max(first_dev).alias("max_variance"),
         )
-        .scalar()
     )
-    summary = per_date.agg(
-        F.max("ts").alias("last_extraction"),
-        F.max("rate_date").alias("last_rate_date"),
-        F.coalesce(F.sum("n"), F.lit(0)).alias("total_records"),
-        F.coalesce(F.max_by("n", "rate_date"), F.lit(0)).alias("validated_count"),
-        F.coalesce(F.max_by("ok", "rate_date"), F.lit(0)).alias("ok_count"),
-        F.coalesce(F.max_by("warn", "rate_date"), F.lit(0)).alias("warning_count"),
-    ).withColumns({"currency_count": currencies, "_flagged": flagged})
     days = F.datediff(now.cast("date"), F.col("last_rate_date")).cast("bigint")
-    flags = F.coalesce(F.col("_flagged.flagged_count"), F.lit(0))
+    flags = F.coalesce(F.col("flagged_count"), F.lit(0))
     status = (
         F.when(days > 2, "STALE")
         .when(flags > 5, "DEGRADED")
@@ -320,7 +323,7 @@ def health_metrics(
     )
     if no_data_status:
         status = F.when(F.col("total_records") == 0, "NO_DATA").otherwise(status)
-    return summary.select(
+    return summary.join(flagged, "last_rate_date", "left").select(
         "last_extraction",
         "last_rate_date",
         hours_between(F.col("last_extraction"), now).alias("hours_since_extraction"),
@@ -334,7 +337,7 @@ def health_metrics(
             F.try_divide(F.col("ok_count").cast("double"), F.col("validated_count")), 4
         ).alias("ok_rate"),
         flags.alias("flagged_count"),
-        F.col("_flagged.avg_variance").alias("avg_variance"),
-        F.col("_flagged.max_variance").alias("max_variance"),
+        "avg_variance",
+        "max_variance",
         status.alias("pipeline_status"),
     )

@@ -60,27 +60,41 @@ def chain_starts(
         threshold = starts[-1] + length
 
 
-def cycle_starts(calls: DataFrame, length_seconds: int) -> DataFrame:
-    """One row per source with the sorted array of its cycle starts (epoch seconds)."""
+def cycle_starts(
+    calls: DataFrame, length_seconds: int, previous: DataFrame | None = None
+) -> DataFrame:
+    """One row per source with the sorted array of its cycle starts (epoch seconds).
 
-    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("bucket")
-        starts = chain_starts(pdf["bucket"].to_numpy(), list(pdf["bits"]), length_seconds)
-        return pd.DataFrame({"api_source": [pdf["api_source"].iloc[0]], "starts": [starts]})
+    ``previous`` holds the starts found so far, in the same shape; the chain goes on from the
+    expiry of the last one.
+    """
+    shape = "api_source string, starts array<bigint>"
+    if previous is None:
+        previous = calls.sparkSession.createDataFrame([], shape)
+
+    def chain(key: tuple, busy: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        starts = [int(s) for s in known["starts"].iloc[0]] if len(known) else []
+        busy = busy.sort_values("bucket")
+        if len(busy):
+            resume = starts[-1] + length_seconds if starts else None
+            starts += chain_starts(
+                busy["bucket"].to_numpy(), list(busy["bits"]), length_seconds, resume
+            )
+        return pd.DataFrame({"api_source": [key[0]], "starts": [starts]})
 
-    return busy_seconds(calls).groupBy("api_source").applyInPandas(
-        chain, "api_source string, starts array<bigint>"
-    )
+    by_source = busy_seconds(calls).groupBy("api_source")
+    return by_source.cogroup(previous.groupBy("api_source")).applyInPandas(chain, shape)
 
 
-def assign_cycles(calls: DataFrame, length_seconds: int) -> DataFrame:
-    """Requests per (api_source, cycle_start); every call counts, failed ones too.
+def count_calls(calls: DataFrame, starts: DataFrame) -> DataFrame:
+    """Calls per (api_source, start_sec).
 
     The starts are one row per source.  Their number is counted before they are broadcast; with
     more sources than the bound, calls are first reduced to one row per source and second and
-    joined on the source, where adaptive execution splits a source that is too large.
+    joined on the source, where adaptive execution splits a source that is too large.  A call that
+    is older than the first known start counts for the first cycle.
     """
-    starts = cycle_starts(calls, length_seconds).persist()
+    starts = starts.persist()
     per_call = calls.select(
         "api_source", epoch_second(F.col("called_at")).alias("sec"), _throttle(calls).alias("t")
     )
@@ -92,17 +106,23 @@ def assign_cycles(calls: DataFrame, length_seconds: int) -> DataFrame:
             F.count(F.lit(1)).alias("n"), F.max("t").alias("t")
         )
         joined = counted.join(starts, "api_source")
-    start = F.array_max(F.filter("starts", lambda s: s <= F.col("sec")))
-    return (
-        joined.groupBy("api_source", start.alias("start_sec"))
-        .agg(F.sum("n").cast("bigint").alias("request_count"), F.max("t").alias("throttled"))
-        .select(
-            "api_source",
-            second_to_ntz(F.col("start_sec")).alias("cycle_start"),
-            second_to_ntz(F.col("start_sec") + length_seconds).alias("cycle_end"),
-            "request_count",
-            "throttled",
-        )
+    start = F.coalesce(
+        F.array_max(F.filter("starts", lambda s: s <= F.col("sec"))), F.get("starts", F.lit(0))
+    )
+    return joined.groupBy("api_source", start.alias("start_sec")).agg(
+        F.sum("n").cast("bigint").alias("request_count"), F.max("t").alias("throttled")
+    )
+
+
+def assign_cycles(calls: DataFrame, length_seconds: int) -> DataFrame:
+    """Requests per (api_source, cycle_start); every call counts, failed ones too."""
+    counted = count_calls(calls, cycle_starts(calls, length_seconds))
+    return counted.select(
+        "api_source",
+        second_to_ntz(F.col("start_sec")).alias("cycle_start"),
+        second_to_ntz(F.col("start_sec") + length_seconds).alias("cycle_end"),
+        "request_count",
+        "throttled",
     )
 
 

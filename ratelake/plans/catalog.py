@@ -911,7 +911,6 @@ def _q(spark, sf_dir):
 
 @query("stream_quota_meter")
 def _q(spark, sf_dir):
-    """Calls of all closed seconds; the newest second stays open behind the watermark."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     # A glob, so that the table may be a file or a folder of files.
     stream = spark.readStream.schema(events.schema).parquet(f"{sf_dir}/event[s].parquet")

@@ -716,11 +716,6 @@ def oracle_sql() -> dict[str, str]:
             ("frankfurter", "exchangerate", "currencylayer"), "rate_date = DATE '2024-01-20'"),
         "backfill_run": _run_fact(("frankfurter", "currencylayer"), "TRUE"),
         "stream_land_to_silver": _SILVER_LONG,
-        "stream_quota_meter": _sql("""
-            SELECT a.api_source, a.cycle_start, count(*) AS request_count
-            FROM anchors a JOIN fx_calls f ON f.api_source = a.api_source
-             AND f.called_at >= a.cycle_start AND f.called_at < a.cycle_start + INTERVAL '7' DAY
-            WHERE date_trunc('second', f.called_at)
-                  < (SELECT max(date_trunc('second', called_at)) FROM fx_calls)
-            GROUP BY 1, 2""", "anchors"),
+        "stream_quota_meter": _sql(
+            "SELECT api_source, cycle_start, request_count FROM cycles", "cycles"),
     }

@@ -14,6 +14,9 @@ from pyspark.sql import types as T
 from ratelake.sources import files
 
 
+MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
 class NoLandingData(ValueError):
     """None of the candidate folders exists."""
 
@@ -155,6 +158,7 @@ def land_append(
 ) -> None:
     """Append records as gzip JSON lines below mode/year/month/day; nothing is ever replaced.
 
+    Timestamps keep their microseconds; the newest extraction is picked by them later on.
     Rebalancing by day gives one task's worth of rows per file and splits a day that is too large
     for one task.
     """
@@ -171,6 +175,8 @@ def land_append(
         .write.mode("append")
         .partitionBy("year", "month", "day")
         .option("compression", "gzip")
+        .option("timestampFormat", MICROS)
+        .option("timestampNTZFormat", MICROS)
         .json(f"{base}/{mode}")
     )
 

@@ -12,9 +12,11 @@ folders and then publishes the new locations with one append to the registry:
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,6 +28,7 @@ from ratelake.operators.ranking import first_per_key
 from ratelake.sources import files
 
 WHOLE = "all"
+UNDATED = "none"
 
 
 def latest_locations(registry: DataFrame) -> DataFrame:
@@ -59,8 +62,39 @@ def merge_by_key(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> Da
     )
 
 
+@dataclass
+class Snapshot:
+    """The current state of a table: folder per slice, newest version, columns."""
+
+    locations: dict[str, str] = field(default_factory=dict)
+    version: int = 0
+    columns: T.StructType | None = None
+
+    @property
+    def exists(self) -> bool:
+        return self.version > 0
+
+    def between(self, since: date | None, until: date | None) -> list[str]:
+        """Folders of the months a date range covers."""
+        low = f"{since:%Y-%m}" if since else ""
+        high = f"{until:%Y-%m}" if until else "~"
+        return [
+            loc
+            for s, loc in sorted(self.locations.items())
+            if loc and (s == WHOLE or low <= s <= high)
+        ]
+
+
+def _merged_columns(old: T.StructType | None, new: T.StructType) -> T.StructType:
+    """The old columns followed by those that are new."""
+    if old is None:
+        return new
+    known = set(old.fieldNames())
+    return T.StructType([*old.fields, *[f for f in new.fields if f.name not in known]])
+
+
 class RateTables:
-    """The tables below one root folder."""
+    """The tables below one root folder.  One writer per table at a time."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -77,31 +111,51 @@ class RateTables:
             return self.spark.createDataFrame([], schemas.REGISTRY)
         return self.spark.read.schema(schemas.REGISTRY).parquet(path)
 
-    def _current(self, table: str) -> dict[str, tuple[str, int]]:
-        """Slice to (location, version); one entry per month of data."""
+    def snapshot(self, table: str) -> Snapshot:
+        """One small row per slice (a month of data) comes to the driver."""
         if not files.exists(self.spark, self._registry_path(table)):
-            return {}
-        rows = latest_locations(self.registry(table)).toLocalIterator()
-        return {r.slice: (r.location, r.version) for r in rows}
+            return Snapshot()
+        newest = (
+            self.registry(table)
+            .groupBy("slice")
+            .agg(F.max_by(F.struct("location", "version", "columns"), "version").alias("r"))
+            .select("slice", "r.*")
+        )
+        snap = Snapshot()
+        for row in newest.toLocalIterator():
+            snap.locations[row["slice"]] = row["location"]
+            if row["version"] > snap.version:
+                snap.version = row["version"]
+                snap.columns = T.StructType.fromJson(json.loads(row["columns"]))
+        return snap
 
     def _publish(
-        self, table: str, placed: dict[str, str], version: int, as_of: datetime | None
+        self,
+        table: str,
+        placed: dict[str, str],
+        version: int,
+        columns: T.StructType,
+        as_of: datetime | None,
     ) -> None:
-        rows = [(table, s, loc, version, as_of or datetime.now()) for s, loc in placed.items()]
+        """Make the folders current: one file appended to the registry."""
+        now = as_of or datetime.now()
+        rows = [
+            (table, s, location, version, columns.json(), now)
+            for s, location in sorted(placed.items())
+        ]
         entry = self.spark.createDataFrame(rows, schemas.REGISTRY)
         entry.coalesce(1).write.mode("append").parquet(self._registry_path(table))
 
     def exists(self, table: str) -> bool:
-        return bool(self._current(table))
+        return self.snapshot(table).exists
 
     # -- reading ----------------------------------------------------------------------------
 
-    def _load(self, locations: Sequence[str], schema: T.StructType | None) -> DataFrame:
-        """Slices written before a column was added return NULL for it."""
-        reader = self.spark.read
-        if schema is not None:
-            return reader.schema(schema).parquet(*locations)
-        return reader.option("mergeSchema", "true").parquet(*locations)
+    def _load(self, locations: Sequence[str], columns: T.StructType) -> DataFrame:
+        """Explicit columns: no inference, and NULL where a slice predates a column."""
+        if not locations:
+            return self.spark.createDataFrame([], columns)
+        return self.spark.read.schema(columns).parquet(*locations)
 
     def read(
         self,
@@ -110,26 +164,14 @@ class RateTables:
         since: date | None = None,
         until: date | None = None,
     ) -> DataFrame:
-        """Current rows; with date bounds only the months they cover are opened."""
-        current = self._current(table)
-        wanted = [
-            loc
-            for s, (loc, _) in sorted(current.items())
-            if loc
-            and (
-                s == WHOLE
-                or ((since is None or s >= f"{since:%Y-%m}")
-                    and (until is None or s <= f"{until:%Y-%m}"))
-            )
-        ]
-        if not wanted:
-            if schema is None and not current:
-                raise LookupError(f"table {table} does not exist and no schema was given")
-            if schema is None:
-                every = [loc for loc, _ in current.values() if loc]
-                return self._load(every, None).limit(0)
-            return self.spark.createDataFrame([], schema)
-        df = self._load(wanted, schema)
+        """Current rows; with date bounds only the months they cover are opened.
+
+        ``schema`` shapes the empty result of a table that does not exist yet.
+        """
+        snap = self.snapshot(table)
+        if not snap.exists and schema is None:
+            raise LookupError(f"table {table} does not exist and no schema was given")
+        df = self._load(snap.between(since, until), snap.columns or schema)
         if since is not None:
             df = df.where(F.col("rate_date") >= F.lit(since))
         if until is not None:
@@ -137,13 +179,12 @@ class RateTables:
         return df
 
     def newest_date(self, table: str, column: str = "rate_date") -> date | None:
-        """Newest date, looked up in the newest month only."""
-        current = self._current(table)
-        for _, (loc, _) in sorted(current.items(), reverse=True):
-            if loc:
-                found = self.spark.read.parquet(loc).agg(F.max(column)).first()[0]
-                if found is not None:
-                    return found
+        """Newest date, looked up in the newest month that has rows."""
+        snap = self.snapshot(table)
+        for location in reversed(snap.between(None, None)):
+            found = self._load([location], snap.columns).agg(F.max(column)).first()[0]
+            if found is not None:
+                return found
         return None
 
     # -- writing ----------------------------------------------------------------------------
@@ -151,7 +192,7 @@ class RateTables:
     def _slice_of(self, date_col: str | None) -> Column:
         if date_col is None:
             return F.lit(WHOLE)
-        return F.coalesce(F.date_format(F.col(date_col).cast("date"), "yyyy-MM"), F.lit("none"))
+        return F.coalesce(F.date_format(F.col(date_col).cast("date"), "yyyy-MM"), F.lit(UNDATED))
 
     def _write_slices(
         self, df: DataFrame, folder: str, date_col: str | None, sort: Sequence[str]
@@ -171,9 +212,8 @@ class RateTables:
             if name.startswith(prefix)
         }
 
-    def _next(self, table: str, current: dict[str, tuple[str, int]]) -> tuple[int, str]:
-        version = max((v for _, v in current.values()), default=0) + 1
-        return version, f"{self.root}/{table}/v{version:08d}-{uuid.uuid4().hex[:8]}"
+    def _folder(self, table: str, version: int) -> str:
+        return f"{self.root}/{table}/v{version:08d}-{uuid.uuid4().hex[:8]}"
 
     def overwrite(
         self,
@@ -184,11 +224,12 @@ class RateTables:
         as_of: datetime | None = None,
     ) -> None:
         """Replace the whole table; slices that are gone are published without a location."""
-        current = self._current(table)
-        version, folder = self._next(table, current)
-        placed = self._write_slices(df, folder, date_col, sort)
-        gone = {s: "" for s in current if s not in placed}
-        self._publish(table, {**placed, **gone}, version, as_of)
+        snap = self.snapshot(table)
+        version = snap.version + 1
+        placed = self._write_slices(df, self._folder(table, version), date_col, sort)
+        gone = {s: "" for s in snap.locations if s not in placed}
+        slices = {**gone, **placed} or {UNDATED: ""}
+        self._publish(table, slices, version, df.schema, as_of)
 
     def upsert(
         self,
@@ -203,7 +244,7 @@ class RateTables:
         as_of: datetime | None = None,
     ) -> None:
         """Replace rows whose key is in the batch and append the batch; running it twice changes
-        nothing.  The first upsert creates the table.
+        nothing.  The first upsert creates the table, an empty batch included.
 
         With ``order`` the first row per key under that order wins, whether it is stored or new,
         so batches may arrive in any sequence.
@@ -211,38 +252,31 @@ class RateTables:
         With ``replace_from`` / ``replace_until`` all rows dated in that range are replaced, so
         rows the batch no longer contains disappear as well.
         """
-        current = self._current(table)
-        version, folder = self._next(table, current)
+        snap = self.snapshot(table)
+        version = snap.version + 1
+        folder = self._folder(table, version)
+        columns = _merged_columns(snap.columns, batch.schema)
         staged = self._write_slices(batch, f"{folder}/batch", date_col, sort)
-        live = {s: loc for s, (loc, _) in current.items() if loc}
-        in_range = {
-            s
-            for s in live
-            if replace_from is not None
-            and s >= f"{replace_from:%Y-%m}"
-            and (replace_until is None or s <= f"{replace_until:%Y-%m}")
-        }
-        touched = sorted((set(staged) | in_range) & set(live))
+        live = {s: loc for s, loc in snap.locations.items() if loc}
+        reopened = set(staged)
+        if replace_from is not None:
+            high = f"{replace_until:%Y-%m}" if replace_until else "~"
+            reopened |= {s for s in live if f"{replace_from:%Y-%m}" <= s <= high}
+        touched = sorted(reopened & set(live))
         placed = dict(staged)
         if touched:
-            target = self._load([live[s] for s in touched], None)
+            target = self._load([live[s] for s in touched], columns)
             if replace_from is not None:
                 inside = F.col(date_col) >= F.lit(replace_from)
                 if replace_until is not None:
                     inside = inside & (F.col(date_col) <= F.lit(replace_until))
                 target = target.where(~F.coalesce(inside, F.lit(False)))
-            overlap = [staged[s] for s in touched if s in staged]
-            merged = target
-            if overlap:
-                fresh = self._load(overlap, None)
-                merged = (
-                    merge_by_key(target, fresh, keys)
-                    if order is None
-                    else first_per_key(
-                        target.unionByName(fresh, allowMissingColumns=True), keys, order
-                    )
-                )
-            merged_slices = self._write_slices(merged, f"{folder}/merged", date_col, sort)
-            placed.update({s: merged_slices.get(s, "") for s in touched})
-        if placed:
-            self._publish(table, placed, version, as_of)
+            fresh = self._load([staged[s] for s in touched if s in staged], columns)
+            if order is None:
+                merged = merge_by_key(target, fresh, keys)
+            else:
+                merged = first_per_key(target.unionByName(fresh), keys, order)
+            rewritten = self._write_slices(merged, f"{folder}/merged", date_col, sort)
+            placed.update({s: rewritten.get(s, "") for s in touched})
+        if placed or not snap.exists:
+            self._publish(table, placed or {UNDATED: ""}, version, columns, as_of)

@@ -1,83 +1,49 @@
-"""Quota cycles over a stream of API calls."""
+"""Quota cycles over a stream of API calls.
 
-from __future__ import annotations
+The state between micro-batches is one row per (source, cycle): a small versioned table.  Each
+micro-batch is reduced map-side to bitmaps of busy seconds and to counts per cycle before anything
+meets per source, so a source with most of the traffic never becomes one task's work, which keyed
+operator state would make it.
+"""
 
-from collections.abc import Iterator
+from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ratelake.functions.columns import second_to_ntz
+from ratelake.functions.columns import epoch_second, second_to_ntz
+from ratelake.operators.quota import count_calls, cycle_starts
+from ratelake.schemas import CYCLES
 from ratelake.sources.tables import RateTables
 
-OUTPUT = "api_source string, start_sec bigint, request_count bigint, closed boolean"
-STATE = "start_sec bigint, request_count bigint"
-CYCLE_KEYS = ("api_source", "cycle_start")
-
 
-def stream_cycles(
-    calls: DataFrame, length_seconds: int, lateness: str = "0 seconds"
+def advance_cycles(
+    stored: DataFrame, calls: DataFrame, batch_id: int, length_seconds: int
 ) -> DataFrame:
-    """Running request count of every cycle a micro-batch touches.
-
-    Calls are first counted per source and second by a windowed aggregation, map-side and then by
-    (second, source), so a source with most of the traffic is spread over tasks.  The keyed state
-    sees one row per busy second, in time order, once the watermark has closed it.  An event-time
-    timer reports a cycle that ends without a successor.
-    """
-    per_second = (
-        calls.select("api_source", F.col("called_at").cast("timestamp").alias("at"))
-        .withWatermark("at", lateness)
-        .groupBy(F.window("at", "1 second"), "api_source")
-        .agg(F.count(F.lit(1)).alias("n"))
+    """The cycle table after one more batch of calls."""
+    known = stored.select(
+        "api_source", epoch_second(F.col("cycle_start")).alias("start_sec"), "request_count",
+        "throttled",
+    )
+    previous = known.groupBy("api_source").agg(
+        F.sort_array(F.collect_list("start_sec")).alias("starts")
+    )
+    counted = count_calls(calls, cycle_starts(calls, length_seconds, previous))
+    return (
+        known.unionByName(counted)
+        .groupBy("api_source", "start_sec")
+        .agg(F.sum("request_count").alias("request_count"), F.max("throttled").alias("throttled"))
         .select(
             "api_source",
-            F.unix_timestamp(F.col("window.start")).alias("sec"),
-            "n",
-            F.window_time("window").alias("at"),
+            second_to_ntz(F.col("start_sec")).alias("cycle_start"),
+            second_to_ntz(F.col("start_sec") + length_seconds).alias("cycle_end"),
+            "request_count",
+            "throttled",
+            F.lit(batch_id).cast("bigint").alias("batch_id"),
         )
     )
 
-    def advance(
-        key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        source = key[0]
-        if state.hasTimedOut:
-            start, count = state.get
-            state.remove()
-            yield _rows([(source, start, count, True)])
-            return
-        start, count = state.get if state.exists else (None, 0)
-        out = []
-        chunk = pd.concat(list(batches)).sort_values("sec")
-        seconds, numbers = chunk["sec"].to_numpy(), chunk["n"].to_numpy()
-        at = 0
-        while at < len(seconds):
-            if start is None or seconds[at] >= start + length_seconds:
-                if start is not None:
-                    out.append((source, start, count, True))
-                start, count = int(seconds[at]), 0
-            end = int(seconds.searchsorted(start + length_seconds))
-            count += int(numbers[at:end].sum())
-            at = end
-        out.append((source, start, count, False))
-        state.update((start, count))
-        expiry = (start + length_seconds) * 1000
-        if expiry > state.getCurrentWatermarkMs():
-            state.setTimeoutTimestamp(expiry)
-        yield _rows(out)
-
-    return per_second.groupBy("api_source").applyInPandasWithState(
-        advance, OUTPUT, STATE, "append", GroupStateTimeout.EventTimeTimeout
-    )
-
-
-def _rows(rows: list[tuple]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=["api_source", "start_sec", "request_count", "closed"])
-
 
 def stream_quota_meter(
     calls: DataFrame,
@@ -85,28 +51,20 @@ def stream_quota_meter(
     checkpoint: str,
     length_seconds: int,
     table: str = "quota_cycles",
-    lateness: str = "0 seconds",
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Keep ``table`` at the newest count of each cycle."""
+    """Keep ``table`` at the request count of every cycle.
+
+    The table carries the number of the batch it includes and is published in one step, so a
+    batch replayed after a failure is recognised and not counted twice.
+    """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        newest = (
-            batch.groupBy("api_source", "start_sec")
-            .agg(F.max("request_count").alias("request_count"), F.max("closed").alias("closed"))
-            .select(
-                "api_source",
-                second_to_ntz(F.col("start_sec")).alias("cycle_start"),
-                "request_count",
-                "closed",
-            )
-        )
-        tables.upsert(table, newest, CYCLE_KEYS, date_col=None)
+        stored = tables.read(table, CYCLES)
+        applied = stored.agg(F.max("batch_id")).first()[0]
+        if applied is not None and applied >= batch_id:
+            return
+        tables.overwrite(table, advance_cycles(stored, batch, batch_id, length_seconds))
 
-    writer = (
-        stream_cycles(calls, length_seconds, lateness)
-        .writeStream.foreachBatch(store)
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-    )
+    writer = calls.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
