@@ -43,9 +43,11 @@ def pivot_rates(
     wide = rates.groupBy(*CONSENSUS_KEYS).agg(
         F.count(F.lit(1)).alias("source_count"), *per_source
     )
-    return wide.withColumn(
-        "consensus_rate", median_of([F.col(s.rate_alias) for s in sources])
-    )
+    return with_median(wide, sources)
+
+
+def with_median(wide: DataFrame, sources: Sequence[SourceSpec]) -> DataFrame:
+    return wide.withColumn("consensus_rate", median_of([F.col(s.rate_alias) for s in sources]))
 
 
 def source_breakdown(sources: Sequence[SourceSpec] = DEFAULT_SOURCES) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ratelake import schemas
 from ratelake.config import DEFAULT_SOURCES, SourceSpec
+from ratelake.operators import consensus as cons
 from ratelake.operators.ranking import first_per_key, newest_order, newest_per_key
 
 FACT_KEYS = ("rate_date", "target_currency", "base_currency")
@@ -116,3 +117,43 @@ def build_fact(
     staged = reduce(DataFrame.unionByName, stagings).where(F.col("base_currency") == base)
     windowed = fact_lookback(staged, mode, execution_date, newest_loaded, lookback_days)
     return project_fact(exclude_anomalies(priority_pick(windowed, used), consensus), as_of)
+
+
+def validate_and_pick(
+    stagings: Sequence[DataFrame],
+    sources: Sequence[SourceSpec] = DEFAULT_SOURCES,
+    used: Sequence[SourceSpec] | None = None,
+    base: str = "USD",
+    threshold: float = 0.005,
+    as_of: datetime | None = None,
+) -> DataFrame:
+    """Consensus and fact in one pass over the staging rows, for when no consensus table is kept.
+
+    Both are functions of the same (date, currency) group, which holds at most one row per source,
+    so a single aggregation yields the rates side by side and the winner, and the flag is tested
+    on its result.  Nothing is joined and staging is read once.  ``used`` limits the sources that
+    may win, not those that vote.
+    """
+    used = sources if used is None else used
+    rows = reduce(DataFrame.unionByName, stagings).where(F.col("base_currency") == base)
+    priority = _by_source(used, lambda s: -s.priority)
+    usable = priority.isNotNull() & F.col("exchange_rate").isNotNull()
+    lineage = [c for c in rows.columns if c not in cons.CONSENSUS_KEYS]
+    grouped = rows.groupBy(*cons.CONSENSUS_KEYS).agg(
+        *[
+            F.max(F.when(F.col("source") == s.name, F.col("exchange_rate"))).alias(s.rate_alias)
+            for s in sources
+        ],
+        F.max_by(
+            F.struct(*lineage),
+            F.when(usable, F.struct(priority, "extraction_timestamp", "extraction_id")),
+        ).alias("_won"),
+    )
+    scored = cons.add_flags(
+        cons.add_deviations(cons.with_median(grouped, sources), sources), threshold
+    )
+    passed = scored.where((F.col("status") == "OK") & F.col("_won.extraction_id").isNotNull())
+    won = passed.select(*cons.CONSENSUS_KEYS, "_won.*")
+    return project_fact(
+        won.withColumn("source_tier", _by_source(used, lambda s: s.fact_tier)), as_of
+    )

@@ -49,6 +49,12 @@ def newest_date(fact: DataFrame) -> Column:
     return fact.agg(F.max("rate_date")).scalar()
 
 
+def _date_or_newest(fact: DataFrame, day: Column | date | None) -> Column:
+    if day is None:
+        return newest_date(fact)
+    return day if isinstance(day, Column) else F.lit(day)
+
+
 def dim_countries(seed: DataFrame) -> DataFrame:
     return seed.select(
         F.upper("country_code").alias("country_code"),
@@ -75,9 +81,14 @@ def mart_latest_rates(fact: DataFrame, dim: DataFrame) -> DataFrame:
     )
 
 
-def hot_latest_slice(fact: DataFrame, dim: DataFrame) -> DataFrame:
-    """Rows of the newest date with country columns and the pair."""
-    newest = fact.where(F.col("rate_date") == newest_date(fact))
+def hot_latest_slice(
+    fact: DataFrame, dim: DataFrame, newest: Column | date | None = None
+) -> DataFrame:
+    """Rows of the newest date with country columns and the pair.
+
+    A caller that knows the newest date passes it and saves the subquery that looks it up.
+    """
+    newest = fact.where(F.col("rate_date") == _date_or_newest(fact, newest))
     return with_country(newest, dim).select(
         "rate_date", "base_currency", "target_currency", "country_name", "region",
         "exchange_rate", "inverse_rate", "consensus_variance", "validation_status",
@@ -121,6 +132,7 @@ def cross_rates(
     fact: DataFrame,
     currencies: Sequence[str] = TOP_CURRENCIES,
     as_of: datetime | None = None,
+    newest: Column | date | None = None,
 ) -> DataFrame:
     """Conversion matrix of a fixed currency list on the newest date.
 
@@ -129,10 +141,11 @@ def cross_rates(
     ``exchange_rate`` is from/to as quoted in the fact (units of FROM per unit of TO);
     ``convert_multiplier`` turns an amount in FROM into TO.
     """
-    newest = fact.where(
-        (F.col("rate_date") == newest_date(fact)) & F.col("target_currency").isin(*currencies)
+    listed = fact.where(
+        (F.col("rate_date") == _date_or_newest(fact, newest))
+        & F.col("target_currency").isin(*currencies)
     )
-    one_row = newest.groupBy("rate_date").agg(
+    one_row = listed.groupBy("rate_date").agg(
         *[
             F.max(F.when(F.col("target_currency") == c, F.col("exchange_rate"))).alias(f"c{i}")
             for i, c in enumerate(currencies)

@@ -572,6 +572,7 @@ def oracle_sql() -> dict[str, str]:
         "fact_lookback": _sql(f"""SELECT {_STG_KEY}, extraction_id FROM stg
             WHERE rate_date >= (SELECT MAX(rate_date) FROM stg) - INTERVAL '3' DAY""", "stg"),
         "fact_full": _sql(f"SELECT {_FACT_ROW} FROM fact", "fact"),
+        "fact_fused": _sql(f"SELECT {_FACT_ROW} FROM fact", "fact"),
         # marts
         "dim_countries": _sql("SELECT * FROM fx_dim", "fx_dim"),
         "mart_latest_rates": _sql(f"""

@@ -192,7 +192,7 @@ class RateJobs:
         whole = t.read(FACT, schemas.FACT)
         t.overwrite(
             "mart_currency_conversions",
-            marts.cross_rates(latest, cfg.top_currencies, self.as_of),
+            marts.cross_rates(latest, cfg.top_currencies, self.as_of, newest),
             as_of=self.as_of,
         )
         t.overwrite(
@@ -220,7 +220,7 @@ class RateJobs:
             return
         latest = self.tables.read(FACT, schemas.FACT, newest, newest)
         items = hot.to_hot_items(
-            marts.hot_latest_slice(latest, marts.dim_countries(self.seed)),
+            marts.hot_latest_slice(latest, marts.dim_countries(self.seed), newest),
             self.as_of,
             self.cfg.hot_ttl_days,
         )
