@@ -7,9 +7,12 @@ driver handles only scalars: dates, folder names and the three gating flags.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,6 +59,13 @@ class RateJobs:
         self.seed = seed if seed is not None else seeds.default_seed(spark)
         self.as_of = as_of
 
+    def _together(self, *steps: Callable) -> list:
+        """Independent steps submitted from threads of their own, so their jobs share the
+        cluster; the first failure is raised."""
+        with ThreadPoolExecutor(max_workers=max(1, len(steps))) as pool:
+            running = [pool.submit(inheritable_thread_target(self.spark)(s)) for s in steps]
+            return [r.result() for r in running]
+
     # -- layers -----------------------------------------------------------------------------
 
     def participating(
@@ -160,58 +170,66 @@ class RateJobs:
 
     def build_marts(self, w: Window) -> None:
         """Marts from the written fact, each opening only the months it needs."""
-        t, cfg = self.tables, self.cfg
+        steps = [lambda: self._refresh_latest(w), lambda: self._refresh_analysis(w)]
+        newest = self.tables.newest_date(FACT)
+        if newest is not None:
+            today = self.as_of.date() if self.as_of else date.today()
+            steps += [
+                lambda: self._rebuild_conversions(newest),
+                lambda: self._rebuild_monthly(today),
+                lambda: self._rebuild_volatility(today),
+                lambda: self._rebuild_health(newest),
+            ]
+        self._together(*steps)
+
+    def _refresh_latest(self, w: Window) -> None:
         dim = marts.dim_countries(self.seed)
-        t.overwrite("dim_countries", dim, as_of=self.as_of)
-        window_rows = t.read(FACT, schemas.FACT, w.since, w.until)
-        t.upsert(
+        self.tables.overwrite("dim_countries", dim, as_of=self.as_of)
+        rows = self.tables.read(FACT, schemas.FACT, w.since, w.until)
+        self.tables.upsert(
             "mart_latest_rates",
-            marts.mart_latest_rates(window_rows, dim),
+            marts.mart_latest_rates(rows, dim),
             fact.FACT_KEYS,
             as_of=self.as_of,
             **self._slice(w),
         )
-        read_from = w.since - timedelta(days=cfg.analysis_readback_days)
-        t.upsert(
+
+    def _refresh_analysis(self, w: Window) -> None:
+        """From the window's start to the newest date: later rows average over changed ones."""
+        back = self.cfg.analysis_readback_days
+        rows = self.tables.read(FACT, schemas.FACT, w.since - timedelta(days=back))
+        batch = marts.rate_analysis_incremental(rows, "backfill", w.since, readback_days=back)
+        self.tables.upsert(
             "mart_rate_analysis",
-            marts.rate_analysis_incremental(
-                t.read(FACT, schemas.FACT, read_from),
-                "backfill",
-                w.since,
-                readback_days=cfg.analysis_readback_days,
-            ),
+            batch,
             fact.FACT_KEYS,
-            replace_from=w.since if cfg.replace_slices else None,
-            as_of=self.as_of,
-        )
-        newest = t.newest_date(FACT)
-        if newest is None:
-            return
-        today = self.as_of.date() if self.as_of else date.today()
-        latest = t.read(FACT, schemas.FACT, newest, newest)
-        whole = t.read(FACT, schemas.FACT)
-        t.overwrite(
-            "mart_currency_conversions",
-            marts.cross_rates(latest, cfg.top_currencies, self.as_of, newest),
-            as_of=self.as_of,
-        )
-        t.overwrite(
-            "mart_monthly_summary",
-            marts.monthly_summary(whole, today, cfg.monthly_history_months),
-            as_of=self.as_of,
-        )
-        t.overwrite(
-            "mart_rate_volatility",
-            marts.rate_volatility(whole, today, cfg.volatility_days),
+            replace_from=w.since if self.cfg.replace_slices else None,
             as_of=self.as_of,
         )
-        flagged = t.read(CONSENSUS, since=newest, until=newest)
+
+    def _rebuild_conversions(self, newest: date) -> None:
+        rows = self.tables.read(FACT, schemas.FACT, newest, newest)
+        mart = marts.cross_rates(rows, self.cfg.top_currencies, self.as_of, newest)
+        self.tables.overwrite("mart_currency_conversions", mart, as_of=self.as_of)
+
+    def _rebuild_monthly(self, today: date) -> None:
+        """Opens the reported months only; 31 days a month covers any calendar."""
+        months = self.cfg.monthly_history_months
+        rows = self.tables.read(FACT, schemas.FACT, today - timedelta(days=31 * (months + 1)))
+        mart = marts.monthly_summary(rows, today, months)
+        self.tables.overwrite("mart_monthly_summary", mart, as_of=self.as_of)
+
+    def _rebuild_volatility(self, today: date) -> None:
+        rows = self.tables.read(FACT, schemas.FACT)
+        mart = marts.rate_volatility(rows, today, self.cfg.volatility_days)
+        self.tables.overwrite("mart_rate_volatility", mart, as_of=self.as_of)
+
+    def _rebuild_health(self, newest: date) -> None:
+        rows = self.tables.read(FACT, schemas.FACT)
+        flagged = self.tables.read(CONSENSUS, since=newest, until=newest)
         now = F.lit(self.as_of) if self.as_of else F.current_timestamp()
-        t.overwrite(
-            "mart_data_quality_metrics",
-            marts.health_metrics(whole, flagged, now),
-            as_of=self.as_of,
-        )
+        mart = marts.health_metrics(rows, flagged, now)
+        self.tables.overwrite("mart_data_quality_metrics", mart, as_of=self.as_of)
 
     def sync_hot(self) -> None:
         """Newest fact date into the hot table, sorted by pair for lookups."""
@@ -242,6 +260,20 @@ class RateJobs:
 
     # -- runs -------------------------------------------------------------------------------
 
+    def _load_and_stage(
+        self, sources: list[SourceSpec], w: Window, start: date
+    ) -> list[SourceSpec]:
+        """Each source on its own up to staging; those without landed files drop out."""
+
+        def one(source: SourceSpec) -> bool:
+            landed = self.load_silver(source, w.mode, start, w.until)
+            if landed:
+                self.stage(source, w)
+            return landed
+
+        landed = self._together(*[lambda s=s: one(s) for s in sources])
+        return [s for s, there in zip(sources, landed) if there]
+
     def run_daily(
         self,
         execution_date: date,
@@ -252,17 +284,12 @@ class RateJobs:
         w = Window(
             "daily", execution_date - timedelta(days=self.cfg.lookback_days), execution_date
         )
-        used = [
-            s
-            for s in self.participating("daily", calls, include_third)
-            if self.load_silver(s, "daily", execution_date, execution_date)
-        ]
-        for s in used:
-            self.stage(s, w)
+        used = self._load_and_stage(
+            self.participating("daily", calls, include_third), w, execution_date
+        )
         self.validate(w)
         self.publish_fact(w)
-        self.build_marts(w)
-        self.sync_hot()
+        self._together(lambda: self.build_marts(w), self.sync_hot)
         return [s.name for s in used]
 
     def run_backfill(
@@ -270,13 +297,7 @@ class RateJobs:
     ) -> list[str]:
         """Sources with history over an inclusive date range; the hot table is left alone."""
         w = Window("backfill", start, end)
-        used = [
-            s
-            for s in self.participating("backfill", calls, False)
-            if self.load_silver(s, "backfill", start, end)
-        ]
-        for s in used:
-            self.stage(s, w)
+        used = self._load_and_stage(self.participating("backfill", calls, False), w, start)
         self.validate(w)
         self.publish_fact(w)
         self.build_marts(w)

@@ -138,13 +138,27 @@ class RateTables:
         as_of: datetime | None,
     ) -> None:
         """Make the folders current: one file appended to the registry."""
-        now = as_of or datetime.now()
-        rows = [
-            (table, s, location, version, columns.json(), now)
-            for s, location in sorted(placed.items())
-        ]
-        entry = self.spark.createDataFrame(rows, schemas.REGISTRY)
-        entry.coalesce(1).write.mode("append").parquet(self._registry_path(table))
+        places = F.array(
+            *[
+                F.struct(F.lit(s).alias("slice"), F.lit(location).alias("location"))
+                for s, location in sorted(placed.items())
+            ]
+        )
+        entry = (
+            self.spark.range(1, numPartitions=1)
+            .select(F.inline(places))
+            .withColumns(
+                {
+                    "table_name": F.lit(table),
+                    "version": F.lit(version).cast("bigint"),
+                    "columns": F.lit(columns.json()),
+                    "updated_at": F.lit(as_of or datetime.now()),
+                }
+            )
+        )
+        entry.select(schemas.REGISTRY.fieldNames()).write.mode("append").parquet(
+            self._registry_path(table)
+        )
 
     def exists(self, table: str) -> bool:
         return self.snapshot(table).exists
