@@ -264,8 +264,8 @@ def _q(spark, sf_dir):
 
 @query("norm_flatten_map")
 def _q(spark, sf_dir):
-    flat = normalize.flatten_map(_records(spark, sf_dir).select("extraction_id", "rates"))
-    return _rounded(flat)
+    records = _records(spark, sf_dir).select("extraction_id", "rates")
+    return _rounded(normalize.flatten_map(records, codes=views.CODES))
 
 
 def _land(spark, sf_dir, label: str) -> str:

@@ -45,6 +45,17 @@ def advance_cycles(
     )
 
 
+def apply_batch(
+    tables: RateTables, table: str, calls: DataFrame, batch_id: int, length_seconds: int
+) -> None:
+    """Add one micro-batch, unless the table already includes it."""
+    stored = tables.read(table, CYCLES)
+    applied = stored.agg(F.max("batch_id")).first()[0]
+    if applied is not None and applied >= batch_id:
+        return
+    tables.overwrite(table, advance_cycles(stored, calls, batch_id, length_seconds))
+
+
 def stream_quota_meter(
     calls: DataFrame,
     tables: RateTables,
@@ -60,11 +71,7 @@ def stream_quota_meter(
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        stored = tables.read(table, CYCLES)
-        applied = stored.agg(F.max("batch_id")).first()[0]
-        if applied is not None and applied >= batch_id:
-            return
-        tables.overwrite(table, advance_cycles(stored, batch, batch_id, length_seconds))
+        apply_batch(tables, table, batch, batch_id, length_seconds)
 
     writer = calls.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
