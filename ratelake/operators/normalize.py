@@ -22,6 +22,7 @@ from ratelake.functions.columns import (
 
 THROTTLED_STATUS = 429
 QUOTA_ERROR_CODE = 104
+_VERDICT = "success string, error struct<code: string>, broken string"
 
 
 def _per_source(sources: Sequence[SourceSpec], value) -> Column:
@@ -42,23 +43,24 @@ def classify_response(
     """Add ``outcome``: OK, THROTTLED or ERROR.
 
     A 429 is a throttle whatever the body; other 4xx and 5xx are errors.  One source reports
-    failures inside a 200 body, where error code 104 means that its quota is used up.
+    failures inside a 200 body, where error code 104 means that its quota is used up.  The body is
+    parsed once.
     """
-    body = F.col("body")
+    parsed = F.from_json("body", _VERDICT, {"columnNameOfCorruptRecord": "broken"})
     refused = _flagged(sources, "has_success_flag") & (
-        F.coalesce(F.get_json_object(body, "$.success"), F.lit("false")) != "true"
+        F.coalesce(F.col("_v.success"), F.lit("false")) != "true"
     )
-    quota_gone = F.get_json_object(body, "$.error.code") == str(QUOTA_ERROR_CODE)
+    quota_gone = F.coalesce(F.col("_v.error.code") == str(QUOTA_ERROR_CODE), F.lit(False))
+    status = F.coalesce(F.col("http_status_code"), F.lit(0))
     outcome = (
-        F.when(F.col("http_status_code") == THROTTLED_STATUS, "THROTTLED")
-        .when(F.coalesce(F.col("http_status_code"), F.lit(0)).between(200, 399) == F.lit(False),
-              "ERROR")
-        .when(F.try_parse_json(body).isNull(), "ERROR")
-        .when(refused & F.coalesce(quota_gone, F.lit(False)), "THROTTLED")
+        F.when(status == THROTTLED_STATUS, "THROTTLED")
+        .when(~status.between(200, 399), "ERROR")
+        .when(F.col("_v").isNull() | F.col("_v.broken").isNotNull(), "ERROR")
+        .when(refused & quota_gone, "THROTTLED")
         .when(refused, "ERROR")
         .otherwise("OK")
     )
-    return responses.withColumn("outcome", outcome)
+    return responses.withColumn("_v", parsed).withColumn("outcome", outcome).drop("_v")
 
 
 def split_responses(

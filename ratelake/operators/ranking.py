@@ -35,9 +35,14 @@ def newest_per_key(
     """The newest row per key as an aggregation with a map-side part.
 
     The same rows as ``first_per_key`` with ``newest_order``, but the sort only covers the keys:
-    about a fifth faster on raw quotes.  A map task sends one row per key here as well.
+    about a fifth faster on raw quotes.  A map task sends one row per key here as well.  All columns
+    travel with the row, so select the needed ones first.
+
+    The keys' hash leads the grouping: as the first sort column it settles most comparisons in the
+    sort prefix, where codes like ``USD`` would tie.
     """
     rest = [c for c in df.columns if c not in keys]
     newest = F.max_by(F.struct(*rest), F.struct(ts, tie))
-    picked = df.groupBy(*keys).agg(newest.alias("_newest")).select(*keys, "_newest.*")
+    grouped = df.groupBy(F.xxhash64(*keys).alias("_hash"), *keys)
+    picked = grouped.agg(newest.alias("_newest")).select(*keys, "_newest.*")
     return picked.select(*df.columns)

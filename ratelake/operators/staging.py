@@ -13,6 +13,10 @@ from ratelake.functions.columns import currency_code
 from ratelake.operators.ranking import newest_per_key
 
 STAGING_KEYS = ("base_currency", "target_currency", "rate_date")
+QUOTE_COLUMNS = (
+    "extraction_id", "extraction_timestamp", "source", "source_tier", "base_currency",
+    "target_currency", "exchange_rate", "rate_date",
+)
 EPOCH = "1970-01-01"
 
 
@@ -83,7 +87,8 @@ def stage_quotes(
     quotes: DataFrame, keys: Sequence[str] = STAGING_KEYS, as_of: datetime | None = None
 ) -> DataFrame:
     """Deduplicate and project rows that are already long (several sources may be mixed)."""
-    return project_staging(positive_rates(dedup_pair(quotes, keys)), as_of)
+    slim = quotes.select(*QUOTE_COLUMNS)
+    return project_staging(positive_rates(dedup_pair(slim, keys)), as_of)
 
 
 def build_staging(

@@ -91,6 +91,12 @@ def _fact(spark, sf_dir) -> DataFrame:
     return fact.validate_and_pick([_stg(spark, sf_dir)])
 
 
+def _both(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(staging, consensus, fact) over staging rows that are kept, as a run keeps its tables."""
+    rows = _stg(spark, sf_dir).persist()
+    return rows, cons.build_consensus([rows]), fact.validate_and_pick([rows])
+
+
 def _newest_day(spark, sf_dir) -> Column:
     """Newest date of the daily series, from its one source column."""
     lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
@@ -494,7 +500,8 @@ def _q(spark, sf_dir):
 
 @query("stg_dedup_pair")
 def _q(spark, sf_dir):
-    newest = staging.dedup_pair(views.fx_quotes(spark, sf_dir), SOURCE_STAGING_KEYS)
+    quotes = views.fx_quotes(spark, sf_dir).select(*staging.QUOTE_COLUMNS)
+    newest = staging.dedup_pair(quotes, SOURCE_STAGING_KEYS)
     return newest.select(*SOURCE_STAGING_KEYS, "extraction_id", r9("exchange_rate"))
 
 
@@ -508,7 +515,8 @@ def _q(spark, sf_dir):
 
 @query("stg_positive_filter")
 def _q(spark, sf_dir):
-    newest = staging.dedup_pair(views.fx_quotes(spark, sf_dir), SOURCE_STAGING_KEYS)
+    quotes = views.fx_quotes(spark, sf_dir).select(*staging.QUOTE_COLUMNS)
+    newest = staging.dedup_pair(quotes, SOURCE_STAGING_KEYS)
     return staging.positive_rates(newest).select(*SOURCE_STAGING_KEYS, "extraction_id")
 
 
@@ -616,7 +624,8 @@ def _q(spark, sf_dir):
 
 @query("fact_exclude_anomalies")
 def _q(spark, sf_dir):
-    kept = fact.exclude_anomalies(_stg(spark, sf_dir), _consensus(spark, sf_dir))
+    rows, flagged, _ = _both(spark, sf_dir)
+    kept = fact.exclude_anomalies(rows, flagged)
     return _rounded(kept.select(*SOURCE_STAGING_KEYS, "extraction_id", "exchange_rate"))
 
 
@@ -632,7 +641,8 @@ def _q(spark, sf_dir):
 @query("fact_full")
 def _q(spark, sf_dir):
     """As a run does it: the consensus is a table of its own."""
-    return _rounded(fact.build_fact([_stg(spark, sf_dir)], _consensus(spark, sf_dir)))
+    rows, flagged, _ = _both(spark, sf_dir)
+    return _rounded(fact.build_fact([rows], flagged))
 
 
 @query("fact_fused")
@@ -725,9 +735,8 @@ def _q(spark, sf_dir):
 
 @query("mart_health")
 def _q(spark, sf_dir):
-    return _rounded(
-        marts.health_metrics(_fact(spark, sf_dir), _consensus(spark, sf_dir), AS_OF)
-    )
+    _, flagged, rates = _both(spark, sf_dir)
+    return _rounded(marts.health_metrics(rates, flagged, AS_OF))
 
 
 @query("hot_latest_slice")
@@ -797,7 +806,8 @@ def _q(spark, sf_dir):
 
 @query("dq_row_count")
 def _q(spark, sf_dir):
-    health = marts.health_metrics(_fact(spark, sf_dir), _consensus(spark, sf_dir), AS_OF)
+    _, flagged, rates = _both(spark, sf_dir)
+    health = marts.health_metrics(rates, flagged, AS_OF)
     return dq.report(
         dq.row_count_equals(health, 1), dq.row_count_equals(views.fx_series(spark, sf_dir), 1)
     )
@@ -827,9 +837,9 @@ def _q(spark, sf_dir):
 
 @query("dq_declared_suites")
 def _q(spark, sf_dir):
-    rows = _stg(spark, sf_dir)
+    rows, flagged, rates = _both(spark, sf_dir)
     stagings = {s.name: rows.where(F.col("source") == s.name) for s in CFG.sources}
-    return dq.declared_suites(stagings, _consensus(spark, sf_dir), _fact(spark, sf_dir))
+    return dq.declared_suites(stagings, flagged, rates)
 
 
 # -- quota ------------------------------------------------------------------------------------
