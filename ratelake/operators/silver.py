@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratelake import schemas
@@ -49,6 +49,36 @@ def null_profile(df: DataFrame, prefix: str = RATE_PREFIX) -> DataFrame:
     )
 
 
+def null_profile_of_lines(lines: DataFrame, column: str = "value") -> DataFrame:
+    """The same profile straight from landed JSON lines, for currencies seen at least once.
+
+    A record that lacks a currency counts as NULL for it, as it would after a union by name.  Every
+    record also emits one entry without a code, whose count is the number of records; spreading it
+    over the result is a window over one row per currency.
+    """
+    keys = F.filter(
+        F.map_entries(F.from_json(F.col(column), "map<string,string>")),
+        lambda e: e["key"].startswith(RATE_PREFIX) & e["value"].isNotNull(),
+    )
+    codes = F.array_distinct(F.transform(keys, lambda e: _text_code(e["key"])))
+    seen = lines.where(F.try_parse_json(column).isNotNull()).select(
+        F.explode(F.concat(F.array(F.lit("")), codes)).alias("currency")
+    )
+    counts = seen.groupBy("currency").agg(F.count(F.lit(1)).alias("n"))
+    total = F.max(F.when(F.col("currency") == "", F.col("n"))).over(Window.partitionBy())
+    return (
+        counts.withColumn("total_rows", total)
+        .where(F.col("currency") != "")
+        .select("currency", (F.col("total_rows") - F.col("n")).alias("null_rows"), "total_rows")
+    )
+
+
+def _text_code(key: Column) -> Column:
+    """Currency of a landed key held in a column."""
+    bare = F.substring(key, F.lit(len(RATE_PREFIX) + 1), F.length(key))
+    return F.upper(F.regexp_replace(bare, VARIANT_SUFFIX + "$", ""))
+
+
 def rebuild_map(df: DataFrame, prefix: str = RATE_PREFIX, out: str = "rates") -> DataFrame:
     """Fold the rate columns back into a map, NULL rates left out.
 
@@ -84,13 +114,7 @@ def records_from_json_lines(lines: DataFrame, column: str = "value") -> DataFram
             F.filter(F.map_entries(F.col("_m")), lambda e: e["key"].startswith(RATE_PREFIX)),
         ),
         lambda e: F.struct(
-            F.upper(
-                F.regexp_replace(
-                    F.substring(e["key"], F.lit(len(RATE_PREFIX) + 1), F.length(e["key"])),
-                    VARIANT_SUFFIX + "$",
-                    "",
-                )
-            ).alias("key"),
+            _text_code(e["key"]).alias("key"),
             e["value"].try_cast("double").alias("value"),
         ),
     )

@@ -305,6 +305,22 @@ def _q(spark, sf_dir):
     return _long(records)
 
 
+@query("scan_or_empty")
+def _q(spark, sf_dir):
+    """Only one source has landed; the others come back empty with the same columns."""
+    root = scratch_path(spark, "or-empty")
+    wide = views.fx_landed_wide(spark, sf_dir).drop("slot")
+    landing.land_append(wide.where("source = 'frankfurter'"), f"{root}/frankfurter", "daily")
+    columns = "extraction_id string, source string, base_currency string, rate_date date"
+    return reduce(
+        DataFrame.unionByName,
+        [
+            landing.scan_or_empty(spark, f"{root}/{s.name}/daily/*/*/*/*.json*", columns)
+            for s in CFG.sources
+        ],
+    )
+
+
 @query("resolve_landing_paths")
 def _q(spark, sf_dir):
     root = _land(spark, sf_dir, "resolve")
@@ -402,11 +418,30 @@ def _q(spark, sf_dir):
 # -- silver -----------------------------------------------------------------------------------
 
 
+@query("silver_discover_rate_cols")
+def _q(spark, sf_dir):
+    """Quotes per discovered column; a column that only looks like one is not discovered."""
+    wide = views.fx_landed_wide(spark, sf_dir).withColumn("ratesXYeur", F.lit(1.0))
+    found = silver.discover_rate_columns(wide)
+    counts = wide.agg(*[F.count(c).alias(c) for c in found])
+    entries = F.array(*[F.struct(F.lit(c).alias("rate_column"), F.col(c).alias("quotes"))
+                        for c in found])
+    return counts.select(F.inline(entries))
+
+
 @query("silver_null_profile")
 def _q(spark, sf_dir):
     return silver.null_profile(views.fx_landed_wide(spark, sf_dir))
 
 
+@query("silver_null_profile_lines")
+def _q(spark, sf_dir):
+    root = scratch_path(spark, "null-lines")
+    landing.land_append(views.fx_landed_wide(spark, sf_dir).drop("slot"), root, "daily")
+    lines = landing.scan_lines(spark, landing.LandingScan(f"{root}/daily", True, "*.json*"))
+    return silver.null_profile_of_lines(lines)
+
+
 @query("silver_rebuild_map")
 def _q(spark, sf_dir):
     return _long(_records(spark, sf_dir))

@@ -459,6 +459,8 @@ def oracle_sql() -> dict[str, str]:
         "land_append": _LANDED_LONG,
         # sources and sinks
         "scan_jsonl_union": _LANDED_LONG,
+        "scan_or_empty": _sql("""SELECT extraction_id, source, base_currency, rate_date
+            FROM fx_wide WHERE source = 'frankfurter'""", "fx_wide"),
         "resolve_landing_paths": _LANDED_LONG,
         "scan_latest_version": _sql(
             f"SELECT {_STG_KEY}, ROUND(exchange_rate * 2, 9) AS exchange_rate FROM stg", "stg"),
@@ -481,7 +483,12 @@ def oracle_sql() -> dict[str, str]:
         "preview_topn": _sql(
             f"SELECT {_FACT_ROW} FROM fact ORDER BY extraction_id DESC LIMIT 10", "fact"),
         # silver
+        "silver_discover_rate_cols": _sql(_union(*[
+            f"SELECT 'rates__{c.lower()}' AS rate_column, COUNT(rates__{c.lower()}) AS quotes "
+            f"FROM fx_wide" for c in _CODES]), "fx_wide"),
         "silver_null_profile": _sql(profile, "fx_wide"),
+        "silver_null_profile_lines": _sql(
+            f"SELECT * FROM ({profile}) p WHERE null_rows < total_rows", "fx_wide"),
         "silver_rebuild_map": _LANDED_LONG,
         "silver_date_window": _sql("""SELECT extraction_id, rate_date FROM fx_wide
             WHERE rate_date >= DATE '2024-01-17'""", "fx_wide"),

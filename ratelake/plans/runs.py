@@ -29,6 +29,10 @@ FACT = "fact_rates_validated"
 HOT = "currency_rates"
 
 
+class ChecksFailed(RuntimeError):
+    """A declared check found offending rows."""
+
+
 @dataclass(frozen=True)
 class Window:
     """Dates a run recomputes, both ends included."""
@@ -246,18 +250,33 @@ class RateJobs:
             HOT, items, hot.HOT_KEYS, sort=("currency_pair", "rate_date"), as_of=self.as_of
         )
 
-    def checks(self) -> DataFrame:
-        """The declared checks over everything written so far."""
+    def checks(self, w: Window | None = None) -> DataFrame:
+        """The declared checks, over everything or over the dates of one window."""
+        bounds = {} if w is None else {"since": w.since, "until": w.until}
         stagings = {
-            s.name: self.tables.read(s.staging_table, schemas.STAGING) for s in self.cfg.sources
+            s.name: self.tables.read(s.staging_table, schemas.STAGING, **bounds)
+            for s in self.cfg.sources
         }
         return dq.declared_suites(
             stagings,
-            self.tables.read(CONSENSUS),
-            self.tables.read(FACT, schemas.FACT),
+            self.tables.read(CONSENSUS, **bounds),
+            self.tables.read(FACT, schemas.FACT, **bounds),
             self.cfg.sources,
         )
 
+    def _require_checks(self, w: Window) -> None:
+        failed = self.checks(w).where("failures > 0").toLocalIterator()
+        found = [f"{r['table']}.{r['column']} {r['check']}: {r['failures']}" for r in failed]
+        if found:
+            raise ChecksFailed("; ".join(found))
+
+    def null_rates(self, source: SourceSpec, mode: str, start: date) -> DataFrame:
+        """Missing rates per currency in the files a run would load."""
+        today = self.as_of.date() if self.as_of else date.today()
+        base = f"{self.landing_root}/{source.name}"
+        scan = landing.resolve_landing(self.spark, base, mode, start, today, self.layout)
+        return silver.null_profile_of_lines(landing.scan_lines(self.spark, scan))
+
     # -- runs -------------------------------------------------------------------------------
 
     def _load_and_stage(
@@ -279,8 +298,12 @@ class RateJobs:
         execution_date: date,
         include_third: bool = False,
         calls: DataFrame | None = None,
+        require_checks: bool = False,
     ) -> list[str]:
-        """Gate, load, stage, validate, publish, build marts, sync.  Returns the sources used."""
+        """Gate, load, stage, validate, publish, build marts, sync.  Returns the sources used.
+
+        With ``require_checks`` a failing declared check stops the run ahead of marts and sync.
+        """
         w = Window(
             "daily", execution_date - timedelta(days=self.cfg.lookback_days), execution_date
         )
@@ -289,16 +312,24 @@ class RateJobs:
         )
         self.validate(w)
         self.publish_fact(w)
+        if require_checks:
+            self._require_checks(w)
         self._together(lambda: self.build_marts(w), self.sync_hot)
         return [s.name for s in used]
 
     def run_backfill(
-        self, start: date, end: date, calls: DataFrame | None = None
+        self,
+        start: date,
+        end: date,
+        calls: DataFrame | None = None,
+        require_checks: bool = False,
     ) -> list[str]:
         """Sources with history over an inclusive date range; the hot table is left alone."""
         w = Window("backfill", start, end)
         used = self._load_and_stage(self.participating("backfill", calls, False), w, start)
         self.validate(w)
         self.publish_fact(w)
+        if require_checks:
+            self._require_checks(w)
         self.build_marts(w)
         return [s.name for s in used]

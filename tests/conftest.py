@@ -16,7 +16,7 @@ def spark(tmp_path_factory):
         "tests",
         "local[4]",
         **{
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "3",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "4g",

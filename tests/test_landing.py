@@ -87,6 +87,15 @@ def test_lines_parse_without_inference(spark):
     assert got == [{"EUR": 1.0, "USD": 1.5}, {"EUR": 2.0, "GBP": 0.5}, {"USD": 1.0}]
 
 
+def test_null_profile_of_lines(spark):
+    lines = spark.createDataFrame(
+        [(json.dumps(record(rates__eur=1, rates__usd__v_double=1.5)),),
+         (json.dumps(record(rates__eur=None, rates__usd=2, rates__usd__v_double=2)),),
+         (json.dumps(record(rates__eur=3)),), ("not json",)], "value string")
+    got = rows(silver.null_profile_of_lines(lines), "currency", "null_rows", "total_rows")
+    assert got == [("EUR", 1, 3), ("USD", 1, 3)]
+
+
 def test_land_append_round_trip(spark, root):
     maps = silver_frame(
         spark,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ratelake import schemas
 from ratelake.config import EngineConfig
 from ratelake.operators.normalize import flatten_map
-from ratelake.plans.runs import CONSENSUS, FACT, HOT, RateJobs
+from ratelake.plans.runs import CONSENSUS, FACT, HOT, ChecksFailed, RateJobs
 from ratelake.sources import landing
 from ratelake.sources.tables import RateTables
 from ratelake.streaming.silver_stream import landing_stream, stream_land_to_silver
@@ -148,6 +148,18 @@ def test_stream_and_batch_build_the_same_silver(spark, root):
     assert got[DAYS[0]] == {"EUR": 0.5} and len(got[DAYS[1]]) == 3
 
 
+def test_failing_check_stops_the_run_before_the_marts(spark, root):
+    land(spark, root, DAYS[:1], only=("frankfurter",))
+    euro = silver_frame(spark, silver_row(DAYS[0].isoformat(), {"USD": 1.1}, base="EUR"))
+    landing.land_append(flatten_map(euro), f"{root}/landing/frankfurter", "daily")
+    j = jobs(spark, root)
+    with pytest.raises(ChecksFailed, match="stg_frankfurter.base_currency accepted_values: 1"):
+        j.run_daily(DAYS[0], require_checks=True)
+    assert j.tables.exists(FACT) and not j.tables.exists("mart_latest_rates")
+    nulls = j.null_rates(CFG.source("frankfurter"), "daily", DAYS[0])
+    assert rows(nulls, "currency", "null_rows") == [("EUR", 1), ("GBP", 1), ("JPY", 1), ("USD", 1)]
+
+
 def test_backfill_without_landing_is_an_empty_run(spark, root):
     j = jobs(spark, root)
     assert j.run_backfill(DAYS[0], DAYS[1]) == []
