@@ -263,7 +263,7 @@ _RUN_DATES = "rate_date BETWEEN DATE '2024-01-17' AND DATE '2024-01-20'"
 
 
 def _run_fact(sources: tuple[str, ...], where: str) -> str:
-    """The fact of a run over landed data, in the reference's shape, for some sources only."""
+    """The fact of a run over landed data, with plain joins, for some sources only."""
     labels = {"frankfurter": "primary", "exchangerate": "secondary", "currencylayer": "tertiary"}
     of = {
         s: f"(SELECT * FROM run_stg WHERE source = '{s}' AND base_currency = 'USD' AND {where})"
