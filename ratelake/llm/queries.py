@@ -5,23 +5,50 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ratelake.llm import exact_dedup, language_id, quality, token_files, toxicity
+from ratelake.llm import decontaminate, exact_dedup, jaccard_join, language_id, mixing, quality, repeated_windows, token_files, toxicity
 from ratelake.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+#: Target token shares of the domains that ``domain_labels`` names.
+TARGETS = {"en": 0.4, "de": 0.2, "fr": 0.2, "es": 0.2}
+
+
+def domain_labels(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, domain) of the rows in the labels table: their language is the domain."""
+    return docs.select("doc_id", F.col("lang").alias("domain")).join(labels.select("doc_id"), "doc_id", "left_semi")
+
+
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return mixing.document_rates(docs, domain_labels(docs, table(spark, sf_dir, "labels")), TARGETS)
+
+
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_components(table(spark, sf_dir, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.toxicity_scores(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op4_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_windows.without_repeats(table(spark, sf_dir, "documents"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return language_id.languages(docs, language_id.train(docs))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -36,12 +63,12 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = [op3_toxicity, op6_language_id, op8_exact_dedup, op9_token_files, op10_quality]
+    found = [op1_mixing, op2_jaccard_join, op3_toxicity, op4_repeated_windows, op6_language_id, op7_decontaminate, op8_exact_dedup, op9_token_files, op10_quality]
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_exact_dedup": EXACT_DEDUP}
+    return {"op2_jaccard_join": JACCARD_JOIN, "op4_repeated_windows": REPEATED_WINDOWS, "op8_exact_dedup": EXACT_DEDUP}
 
 
 EXACT_DEDUP = r"""
@@ -55,3 +82,43 @@ WITH n AS (
 SELECT n.doc_id, g.keep_id, g.group_size, n.doc_id = g.keep_id AS kept, sha256(n.content) AS text_sha256
 FROM n JOIN g USING (content)
 """
+
+JACCARD_JOIN = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS shingle
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 2))) AS i FROM w WHERE len(words) > 0)
+), n AS (SELECT doc_id, count(*) AS size FROM s GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+  FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM common JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+  WHERE 100 * c >= 75 * (nx.size + ny.size - c)
+), reach AS (
+  SELECT doc_id, doc_id AS root FROM documents
+  UNION
+  SELECT l.y, r.root FROM reach r JOIN links l ON l.x = r.doc_id WHERE r.root < l.y
+)
+SELECT r.doc_id, coalesce(any_value(n.size), 0) AS n_shingles, min(r.root) AS component_id
+FROM reach r LEFT JOIN n USING (doc_id) GROUP BY r.doc_id
+"""
+
+REPEATED_WINDOWS = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), k AS (
+  SELECT doc_id, i, array_to_string(words[i:i + 12], ' ') AS win
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM w WHERE len(words) >= 13)
+), f AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY win) AS least FROM k) WHERE least < doc_id
+), c AS (SELECT DISTINCT doc_id, i + o AS j FROM f, (SELECT unnest(range(13)) AS o)),
+e AS (SELECT doc_id, generate_subscripts(words, 1) AS j, unnest(words) AS word FROM w),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY j) AS text, count(*) AS n FROM e ANTI JOIN c USING (doc_id, j) GROUP BY doc_id
+)
+SELECT w.doc_id, len(words) AS n_words, len(words) - coalesce(kept.n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""

@@ -15,6 +15,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 BLOCK_BYTES = 2_000_000
+#: Powers kept for texts up to this size.
+POWERS = 4_000_000
 WORD_BASE = np.uint64(0x9E3779B97F4A7C15)
 WINDOW_BASE = np.uint64(0xD6E8FEB86659FD93)
 
@@ -44,7 +46,7 @@ def _powers(base: np.uint64, count: int) -> np.ndarray:
 
 @cache
 def _block_powers() -> tuple[np.ndarray, np.ndarray]:
-    return _powers(WORD_BASE, BLOCK_BYTES), _powers(inverse(WORD_BASE), BLOCK_BYTES)
+    return _powers(WORD_BASE, POWERS), _powers(inverse(WORD_BASE), POWERS)
 
 
 def inverse(odd: np.uint64) -> np.uint64:
@@ -115,7 +117,7 @@ def words_of(data: np.ndarray, offsets: np.ndarray, lower: bool, first: int = 0)
     end = solid.copy()
     end[:-1] &= ~solid[1:] | begins[1:size]
     starts, ends = np.flatnonzero(start), np.flatnonzero(end) + 1
-    if size <= BLOCK_BYTES:
+    if size <= POWERS:
         up, down = _block_powers()
     else:
         up, down = _powers(WORD_BASE, size), _powers(inverse(WORD_BASE), size)
