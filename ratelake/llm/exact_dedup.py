@@ -34,18 +34,17 @@ def exact_groups(docs: DataFrame, salts: int = SALTS) -> DataFrame:
     identity = ["digest", "check"]
     rank = F.struct("length", (-F.col("doc_id")).alias("minus_id"))
     salted = keyed.groupBy(*identity, "salt", "content").agg(F.max(rank).alias("best"), F.count("*").alias("n"))
-    winners = salted.repartition(*identity).groupBy(*identity, "content").agg(F.max("best").alias("best"), F.sum("n").alias("n"))
+    winners = salted.repartition(*identity).groupBy(*identity, "content").agg(
+        F.max("best").alias("best"), F.sum("n").alias("n"), F.collect_set("salt").alias("salts")
+    )
     # Rows are answered by digest and a second hash; contents that differ in spite of both stop the job.
     groups = winners.groupBy(*identity).agg(
-        F.count("*").alias("contents"), F.max(-F.col("best.minus_id")).alias("keep_id"), F.sum("n").alias("group_size")
-    )
-    groups = groups.select(
-        *identity,
-        F.when(F.col("contents") == 1, F.col("keep_id")).otherwise(F.raise_error(F.lit("different texts share a digest"))).alias("keep_id"),
-        "group_size",
+        F.count("*").alias("contents"), F.max(-F.col("best.minus_id")).alias("keep_id"), F.sum("n").alias("group_size"), F.first("salts").alias("salts")
     )
-    rows = keyed.select("doc_id", *identity)
-    joined = rows.join(groups.hint("merge"), identity)
+    keep_id = F.when(F.col("contents") == 1, F.col("keep_id")).otherwise(F.raise_error(F.lit("different texts share a digest")))
+    # The answers go back by the salts that a group has rows in, so a large group's rows stay spread.
+    answers = groups.select(*identity, keep_id.alias("keep_id"), "group_size", F.explode("salts").alias("salt"))
+    joined = keyed.select("doc_id", *identity, "salt").join(answers.hint("merge"), [*identity, "salt"])
     return joined.select(
         "doc_id",
         "keep_id",
