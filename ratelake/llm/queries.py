@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelake.llm import decontaminate, exact_dedup, jaccard_join, language_id, mixing, quality, repeated_windows, token_files, toxicity
+from ratelake.llm import decontaminate, exact_dedup, html_wrapper, jaccard_join, language_id, mixing, quality, repeated_windows, token_files, toxicity
 from ratelake.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,10 @@ def op4_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_windows.without_repeats(table(spark, sf_dir, "documents"))
 
 
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_wrapper.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return language_id.languages(docs, language_id.train(docs))
@@ -63,7 +67,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = [op1_mixing, op2_jaccard_join, op3_toxicity, op4_repeated_windows, op6_language_id, op7_decontaminate, op8_exact_dedup, op9_token_files, op10_quality]
+    found = [op1_mixing, op2_jaccard_join, op3_toxicity, op4_repeated_windows, op5_main_text, op6_language_id, op7_decontaminate, op8_exact_dedup, op9_token_files, op10_quality]
     return {f.__name__: f for f in found}
 
 
