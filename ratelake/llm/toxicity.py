@@ -30,7 +30,7 @@ from ratelake.llm.shared import crc_fold, labelled_texts
 TRAIN_ROWS = 12_000
 MIN_PREFIX, MAX_PREFIX = 4, 9
 MIN_DOCUMENTS = 3
-MIN_LOG_ODDS = 2.0
+MIN_LOG_ODDS = 1.5
 MIN_SUPPORT = 9.0
 MAX_PATTERNS = 20_000
 LENGTH_SCALE = 2_000.0
