@@ -1,5 +1,5 @@
 """Multi-source currency-rate analytics expressed as Spark DataFrame jobs."""
 
-from ratelake.config import EngineConfig, SourceSpec, default_config
+from ratelake.config import EngineConfig, SourceSpec
 
-__all__ = ["EngineConfig", "SourceSpec", "default_config"]
+__all__ = ["EngineConfig", "SourceSpec"]

@@ -18,7 +18,9 @@ class SourceSpec:
 
     ``priority`` orders the fallback in the fact table and ``fact_tier`` is the label the fact
     carries for it; ``landed_tier`` is the label on landed records.  ``rate_alias`` and
-    ``dev_alias`` name the source's columns in the consensus table.
+    ``dev_alias`` name the source's columns in the consensus table.  ``gate`` says when a run takes
+    the source: ``always``, while it has ``quota``, or on ``request`` (or in place of a source that
+    names it in ``failover_to`` and is out).
     """
 
     name: str
@@ -34,6 +36,7 @@ class SourceSpec:
     has_success_flag: bool = False
     has_history: bool = True
     quota_limit: int = 100
+    gate: str = "quota"
     failover_to: str | None = None
     max_plausible_rate: float = 1_000_000.0
 
@@ -51,7 +54,7 @@ DEFAULT_SOURCES = (
     SourceSpec(
         name="frankfurter", priority=1, fact_tier="primary", landed_tier="primary",
         default_base="EUR", rate_alias="frank_rate", dev_alias="frank_dev",
-        range_id_prefix="fr", quota_limit=999_999_999,
+        range_id_prefix="fr", quota_limit=999_999_999, gate="always",
     ),
     SourceSpec(
         name="exchangerate", priority=2, fact_tier="secondary", landed_tier="secondary",
@@ -63,7 +66,7 @@ DEFAULT_SOURCES = (
         name="currencylayer", priority=3, fact_tier="tertiary", landed_tier="secondary",
         default_base="USD", rate_alias="currencylayer_rate", dev_alias="cl_dev",
         range_id_prefix="cl", snapshot_id_has_date=True, quotes_prefixed=True,
-        has_success_flag=True, quota_limit=100,
+        has_success_flag=True, quota_limit=100, gate="request",
     ),
 )
 
@@ -74,7 +77,6 @@ class EngineConfig:
     base_currency: str = "USD"
     deviation_threshold: float = 0.005
     lookback_days: int = 3
-    analysis_readback_days: int = 14
     volatility_days: int = 90
     monthly_history_months: int = 24
     quota_cycle_seconds: int = 30 * 86_400
@@ -90,7 +92,3 @@ class EngineConfig:
         """Sources in fallback order; a backfill only uses those that serve history."""
         ranked = sorted(self.sources, key=lambda s: s.priority)
         return [s for s in ranked if mode == "daily" or s.has_history]
-
-
-def default_config(**overrides) -> EngineConfig:
-    return EngineConfig(**overrides)

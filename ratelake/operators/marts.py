@@ -113,19 +113,26 @@ def rate_analysis_incremental(
     mode: str,
     execution_date: str | date | None = None,
     newest_loaded: date | None = None,
-    readback_days: int = 14,
+    window_rows: int = 7,
 ) -> DataFrame:
     """Rows from the mart's newest date (daily) or the execution date (backfill) on.
 
-    The windows run over ``readback_days`` more, and only then are the earlier rows dropped, so
-    the first emitted rows have a full trailing window.
+    The windows count rows, so each pair is led in by the rows it had last before that date, however
+    far back they lie.  They are picked by a ranked limit that runs ahead of the shuffle.
     """
     since = newest_loaded if mode == "daily" else (execution_date or "1970-01-01")
     if since is None:
-        return rate_analysis(fact)
+        return rate_analysis(fact, window_rows)
     start = F.lit(since).cast("date")
-    recent = fact.where(F.col("rate_date") >= F.date_sub(start, readback_days))
-    return rate_analysis(recent).where(F.col("rate_date") >= start)
+    slim = fact.select("rate_date", *PAIR, "exchange_rate")
+    lead_in = first_per_key(
+        slim.where(F.col("rate_date") < start),
+        PAIR,
+        [F.col("rate_date").desc()],
+        max(1, window_rows - 1),
+    )
+    recent = slim.where(F.col("rate_date") >= start).unionByName(lead_in)
+    return rate_analysis(recent, window_rows).where(F.col("rate_date") >= start)
 
 
 def cross_rates(

@@ -21,18 +21,23 @@ from ratelake.config import DEFAULT_SOURCES, SourceSpec
 from ratelake.functions.columns import epoch_second, second_to_ntz
 
 BITS = 32_768
-MAX_BROADCAST_SOURCES = 10_000
 WARN_PCT = 90.0
 UNMETERED_LIMIT = 1_000_000
 
 
-def busy_seconds(calls: DataFrame) -> DataFrame:
-    """(api_source, bucket, bits): the seconds with at least one call."""
-    sec = epoch_second(F.col("called_at"))
+def per_second(calls: DataFrame) -> DataFrame:
+    """(api_source, sec, n, t): calls and throttle mark of each second, reduced map-side."""
     return (
-        calls.select("api_source", sec.alias("sec"))
-        .groupBy("api_source", F.floor(F.col("sec") / BITS).alias("bucket"))
-        .agg(F.bitmap_construct_agg(F.pmod(F.col("sec"), F.lit(BITS))).alias("bits"))
+        calls.select("api_source", epoch_second(F.col("called_at")).alias("sec"), _throttle(calls).alias("t"))
+        .groupBy("api_source", "sec")
+        .agg(F.count(F.lit(1)).alias("n"), F.max("t").alias("t"))
+    )
+
+
+def busy_seconds(seconds: DataFrame) -> DataFrame:
+    """(api_source, bucket, bits): the seconds with at least one call."""
+    return seconds.groupBy("api_source", F.floor(F.col("sec") / BITS).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.pmod(F.col("sec"), F.lit(BITS))).alias("bits")
     )
 
 
@@ -60,55 +65,26 @@ def chain_starts(
         threshold = starts[-1] + length
 
 
-def cycle_starts(
-    calls: DataFrame, length_seconds: int, previous: DataFrame | None = None
-) -> DataFrame:
-    """One row per source with the sorted array of its cycle starts (epoch seconds).
-
-    ``previous`` holds the starts found so far, in the same shape; the chain goes on from the
-    expiry of the last one.
-    """
-    shape = "api_source string, starts array<bigint>"
-    if previous is None:
-        previous = calls.sparkSession.createDataFrame([], shape)
+def cycle_starts(seconds: DataFrame, length_seconds: int) -> DataFrame:
+    """One row per source with the sorted array of its cycle starts (epoch seconds)."""
 
-    def chain(key: tuple, busy: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        starts = [int(s) for s in known["starts"].iloc[0]] if len(known) else []
+    def chain(busy: pd.DataFrame) -> pd.DataFrame:
         busy = busy.sort_values("bucket")
-        if len(busy):
-            resume = starts[-1] + length_seconds if starts else None
-            starts += chain_starts(
-                busy["bucket"].to_numpy(), list(busy["bits"]), length_seconds, resume
-            )
-        return pd.DataFrame({"api_source": [key[0]], "starts": [starts]})
+        starts = chain_starts(busy["bucket"].to_numpy(), list(busy["bits"]), length_seconds)
+        return pd.DataFrame({"api_source": [busy["api_source"].iloc[0]], "starts": [starts]})
 
-    by_source = busy_seconds(calls).groupBy("api_source")
-    return by_source.cogroup(previous.groupBy("api_source")).applyInPandas(chain, shape)
+    by_source = busy_seconds(seconds).groupBy("api_source")
+    return by_source.applyInPandas(chain, "api_source string, starts array<bigint>")
 
 
-def count_calls(calls: DataFrame, starts: DataFrame) -> DataFrame:
-    """Calls per (api_source, start_sec).
+def count_calls(seconds: DataFrame, length_seconds: int) -> DataFrame:
+    """Calls per (api_source, start_sec) from reduced seconds.
 
-    The starts are one row per source.  Their number is counted before they are broadcast; with
-    more sources than the bound, calls are first reduced to one row per source and second and
-    joined on the source, where adaptive execution splits a source that is too large.  A call that
-    is older than the first known start counts for the first cycle.
+    One lazy plan: the seconds, at most one row per source and second however many calls there
+    were, are used for the chain of starts and joined with it.
     """
-    starts = starts.persist()
-    per_call = calls.select(
-        "api_source", epoch_second(F.col("called_at")).alias("sec"), _throttle(calls).alias("t")
-    )
-    if starts.limit(MAX_BROADCAST_SOURCES + 1).count() <= MAX_BROADCAST_SOURCES:
-        counted = per_call.select("api_source", "sec", F.lit(1).alias("n"), "t")
-        joined = counted.join(F.broadcast(starts), "api_source")
-    else:
-        counted = per_call.groupBy("api_source", "sec").agg(
-            F.count(F.lit(1)).alias("n"), F.max("t").alias("t")
-        )
-        joined = counted.join(starts, "api_source")
-    start = F.coalesce(
-        F.array_max(F.filter("starts", lambda s: s <= F.col("sec"))), F.get("starts", F.lit(0))
-    )
+    joined = seconds.join(cycle_starts(seconds, length_seconds), "api_source")
+    start = F.array_max(F.filter("starts", lambda s: s <= F.col("sec")))
     return joined.groupBy("api_source", start.alias("start_sec")).agg(
         F.sum("n").cast("bigint").alias("request_count"), F.max("t").alias("throttled")
     )
@@ -116,7 +92,7 @@ def count_calls(calls: DataFrame, starts: DataFrame) -> DataFrame:
 
 def assign_cycles(calls: DataFrame, length_seconds: int) -> DataFrame:
     """Requests per (api_source, cycle_start); every call counts, failed ones too."""
-    counted = count_calls(calls, cycle_starts(calls, length_seconds))
+    counted = count_calls(per_second(calls), length_seconds)
     return counted.select(
         "api_source",
         second_to_ntz(F.col("start_sec")).alias("cycle_start"),
@@ -222,32 +198,32 @@ def source_gating(
     include_third: bool = False,
     sources: Sequence[SourceSpec] = DEFAULT_SOURCES,
 ) -> DataFrame:
-    """(api_source, participates).
+    """(api_source, participates) of any number of sources, by each source's own rule.
 
-    daily: the first source always; the second while it has quota; the third on request or when
-    the second is out.  backfill: the first always, the second never, the third while it has quota.
+    ``always`` takes part in every run.  ``quota`` takes part while it has quota, ``request`` does so
+    in a backfill.  In a daily run, ``request`` sources take part on request or when a source that
+    they stand in for (``failover_to``) is out.  A source without history sits out a backfill.
     """
-    first, second, third = (s.name for s in sorted(sources, key=lambda s: s.priority))
-    names = status.sparkSession.createDataFrame([(n,) for n in (first, second, third)],
-                                                "api_source string")
-    flags = quota_status_defaults(status, names)
-    me = F.col("api_source")
-    second_ok = F.min(F.when(me == second, F.col("available")))
-    third_ok = F.min(F.when(me == third, F.col("available")))
-    one = flags.agg(second_ok.alias("second_ok"), third_ok.alias("third_ok"))
+    rules = [(s.name, s.gate, s.has_history, [o.name for o in sources if o.failover_to == s.name]) for s in sources]
+    table = status.sparkSession.createDataFrame(
+        rules, "api_source string, gate string, has_history boolean, stands_for array<string>"
+    )
+    flags = quota_status_defaults(status, table.select("api_source"))
+    out = flags.where(~F.col("available")).select(F.col("api_source").alias("missing"))
+    needed = (
+        table.select("api_source", F.explode("stands_for").alias("missing"))
+        .join(out, "missing")
+        .select("api_source", F.lit(True).alias("needed"))
+        .distinct()
+    )
+    known = table.join(flags, "api_source").join(needed, "api_source", "left")
+    gate, ok = F.col("gate"), F.col("available")
     if mode == "daily":
-        takes_second, takes_third = F.col("second_ok"), F.lit(include_third) | ~F.col("second_ok")
+        asked = F.lit(include_third) | F.coalesce("needed", F.lit(False))
+        takes = F.when(gate == "always", True).when(gate == "quota", ok).otherwise(asked)
     else:
-        takes_second, takes_third = F.lit(False), F.col("third_ok")
-    return one.select(
-        F.explode(
-            F.array(
-                F.struct(F.lit(first).alias("api_source"), F.lit(True).alias("participates")),
-                F.struct(F.lit(second).alias("api_source"), takes_second.alias("participates")),
-                F.struct(F.lit(third).alias("api_source"), takes_third.alias("participates")),
-            )
-        ).alias("g")
-    ).select("g.api_source", "g.participates")
+        takes = F.col("has_history") & ((gate == "always") | ok)
+    return known.select("api_source", takes.alias("participates"))
 
 
 def quota_status_defaults(status: DataFrame, names: DataFrame) -> DataFrame:

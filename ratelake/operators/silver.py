@@ -50,24 +50,34 @@ def null_profile(df: DataFrame, prefix: str = RATE_PREFIX) -> DataFrame:
 
 
 def null_profile_of_lines(lines: DataFrame, column: str = "value") -> DataFrame:
-    """The same profile straight from landed JSON lines, for currencies seen at least once.
+    """The same profile straight from landed JSON lines, for every code the lines name.
 
-    A record that lacks a currency counts as NULL for it, as it would after a union by name.  Every
-    record also emits one entry without a code, whose count is the number of records; spreading it
-    over the result is a window over one row per currency.
+    A record that lacks a currency counts as NULL for it, as it would after a union by name; a code
+    that is NULL in all records is reported too.  Every record also emits one entry without a code,
+    whose count is the number of records; spreading it over the result is a window over one row per
+    currency.
     """
-    keys = F.filter(
+    entries = F.filter(
         F.map_entries(F.from_json(F.col(column), "map<string,string>")),
-        lambda e: e["key"].startswith(RATE_PREFIX) & e["value"].isNotNull(),
+        lambda e: e["key"].startswith(RATE_PREFIX),
     )
-    codes = F.array_distinct(F.transform(keys, lambda e: _text_code(e["key"])))
-    seen = lines.where(F.try_parse_json(column).isNotNull()).select(
-        F.explode(F.concat(F.array(F.lit("")), codes)).alias("currency")
+
+    def codes(of: Column) -> Column:
+        return F.array_distinct(F.transform(of, lambda e: _text_code(e["key"])))
+
+    present = F.filter("entries", lambda e: e["value"].isNotNull())
+    named = F.transform("named", lambda c: F.struct(c.alias("currency"), F.array_contains("present", c).alias("there")))
+    total = F.array(F.struct(F.lit("").alias("currency"), F.lit(True).alias("there")))
+    seen = (
+        lines.where(F.try_parse_json(column).isNotNull())
+        .select(entries.alias("entries"))
+        .select(codes(F.col("entries")).alias("named"), codes(present).alias("present"))
+        .select(F.inline(F.concat(total, named)))
     )
-    counts = seen.groupBy("currency").agg(F.count(F.lit(1)).alias("n"))
-    total = F.max(F.when(F.col("currency") == "", F.col("n"))).over(Window.partitionBy())
+    counts = seen.groupBy("currency").agg(F.count_if("there").alias("n"))
+    total_rows = F.max(F.when(F.col("currency") == "", F.col("n"))).over(Window.partitionBy())
     return (
-        counts.withColumn("total_rows", total)
+        counts.withColumn("total_rows", total_rows)
         .where(F.col("currency") != "")
         .select("currency", (F.col("total_rows") - F.col("n")).alias("null_rows"), "total_rows")
     )
@@ -139,6 +149,28 @@ def records_from_json_lines(lines: DataFrame, column: str = "value") -> DataFram
     )
 
 
+def rejected_lines(
+    lines: DataFrame, source: str | None = None, column: str = "value"
+) -> DataFrame:
+    """(reason, rows) of the landed lines a load leaves out, one reason per line.
+
+    ``bad_line`` is no JSON object, ``other_source`` carries another label or none, ``bad_date`` has
+    no date, ``bad_key`` has a rate without a code (only that entry is dropped).
+    """
+    line = F.from_json(F.col(column), "map<string,string>")
+    keys = F.map_keys(F.col("_m"))
+    bad_key = F.exists(keys, lambda k: k.startswith(RATE_PREFIX) & (_text_code(k) == ""))
+    other = F.lit(False) if source is None else ~_field("source").eqNullSafe(F.lit(source))
+    reason = (
+        F.when(F.col("_m").isNull(), "bad_line")
+        .when(other, "other_source")
+        .when(_field("rate_date").try_cast("date").isNull(), "bad_date")
+        .when(bad_key, "bad_key")
+    )
+    found = lines.where(F.trim(column) != "").select(line.alias("_m")).select(reason.alias("reason"))
+    return found.where(F.col("reason").isNotNull()).groupBy("reason").agg(F.count("*").alias("rows"))
+
+
 def _field(name: str) -> Column:
     return F.try_element_at(F.col("_m"), F.lit(name))
 

@@ -18,6 +18,7 @@ from ratelake.config import EngineConfig
 from ratelake.functions.columns import double_map, strip_prefix
 from ratelake.operators import consensus as cons
 from ratelake.operators import dq, fact, hot, marts, normalize, quota, silver, staging
+from ratelake.operators.ranking import first_per_key
 from ratelake.plans import views
 from ratelake.plans.runs import FACT, RateJobs
 from ratelake.session import prepare, scratch_path
@@ -289,7 +290,7 @@ def _land(spark, sf_dir, label: str) -> str:
 def _q(spark, sf_dir):
     root = scratch_path(spark, "land")
     landing.land_append(views.fx_landed_wide(spark, sf_dir).drop("slot"), root, "daily")
-    lines = landing.scan_lines(spark, landing.LandingScan(f"{root}/daily", True, "*.json*"))
+    lines = landing.scan_lines(spark, landing.LandingScan((f"{root}/daily",), "*.json*"))
     return _long(silver.records_from_json_lines(lines))
 
 
@@ -327,7 +328,7 @@ def _q(spark, sf_dir):
     found = []
     for s in CFG.sources:
         scan = landing.resolve_landing(
-            spark, f"{root}/{s.name}", "backfill", date(2024, 1, 1), date(2030, 6, 1)
+            spark, f"{root}/{s.name}", "backfill", date(2024, 1, 1)
         )
         found.append(silver.records_from_json_lines(landing.scan_lines(spark, scan)))
     return _long(reduce(DataFrame.unionByName, found))
@@ -359,7 +360,7 @@ def _q(spark, sf_dir):
         F.col("event_id").alias("version"),
         F.col("extraction_timestamp").alias("updated_at"),
     )
-    return tables.latest_locations(entries)
+    return first_per_key(entries, ["table_name", "slice"], [F.col("version").desc()])
 
 
 def _hot_items(spark, sf_dir, whole_history: bool) -> DataFrame:
@@ -436,9 +437,11 @@ def _q(spark, sf_dir):
 
 @query("silver_null_profile_lines")
 def _q(spark, sf_dir):
+    """As above from landed lines, with one more currency that is NULL in every record."""
     root = scratch_path(spark, "null-lines")
-    landing.land_append(views.fx_landed_wide(spark, sf_dir).drop("slot"), root, "daily")
-    lines = landing.scan_lines(spark, landing.LandingScan(f"{root}/daily", True, "*.json*"))
+    wide = views.fx_landed_wide(spark, sf_dir).drop("slot")
+    landing.land_append(wide.withColumn("rates__zzz", F.lit(None).cast("double")), root, "daily")
+    lines = landing.scan_lines(spark, landing.LandingScan((f"{root}/daily",), "*.json*"))
     return silver.null_profile_of_lines(lines)
 
 
@@ -958,6 +961,40 @@ def _q(spark, sf_dir):
     return _rounded(jobs.tables.read(FACT, schemas.FACT))
 
 
+@query("backfill_run_months")
+def _q(spark, sf_dir):
+    """The daily series landed day by day over years, backfilled across a turn of the year."""
+    series = views.fx_series(spark, sf_dir)
+    source = CFG.source("frankfurter")
+    records = series.groupBy("rate_date", "base_currency").agg(
+        F.map_from_entries(F.collect_list(F.struct("target_currency", "exchange_rate"))).alias("m")
+    ).select(
+        F.concat(F.lit("fr_"), F.col("rate_date").cast("string")).alias("extraction_id"),
+        F.col("rate_date").cast("timestamp_ntz").alias("extraction_timestamp"),
+        F.lit(source.name).alias("source"),
+        F.lit(source.landed_tier).alias("source_tier"),
+        "base_currency",
+        "rate_date",
+        F.lit(200).alias("http_status_code"),
+        F.col("m").alias("rates"),
+    )
+    jobs = RateJobs(
+        spark,
+        tables.RateTables(spark, scratch_path(spark, "months-tables")),
+        scratch_path(spark, "months-landing"),
+        CFG,
+        seed=views.fx_dim(spark, sf_dir),
+        as_of=AS_OF,
+    )
+    landing.land_append(
+        normalize.flatten_map(records, codes=views.CODES),
+        f"{jobs.landing_root}/{source.name}",
+        "backfill",
+    )
+    jobs.run_backfill(date(1996, 11, 10), date(1997, 2, 20))
+    return _rounded(jobs.tables.read(FACT, schemas.FACT))
+
+
 @query("stream_land_to_silver")
 def _q(spark, sf_dir):
     root = scratch_path(spark, "stream-landing")

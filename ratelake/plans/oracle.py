@@ -488,7 +488,7 @@ def oracle_sql() -> dict[str, str]:
             f"FROM fx_wide" for c in _CODES]), "fx_wide"),
         "silver_null_profile": _sql(profile, "fx_wide"),
         "silver_null_profile_lines": _sql(
-            f"SELECT * FROM ({profile}) p WHERE null_rows < total_rows", "fx_wide"),
+            f"{profile} UNION ALL SELECT 'ZZZ', COUNT(*), COUNT(*) FROM fx_wide", "fx_wide"),
         "silver_rebuild_map": _LANDED_LONG,
         "silver_date_window": _sql("""SELECT extraction_id, rate_date FROM fx_wide
             WHERE rate_date >= DATE '2024-01-17'""", "fx_wide"),
@@ -600,8 +600,7 @@ def oracle_sql() -> dict[str, str]:
                        ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 9) AS ma_7_day,
                      ROUND(exchange_rate - LAG(exchange_rate) OVER {_PAIR_WINDOW}), 9)
                        AS daily_change
-              FROM fx_series
-              WHERE rate_date >= (SELECT MAX(rate_date) FROM fx_series) - INTERVAL '44' DAY) t
+              FROM fx_series) t
             WHERE rate_date >= (SELECT MAX(rate_date) FROM fx_series) - INTERVAL '30' DAY""",
             "fx_series"),
         "mart_cross_rates": _sql(f"""
@@ -721,8 +720,21 @@ def oracle_sql() -> dict[str, str]:
                                  AS third_ok FROM available) s""", "available", "config"),
         # runs and streams
         "daily_run": _run_fact(
-            ("frankfurter", "exchangerate", "currencylayer"), "rate_date = DATE '2024-01-20'"),
+            ("frankfurter", "exchangerate", "currencylayer"),
+            "rate_date BETWEEN DATE '2024-01-17' AND DATE '2024-01-20'"),
         "backfill_run": _run_fact(("frankfurter", "currencylayer"), "TRUE"),
+        "backfill_run_months": _sql(f"""
+            SELECT {_FACT_ROW} FROM (
+              SELECT 'fr_' || CAST(rate_date AS VARCHAR) AS extraction_id,
+                     CAST(rate_date AS TIMESTAMP) AS extraction_timestamp, rate_date,
+                     base_currency || '/' || target_currency AS currency_pair, base_currency,
+                     target_currency, exchange_rate, inverse_rate, 'frankfurter' AS source,
+                     'primary' AS source_tier, 'VALIDATED' AS validation_status,
+                     'OK' AS severity, CAST(0.0 AS DOUBLE) AS consensus_variance,
+                     'fact_rates_validated' AS model_name
+              FROM fx_series
+              WHERE rate_date BETWEEN DATE '1996-11-10' AND DATE '1997-02-20'
+                AND exchange_rate > 0) t""", "fx_series"),
         "stream_land_to_silver": _SILVER_LONG,
         "stream_quota_meter": _sql(
             "SELECT api_source, cycle_start, request_count FROM cycles", "cycles"),

@@ -89,16 +89,24 @@ class RateJobs:
         taken = {r.api_source for r in gates.where("participates").toLocalIterator()}
         return [s for s in self.cfg.by_priority() if s.name in taken]
 
+    def landed(self, source: SourceSpec, mode: str, start: date) -> DataFrame:
+        """Lines of every landed file that may hold rows of the run."""
+        base = f"{self.landing_root}/{source.name}"
+        scan = landing.resolve_landing(
+            self.spark, base, mode, start, self.layout, self.cfg.lookback_days
+        )
+        return landing.scan_lines(self.spark, scan)
+
     def load_silver(self, source: SourceSpec, mode: str, start: date, end: date) -> bool:
-        """Landed files of one source into its silver table; False if nothing has landed."""
-        today = self.as_of.date() if self.as_of else date.today()
+        """Landed files of one source into its silver table; False if nothing has landed.
+
+        What is left out is told by ``rejected``.
+        """
         try:
-            scan = landing.resolve_landing(
-                self.spark, f"{self.landing_root}/{source.name}", mode, start, today, self.layout
-            )
+            lines = self.landed(source, mode, start)
         except NoLandingData:
             return False
-        records = silver.records_from_json_lines(landing.scan_lines(self.spark, scan))
+        records = silver.records_from_json_lines(lines)
         batch = silver.build_silver(
             records.where(F.col("source") == source.name),
             mode,
@@ -110,6 +118,10 @@ class RateJobs:
         self.tables.upsert(source.silver_table, batch, self.cfg.silver_keys, as_of=self.as_of)
         return True
 
+    def rejected(self, source: SourceSpec, mode: str, start: date) -> DataFrame:
+        """(reason, rows) of the landed lines that ``load_silver`` leaves out."""
+        return silver.rejected_lines(self.landed(source, mode, start), source.name)
+
     def _slice(self, w: Window) -> dict:
         """Replace the recomputed dates, or only merge by key."""
         if not self.cfg.replace_slices:
@@ -140,7 +152,7 @@ class RateJobs:
             as_of=self.as_of,
         )
         self.tables.upsert(
-            CONSENSUS, batch, cons.CONSENSUS_KEYS, as_of=self.as_of, **self._slice(w)
+            CONSENSUS, batch, cons.CONSENSUS_KEYS, as_of=self.as_of, grain="month", **self._slice(w)
         )
 
     def publish_fact(self, w: Window) -> None:
@@ -169,7 +181,12 @@ class RateJobs:
                 fact.FACT_KEYS,
             )
         self.tables.upsert(
-            FACT, dq.enforce_contract(batch), fact.FACT_KEYS, as_of=self.as_of, **self._slice(w)
+            FACT,
+            dq.enforce_contract(batch),
+            fact.FACT_KEYS,
+            as_of=self.as_of,
+            grain="month",
+            **self._slice(w),
         )
 
     def build_marts(self, w: Window) -> None:
@@ -195,20 +212,21 @@ class RateJobs:
             marts.mart_latest_rates(rows, dim),
             fact.FACT_KEYS,
             as_of=self.as_of,
+            grain="month",
             **self._slice(w),
         )
 
     def _refresh_analysis(self, w: Window) -> None:
         """From the window's start to the newest date: later rows average over changed ones."""
-        back = self.cfg.analysis_readback_days
-        rows = self.tables.read(FACT, schemas.FACT, w.since - timedelta(days=back))
-        batch = marts.rate_analysis_incremental(rows, "backfill", w.since, readback_days=back)
+        rows = self.tables.read(FACT, schemas.FACT)
+        batch = marts.rate_analysis_incremental(rows, "backfill", w.since)
         self.tables.upsert(
             "mart_rate_analysis",
             batch,
             fact.FACT_KEYS,
             replace_from=w.since if self.cfg.replace_slices else None,
             as_of=self.as_of,
+            grain="month",
         )
 
     def _rebuild_conversions(self, newest: date) -> None:
@@ -272,10 +290,7 @@ class RateJobs:
 
     def null_rates(self, source: SourceSpec, mode: str, start: date) -> DataFrame:
         """Missing rates per currency in the files a run would load."""
-        today = self.as_of.date() if self.as_of else date.today()
-        base = f"{self.landing_root}/{source.name}"
-        scan = landing.resolve_landing(self.spark, base, mode, start, today, self.layout)
-        return silver.null_profile_of_lines(landing.scan_lines(self.spark, scan))
+        return silver.null_profile_of_lines(self.landed(source, mode, start))
 
     # -- runs -------------------------------------------------------------------------------
 

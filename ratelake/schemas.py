@@ -56,13 +56,6 @@ DIMENSION = _struct(
     country_code=_STRING, country_name=_STRING, currency_code=_STRING, region=_STRING
 )
 
-REGISTRY = _struct(
-    table_name=_STRING, slice=_STRING, location=_STRING, version=_LONG, columns=_STRING,
-    updated_at=_TS,
-)
-
-CALLS = _struct(call_id=_LONG, called_at=_NTZ, api_source=_STRING, success=_BOOL)
-
 CYCLES = _struct(
     api_source=_STRING, cycle_start=_NTZ, cycle_end=_NTZ, request_count=_LONG, throttled=_BOOL,
     batch_id=_LONG,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -28,3 +30,24 @@ def matches(spark: SparkSession, pattern: str) -> bool:
     fs, p = _fs(spark, pattern)
     found = fs.globStatus(p)
     return found is not None and len(found) > 0
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_new(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that appears whole or not at all; fails if the path is taken."""
+    fs, p = _fs(spark, path)
+    _, temporary = _fs(spark, f"{path.rsplit('/', 1)[0]}/.{uuid.uuid4().hex}")
+    stream = fs.create(temporary, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    if fs.exists(p) or not fs.rename(temporary, p):
+        fs.delete(temporary, False)
+        raise FileExistsError(path)

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import date
-from functools import reduce
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,55 +17,49 @@ MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
 class NoLandingData(ValueError):
-    """None of the candidate folders exists."""
+    """No landed file can hold rows of the range."""
 
 
 @dataclass(frozen=True)
 class LandingLayout:
-    """Path templates over {base}, {year}, {month}, {day}; the last segment is a file glob."""
+    """How landed files lie below {base}/{mode}: by the day of their extraction.
 
-    daily: str
-    backfill_day: str
-    backfill_month: str
-    backfill_root: str
-    root_glob: str
+    ``day_glob`` finds the files of one day, ``name_glob`` all files by name; ``day_in_path`` picks
+    year, month and day out of a file's path.
+    """
+
+    day_glob: str
+    name_glob: str
+    day_in_path: str
 
 
 # What ``land_append`` writes.
 PARTITIONED = LandingLayout(
-    daily="{base}/daily/year={year}/month={month}/day={day}/*.json*",
-    backfill_day="{base}/backfill/year={year}/month={month}/day={day}/*.json*",
-    backfill_month="{base}/backfill/year={year}/month={month}/*/*.json*",
-    backfill_root="{base}/backfill",
-    root_glob="*.json*",
+    day_glob="year={year}/month={month}/day={day}/*.json*",
+    name_glob="*.json*",
+    day_in_path=r"/year=(\d{4})/month=(\d{2})/day=(\d{2})/[^/]*$",
 )
 
 # Year and month folders with the date in the file name.
 DATED_FILES = LandingLayout(
-    daily="{base}/daily/{year}/{month}/{year}_{month}_{day}*.jsonl*",
-    backfill_day="{base}/backfill/{year}/{month}/{year}_{month}_{day}*.jsonl*",
-    backfill_month="{base}/backfill/{year}/{month}/*.jsonl*",
-    backfill_root="{base}/backfill",
-    root_glob="*.jsonl*",
+    day_glob="{year}/{month}/{year}_{month}_{day}*.jsonl*",
+    name_glob="*.jsonl*",
+    day_in_path=r"/(\d{4})_(\d{2})_(\d{2})[^/]*$",
 )
 
 
 @dataclass(frozen=True)
 class LandingScan:
-    """What to read: a glob, or a folder walked recursively for a file name pattern."""
-
-    path: str
-    recursive: bool = False
-    name_glob: str | None = None
-
-
-def _parts(day: date) -> dict[str, str]:
-    return {"year": f"{day:%Y}", "month": f"{day:%m}", "day": f"{day:%d}"}
+    """What to read: globs, or one folder walked recursively for a file name pattern.
 
+    ``since`` leaves out files whose path names an earlier extraction day; a path without a day is
+    always read.
+    """
 
-def _folder(pattern: str) -> str:
-    folder = pattern.rsplit("/", 1)[0]
-    return folder.removesuffix("/*")
+    paths: tuple[str, ...]
+    name_glob: str | None = None
+    since: date | None = None
+    day_in_path: str | None = None
 
 
 def resolve_landing(
@@ -74,52 +67,45 @@ def resolve_landing(
     base: str,
     mode: str,
     start: date,
-    today: date,
     layout: LandingLayout = PARTITIONED,
+    lookback_days: int = 0,
 ) -> LandingScan:
-    """First candidate whose folder exists.
+    """All files that may hold rows of a run from ``start`` on; extraction days date the files.
 
-    daily: the day, then the whole backfill area.  backfill: today's day, today's month, the
-    target month, then the whole area.  As the folder decides, a month folder without the day's
-    files yields a scan without rows rather than a fallback.
+    daily: the files extracted on ``start`` and the ``lookback_days`` before it; a day without files
+    adds nothing.  backfill: everything extracted since ``start`` (a day of slack covers time zones),
+    as history of a date is fetched on that date or later.
     """
     if mode == "daily":
-        patterns = [layout.daily.format(base=base, **_parts(start))]
+        days = [start - timedelta(days=n) for n in range(lookback_days, -1, -1)]
+        globs = [f"{base}/daily/" + layout.day_glob.format(year=f"{d:%Y}", month=f"{d:%m}", day=f"{d:%d}") for d in days]
+        found = tuple(g for g in globs if files.matches(spark, g))
+        if found:
+            return LandingScan(found)
     elif mode == "backfill":
-        patterns = [
-            layout.backfill_day.format(base=base, **_parts(today)),
-            layout.backfill_month.format(base=base, **_parts(today)),
-            layout.backfill_month.format(base=base, **_parts(start)),
-        ]
+        root = f"{base}/backfill"
+        if files.exists(spark, root):
+            return LandingScan((root,), layout.name_glob, start - timedelta(days=1), layout.day_in_path)
     else:
         raise ValueError(f"unknown mode {mode}")
-    for pattern in patterns:
-        if files.exists(spark, _folder(pattern)):
-            return LandingScan(pattern)
-    root = layout.backfill_root.format(base=base)
-    if files.exists(spark, root):
-        return LandingScan(root, recursive=True, name_glob=layout.root_glob)
     raise NoLandingData(f"no landing data for mode {mode} below {base}")
 
 
-def _reader(spark: SparkSession, scan: LandingScan):
-    reader = spark.read
-    if scan.recursive:
-        reader = reader.option("recursiveFileLookup", "true")
-        reader = reader.option("pathGlobFilter", scan.name_glob)
-    return reader
-
-
 def scan_lines(spark: SparkSession, scan: LandingScan) -> DataFrame:
-    """Raw JSON lines with their file name; an unmatched glob gives no rows.
+    """Raw JSON lines with their file name.
 
-    The engine parses these with ``records_from_json_lines``: one pass, no inference.
+    The engine parses these with ``records_from_json_lines``: one pass, no inference.  The test of
+    the extraction day is on file metadata, so files that are too old are never opened.
     """
-    if not scan.recursive and not files.matches(spark, scan.path):
-        return spark.createDataFrame([], "value string, filename string")
-    return _reader(spark, scan).text(scan.path).select(
-        "value", F.col("_metadata.file_path").alias("filename")
-    )
+    reader = spark.read
+    if scan.name_glob:
+        reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", scan.name_glob)
+    path = F.col("_metadata.file_path")
+    lines = reader.text(list(scan.paths))
+    if scan.since is not None:
+        day = F.concat_ws("-", *[F.regexp_extract(path, scan.day_in_path, i) for i in (1, 2, 3)])
+        lines = lines.where((day == "--") | (day >= F.lit(scan.since.isoformat())))
+    return lines.select("value", path.alias("filename"))
 
 
 def scan_jsonl_union(
@@ -158,7 +144,8 @@ def land_append(
 ) -> None:
     """Append records as gzip JSON lines below mode/year/month/day; nothing is ever replaced.
 
-    Timestamps keep their microseconds; the newest extraction is picked by them later on.
+    Timestamps keep their microseconds; the newest extraction is picked by them later on.  NULL
+    fields are written, so that a currency without any rate can still be told from an unknown one.
     Rebalancing by day gives one task's worth of rows per file and splits a day that is too large
     for one task.
     """
@@ -175,11 +162,8 @@ def land_append(
         .write.mode("append")
         .partitionBy("year", "month", "day")
         .option("compression", "gzip")
+        .option("ignoreNullFields", "false")
         .option("timestampFormat", MICROS)
         .option("timestampNTZFormat", MICROS)
         .json(f"{base}/{mode}")
     )
-
-
-def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -1,62 +1,51 @@
-"""Versioned Parquet tables with keyed upserts.
+"""Parquet tables with keyed upserts.
 
-Plain Parquet has no MERGE.  A table is kept as slices (by default the month of ``rate_date``),
-each slice a folder written once.  A registry records which folder is current per slice, one row
-per (slice, commit).  An upsert reads only the slices the batch touches, writes them merged to new
-folders and then publishes the new locations with one append to the registry:
+Plain Parquet has no MERGE.  A table is kept as slices (days, or months where a table is small), each
+a folder written once.  Every commit writes one small manifest with the complete list of slices; a
+reader opens the newest only.  An upsert reads the slices the batch touches, writes them merged to new
+folders and then publishes:
 
 * readers keep the folders they resolved; no path that is being read is overwritten;
 * a job that dies before publishing leaves the table as it was, and can simply be run again;
-* a daily run rewrites a month, not the table.
+* a run of one day rewrites that day.
 """
 
 from __future__ import annotations
 
 import json
-import os
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ratelake import schemas
 from ratelake.operators.ranking import first_per_key
 from ratelake.sources import files
 
 WHOLE = "all"
 UNDATED = "none"
+GRAINS = {"day": "yyyy-MM-dd", "month": "yyyy-MM"}
 
 
-def latest_locations(registry: DataFrame) -> DataFrame:
-    """Newest location per (table, slice)."""
-    return registry.groupBy("table_name", "slice").agg(
-        F.max_by("location", "version").alias("location"),
-        F.max("version").alias("version"),
-        F.max_by("updated_at", "version").alias("updated_at"),
-    )
-
-
-def resolve_location(
-    registry: DataFrame, table_name: str, explicit: str | None = None, env_var: str | None = None
-) -> str:
-    """Explicit value, else environment variable, else the registry's newest, else empty."""
-    if explicit:
-        return explicit
-    if env_var and os.environ.get(env_var):
-        return os.environ[env_var]
-    newest = registry.where(F.col("table_name") == table_name).agg(
-        F.max_by("location", "version")
-    ).first()
-    return newest[0] or ""
+def within(name: str, since: date | None, until: date | None) -> bool:
+    """Whether a slice may hold dates of a range; slices are named by the start of their dates."""
+    if name == WHOLE:
+        return True
+    low = f"{since}"[: len(name)] if since else ""
+    high = f"{until}"[: len(name)] if until else "~"
+    return low <= name <= high
 
 
 def merge_by_key(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target rows whose key is not in the batch, and all rows of the batch."""
-    kept = target.join(batch.select(*keys).distinct(), list(keys), "left_anti")
+    """Target rows whose key is not in the batch, and all rows of the batch; NULL equals NULL."""
+    names = [f"_k{i}" for i in range(len(keys))]
+    new = batch.select(*[F.col(k).alias(n) for k, n in zip(keys, names)]).distinct()
+    same = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)]
+    kept = target.join(new, reduce(Column.__and__, same), "left_anti")
     return kept.unionByName(batch, allowMissingColumns=True).select(
         *dict.fromkeys([*target.columns, *batch.columns])
     )
@@ -75,14 +64,8 @@ class Snapshot:
         return self.version > 0
 
     def between(self, since: date | None, until: date | None) -> list[str]:
-        """Folders of the months a date range covers."""
-        low = f"{since:%Y-%m}" if since else ""
-        high = f"{until:%Y-%m}" if until else "~"
-        return [
-            loc
-            for s, loc in sorted(self.locations.items())
-            if loc and (s == WHOLE or low <= s <= high)
-        ]
+        """Folders of the slices a date range covers."""
+        return [loc for s, loc in sorted(self.locations.items()) if within(s, since, until)]
 
 
 def _merged_columns(old: T.StructType | None, new: T.StructType) -> T.StructType:
@@ -100,66 +83,27 @@ class RateTables:
         self.spark = spark
         self.root = root.rstrip("/")
 
-    # -- registry ---------------------------------------------------------------------------
-
-    def _registry_path(self, table: str) -> str:
-        return f"{self.root}/_registry/{table}"
-
-    def registry(self, table: str) -> DataFrame:
-        path = self._registry_path(table)
-        if not files.exists(self.spark, path):
-            return self.spark.createDataFrame([], schemas.REGISTRY)
-        return self.spark.read.schema(schemas.REGISTRY).parquet(path)
+    # -- manifests --------------------------------------------------------------------------
 
     def snapshot(self, table: str) -> Snapshot:
-        """One small row per slice (a month of data) comes to the driver."""
-        if not files.exists(self.spark, self._registry_path(table)):
+        """The newest manifest: one entry per slice."""
+        folder = f"{self.root}/_manifests/{table}"
+        names = [n for n in files.children(self.spark, folder) if n.endswith(".json") and n[0] != "."]
+        if not names:
             return Snapshot()
-        newest = (
-            self.registry(table)
-            .coalesce(1)  # a few rows per commit: one task, no shuffle
-            .groupBy("slice")
-            .agg(F.max_by(F.struct("location", "version", "columns"), "version").alias("r"))
-            .select("slice", "r.*")
-        )
-        snap = Snapshot()
-        for row in newest.toLocalIterator():
-            snap.locations[row["slice"]] = row["location"]
-            if row["version"] > snap.version:
-                snap.version = row["version"]
-                snap.columns = T.StructType.fromJson(json.loads(row["columns"]))
-        return snap
-
-    def _publish(
-        self,
-        table: str,
-        placed: dict[str, str],
-        version: int,
-        columns: T.StructType,
-        as_of: datetime | None,
-    ) -> None:
-        """Make the folders current: one file appended to the registry."""
-        places = F.array(
-            *[
-                F.struct(F.lit(s).alias("slice"), F.lit(location).alias("location"))
-                for s, location in sorted(placed.items())
-            ]
-        )
-        entry = (
-            self.spark.range(1, numPartitions=1)
-            .select(F.inline(places))
-            .withColumns(
-                {
-                    "table_name": F.lit(table),
-                    "version": F.lit(version).cast("bigint"),
-                    "columns": F.lit(columns.json()),
-                    "updated_at": F.lit(as_of or datetime.now()),
-                }
-            )
-        )
-        entry.select(schemas.REGISTRY.fieldNames()).write.mode("append").parquet(
-            self._registry_path(table)
-        )
+        found = json.loads(files.read_text(self.spark, f"{folder}/{names[-1]}"))
+        return Snapshot(found["slices"], found["version"], T.StructType.fromJson(found["columns"]))
+
+    def _publish(self, table: str, snap: Snapshot, as_of: datetime | None) -> None:
+        """Make a snapshot the current one; fails if another writer took its version."""
+        entry = {
+            "version": snap.version,
+            "slices": {s: loc for s, loc in snap.locations.items() if loc},
+            "columns": snap.columns.jsonValue(),
+            "updated_at": (as_of or datetime.now()).isoformat(),
+        }
+        path = f"{self.root}/_manifests/{table}/v{snap.version:010d}.json"
+        files.write_new(self.spark, path, json.dumps(entry))
 
     def exists(self, table: str) -> bool:
         return self.snapshot(table).exists
@@ -179,7 +123,7 @@ class RateTables:
         since: date | None = None,
         until: date | None = None,
     ) -> DataFrame:
-        """Current rows; with date bounds only the months they cover are opened.
+        """Current rows; with date bounds only the slices they cover are opened.
 
         ``schema`` shapes the empty result of a table that does not exist yet.
         """
@@ -194,7 +138,7 @@ class RateTables:
         return df
 
     def newest_date(self, table: str, column: str = "rate_date") -> date | None:
-        """Newest date, looked up in the newest month that has rows."""
+        """Newest date, looked up in the newest slice that has rows."""
         snap = self.snapshot(table)
         for location in reversed(snap.between(None, None)):
             found = self._load([location], snap.columns).agg(F.max(column)).first()[0]
@@ -204,19 +148,20 @@ class RateTables:
 
     # -- writing ----------------------------------------------------------------------------
 
-    def _slice_of(self, date_col: str | None) -> Column:
+    def _slice_of(self, date_col: str | None, grain: str) -> Column:
         if date_col is None:
             return F.lit(WHOLE)
-        return F.coalesce(F.date_format(F.col(date_col).cast("date"), "yyyy-MM"), F.lit(UNDATED))
+        start = F.date_format(F.col(date_col).cast("date"), GRAINS[grain])
+        return F.coalesce(start, F.lit(UNDATED))
 
     def _write_slices(
-        self, df: DataFrame, folder: str, date_col: str | None, sort: Sequence[str]
+        self, df: DataFrame, folder: str, date_col: str | None, sort: Sequence[str], grain: str
     ) -> dict[str, str]:
         """Write ``df`` below ``folder`` by slice and return the folder of each slice.
 
         The rebalance hint sizes the output files and splits slices that are too large for a task.
         """
-        by_slice = df.withColumn("_slice", self._slice_of(date_col)).hint("rebalance", "_slice")
+        by_slice = df.withColumn("_slice", self._slice_of(date_col, grain)).hint("rebalance", "_slice")
         if sort:
             by_slice = by_slice.sortWithinPartitions("_slice", *sort)
         by_slice.write.partitionBy("_slice").parquet(folder)
@@ -237,14 +182,12 @@ class RateTables:
         date_col: str | None = None,
         sort: Sequence[str] = (),
         as_of: datetime | None = None,
+        grain: str = "month",
     ) -> None:
-        """Replace the whole table; slices that are gone are published without a location."""
-        snap = self.snapshot(table)
-        version = snap.version + 1
-        placed = self._write_slices(df, self._folder(table, version), date_col, sort)
-        gone = {s: "" for s in snap.locations if s not in placed}
-        slices = {**gone, **placed} or {UNDATED: ""}
-        self._publish(table, slices, version, df.schema, as_of)
+        """Replace the whole table."""
+        version = self.snapshot(table).version + 1
+        placed = self._write_slices(df, self._folder(table, version), date_col, sort, grain)
+        self._publish(table, Snapshot(placed, version, df.schema), as_of)
 
     def upsert(
         self,
@@ -257,30 +200,38 @@ class RateTables:
         order: Sequence[Column] | None = None,
         sort: Sequence[str] = (),
         as_of: datetime | None = None,
+        grain: str = "day",
     ) -> None:
         """Replace rows whose key is in the batch and append the batch; running it twice changes
         nothing.  The first upsert creates the table, an empty batch included.
 
+        A NULL in a key equals NULL.  The date must be one of the keys, or a key could be in two
+        slices; a batch that has a key twice is refused unless ``order`` settles which row wins.
+
         With ``order`` the first row per key under that order wins, whether it is stored or new,
         so batches may arrive in any sequence.
 
         With ``replace_from`` / ``replace_until`` all rows dated in that range are replaced, so
         rows the batch no longer contains disappear as well.
         """
+        if date_col is not None and date_col not in keys:
+            raise ValueError(f"{date_col} decides the slice, so it has to be one of the keys")
         snap = self.snapshot(table)
         version = snap.version + 1
         folder = self._folder(table, version)
         columns = _merged_columns(snap.columns, batch.schema)
-        staged = self._write_slices(batch, f"{folder}/batch", date_col, sort)
-        live = {s: loc for s, loc in snap.locations.items() if loc}
+        staged = self._write_slices(batch, f"{folder}/batch", date_col, sort, grain)
+        if order is None and staged:
+            written = self._load(list(staged.values()), batch.schema)
+            if not written.groupBy(*keys).count().where("count > 1").isEmpty():
+                raise ValueError(f"the batch for {table} has a key twice")
         reopened = set(staged)
         if replace_from is not None:
-            high = f"{replace_until:%Y-%m}" if replace_until else "~"
-            reopened |= {s for s in live if f"{replace_from:%Y-%m}" <= s <= high}
-        touched = sorted(reopened & set(live))
-        placed = dict(staged)
+            reopened |= {s for s in snap.locations if s != UNDATED and within(s, replace_from, replace_until)}
+        touched = sorted(reopened & set(snap.locations))
+        placed = {**snap.locations, **staged}
         if touched:
-            target = self._load([live[s] for s in touched], columns)
+            target = self._load([snap.locations[s] for s in touched], columns)
             if replace_from is not None:
                 inside = F.col(date_col) >= F.lit(replace_from)
                 if replace_until is not None:
@@ -291,7 +242,7 @@ class RateTables:
                 merged = merge_by_key(target, fresh, keys)
             else:
                 merged = first_per_key(target.unionByName(fresh), keys, order)
-            rewritten = self._write_slices(merged, f"{folder}/merged", date_col, sort)
+            rewritten = self._write_slices(merged, f"{folder}/merged", date_col, sort, grain)
             placed.update({s: rewritten.get(s, "") for s in touched})
-        if placed or not snap.exists:
-            self._publish(table, placed or {UNDATED: ""}, version, columns, as_of)
+        if staged or touched or not snap.exists:
+            self._publish(table, Snapshot(placed, version, columns), as_of)

@@ -1,59 +1,101 @@
-"""Quota cycles over a stream of API calls.
+"""Quota cycles over a stream of API calls that may arrive in any order.
 
-The state between micro-batches is one row per (source, cycle): a small versioned table.  Each
-micro-batch is reduced map-side to bitmaps of busy seconds and to counts per cycle before anything
-meets per source, so a source with most of the traffic never becomes one task's work, which keyed
-operator state would make it.
+The state is the call log reduced to one row per source and second (``<table>_seconds``), kept in
+slices by date, beside the cycles themselves.  A micro-batch adds its seconds; every source in it is
+chained anew from the cycle that its oldest new call falls into, so a late call ends up in the cycle
+it would have had in time.  Nothing meets per source but bitmaps and cycle starts.
 """
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ratelake.functions.columns import epoch_second, second_to_ntz
-from ratelake.operators.quota import count_calls, cycle_starts
+from ratelake.operators.quota import count_calls, per_second
 from ratelake.schemas import CYCLES
 from ratelake.sources.tables import RateTables
 
+SECONDS = T.StructType(
+    [
+        T.StructField("api_source", T.StringType()),
+        T.StructField("sec", T.LongType()),
+        T.StructField("n", T.LongType()),
+        T.StructField("t", T.BooleanType()),
+        T.StructField("batch_id", T.LongType()),
+        T.StructField("rate_date", T.DateType()),
+    ]
+)
+
+
+def restarts(cycles: DataFrame, fresh: DataFrame) -> DataFrame:
+    """(api_source, restart): the start of the cycle that the oldest new call of a source falls into.
+
+    A call after the expiry of every cycle, or before the first, restarts the chain at itself.
+    """
+    oldest = fresh.groupBy("api_source").agg(F.min("sec").alias("oldest"))
+    known = cycles.select(
+        "api_source",
+        epoch_second(F.col("cycle_start")).alias("start_sec"),
+        epoch_second(F.col("cycle_end")).alias("end_sec"),
+    )
+    holding = known.join(oldest, "api_source").where("start_sec <= oldest AND oldest < end_sec")
+    found = holding.groupBy("api_source").agg(F.max("start_sec").alias("found"))
+    return oldest.join(found, "api_source", "left").select(
+        "api_source", F.coalesce("found", "oldest").alias("restart")
+    )
+
 
 def advance_cycles(
-    stored: DataFrame, calls: DataFrame, batch_id: int, length_seconds: int
+    cycles: DataFrame, seconds: DataFrame, again: DataFrame, batch_id: int, length_seconds: int
 ) -> DataFrame:
-    """The cycle table after one more batch of calls."""
-    known = stored.select(
-        "api_source", epoch_second(F.col("cycle_start")).alias("start_sec"), "request_count",
-        "throttled",
-    )
-    previous = known.groupBy("api_source").agg(
-        F.sort_array(F.collect_list("start_sec")).alias("starts")
+    """Cycles before each restart, and those chained anew from the stored seconds after it."""
+    known = cycles.withColumn("start_sec", epoch_second(F.col("cycle_start"))).join(again, "api_source", "left")
+    kept = known.where(F.col("restart").isNull() | (F.col("start_sec") < F.col("restart"))).select(
+        "api_source", "start_sec", "request_count", "throttled"
     )
-    counted = count_calls(calls, cycle_starts(calls, length_seconds, previous))
-    return (
-        known.unionByName(counted)
-        .groupBy("api_source", "start_sec")
-        .agg(F.sum("request_count").alias("request_count"), F.max("throttled").alias("throttled"))
-        .select(
-            "api_source",
-            second_to_ntz(F.col("start_sec")).alias("cycle_start"),
-            second_to_ntz(F.col("start_sec") + length_seconds).alias("cycle_end"),
-            "request_count",
-            "throttled",
-            F.lit(batch_id).cast("bigint").alias("batch_id"),
-        )
+    later = seconds.join(again, "api_source").where(F.col("sec") >= F.col("restart"))
+    later = later.groupBy("api_source", "sec").agg(F.sum("n").alias("n"), F.max("t").alias("t"))
+    return kept.unionByName(count_calls(later, length_seconds)).select(
+        "api_source",
+        second_to_ntz(F.col("start_sec")).alias("cycle_start"),
+        second_to_ntz(F.col("start_sec") + length_seconds).alias("cycle_end"),
+        "request_count",
+        "throttled",
+        F.lit(batch_id).cast("bigint").alias("batch_id"),
     )
 
 
 def apply_batch(
     tables: RateTables, table: str, calls: DataFrame, batch_id: int, length_seconds: int
 ) -> None:
-    """Add one micro-batch, unless the table already includes it."""
+    """Add one micro-batch, unless the table already includes it.
+
+    The batch's seconds are keyed by batch, so a replay after a failure replaces them.
+    """
     stored = tables.read(table, CYCLES)
     applied = stored.agg(F.max("batch_id")).first()[0]
     if applied is not None and applied >= batch_id:
         return
-    tables.overwrite(table, advance_cycles(stored, calls, batch_id, length_seconds))
+    log = f"{table}_seconds"
+    fresh = per_second(calls).select(
+        "*",
+        F.lit(batch_id).cast("bigint").alias("batch_id"),
+        second_to_ntz(F.col("sec")).cast("date").alias("rate_date"),
+    )
+    tables.upsert(log, fresh.select(SECONDS.fieldNames()), ("api_source", "sec", "batch_id", "rate_date"))
+    mine = tables.read(log, SECONDS).where(F.col("batch_id") == batch_id)
+    again = restarts(stored, mine)
+    first = again.agg(F.min("restart")).first()[0]
+    if first is None:
+        return
+    since = datetime.fromtimestamp(first, timezone.utc).date()
+    seconds = tables.read(log, SECONDS, since=since)
+    tables.overwrite(table, advance_cycles(stored, seconds, again, batch_id, length_seconds))
 
 
 def stream_quota_meter(

@@ -13,8 +13,6 @@ from ratelake.sources.landing import DATED_FILES, PARTITIONED
 
 from .helpers import rows, silver_frame, silver_row
 
-TODAY = date(2024, 3, 9)
-
 
 def put(root, relative, *records):
     path = os.path.join(root, relative)
@@ -30,44 +28,60 @@ def record(day="2024-03-05", **rates):
             "rate_date": day, "http_status_code": 200, **rates}
 
 
-def test_daily_prefers_the_day(spark, root):
-    put(root, "daily/2024/03/2024_03_05_a.jsonl.gz", record(rates__eur=0.9))
-    put(root, "daily/2024/03/2024_03_06_a.jsonl", record("2024-03-06", rates__eur=0.8))
-    scan = landing.resolve_landing(spark, root, "daily", date(2024, 3, 5), TODAY, DATED_FILES)
-    lines = landing.scan_lines(spark, scan)
-    got = silver.records_from_json_lines(lines).collect()
-    assert [(r.rate_date, r.rates) for r in got] == [(date(2024, 3, 5), {"EUR": 0.9})]
-    assert lines.first().filename.endswith(".jsonl.gz")
+def test_daily_reads_its_lookback_days(spark, root):
+    for d in ("02", "04", "05", "06"):
+        put(root, f"daily/2024/03/2024_03_{d}_a.jsonl.gz", record(f"2024-03-{d}", rates__eur=0.9))
+    put(root, "backfill/2024/03/2024_03_05_a.jsonl", record("2024-03-05", rates__eur=9.0))
 
+    def days(lookback):
+        scan = landing.resolve_landing(spark, root, "daily", date(2024, 3, 5), DATED_FILES, lookback)
+        lines = landing.scan_lines(spark, scan)
+        assert all("/daily/" in f for f in lines.inputFiles())
+        return [r[0].day for r in rows(silver.records_from_json_lines(lines), "rate_date")]
+
+    assert days(0) == [5] and days(2) == [4, 5] and days(3) == [2, 4, 5]
 
-def test_month_folder_without_the_day_gives_no_rows(spark, root):
-    put(root, "daily/2024/03/2024_03_06_a.jsonl", record("2024-03-06", rates__eur=0.8))
-    scan = landing.resolve_landing(spark, root, "daily", date(2024, 3, 5), TODAY, DATED_FILES)
-    assert landing.scan_lines(spark, scan).count() == 0
 
+def test_a_missing_day_is_no_reason_to_read_the_backfill(spark, root):
+    put(root, "daily/2024/03/2024_03_06_a.jsonl", record("2024-03-06", rates__eur=0.8))
+    put(root, "backfill/2024/03/2024_03_05_a.jsonl", record("2024-03-05", rates__eur=0.8))
+    with pytest.raises(landing.NoLandingData):
+        landing.resolve_landing(spark, root, "daily", date(2024, 3, 5), DATED_FILES, 3)
 
-def test_fallback_order(spark, root):
-    def resolve(mode, start=date(2024, 1, 5)):
-        return landing.resolve_landing(spark, root, mode, start, TODAY, DATED_FILES).path
 
+@pytest.mark.parametrize("layout, place", [
+    (DATED_FILES, "backfill/{y}/{m}/{y}_{m}_{d}_a.jsonl"),
+    (PARTITIONED, "backfill/year={y}/month={m}/day={d}/part-0.json.gz")])
+def test_backfill_reads_every_month_since_its_start(spark, root, layout, place):
     with pytest.raises(landing.NoLandingData):
-        resolve("backfill")
-    put(root, "backfill/2020/07/2020_07_01_a.jsonl", record(rates__eur=1))
-    assert resolve("backfill") == f"{root}/backfill"
-    assert resolve("daily") == f"{root}/backfill"
-    put(root, "backfill/2024/01/2024_01_01_a.jsonl", record(rates__eur=1))
-    assert resolve("backfill") == f"{root}/backfill/2024/01/*.jsonl*"
-    put(root, "backfill/2024/03/2024_03_01_a.jsonl", record(rates__eur=1))
-    assert resolve("backfill") == f"{root}/backfill/2024/03/2024_03_09*.jsonl*"
+        landing.resolve_landing(spark, root, "backfill", date(2023, 12, 5), layout)
+    for day in ("2023-11-30", "2023-12-20", "2024-01-10", "2024-02-01", "2024-03-09"):
+        y, m, d = day.split("-")
+        put(root, place.format(y=y, m=m, d=d), record(day, rates__eur=1))
+    scan = landing.resolve_landing(spark, root, "backfill", date(2023, 12, 5), layout)
+    found = landing.scan_lines(spark, scan)
+    assert len({r[0] for r in rows(found, "filename")}) == 4
+    assert found.where("filename LIKE '%11%30%'").count() == 0
     with pytest.raises(ValueError):
-        resolve("hourly")
+        landing.resolve_landing(spark, root, "hourly", date(2024, 1, 1), layout)
+
+
+def test_rejected_lines_are_counted(spark):
+    lines = spark.createDataFrame([
+        (json.dumps(record(rates__eur=1)),), ("not json",), ("[1]",), ("",),
+        (json.dumps({**record(rates__eur=1), "source": None}),),
+        (json.dumps({**record(rates__eur=1), "source": "other"}),),
+        (json.dumps({**record(rates__eur=1), "rate_date": "soon"}),),
+        (json.dumps(record(rates__=1)),)], "value string")
+    got = rows(silver.rejected_lines(lines, "frankfurter"), "reason", "rows")
+    assert got == [("bad_date", 1), ("bad_key", 1), ("bad_line", 2), ("other_source", 2)]
 
 
 def test_recursive_root_reads_all_levels(spark, root):
     put(root, "backfill/2020/07/a.jsonl", record("2020-07-01", rates__eur=1))
     put(root, "backfill/2021/a.jsonl.gz", record("2021-07-01", rates__eur=2))
     put(root, "backfill/2021/notes.txt", record("2022-07-01", rates__eur=3))
-    scan = landing.resolve_landing(spark, root, "backfill", date(2024, 1, 5), TODAY, DATED_FILES)
+    scan = landing.resolve_landing(spark, root, "backfill", date(2020, 7, 1), DATED_FILES)
     records = silver.records_from_json_lines(landing.scan_lines(spark, scan))
     assert rows(records, "rate_date") == [(date(2020, 7, 1),), (date(2021, 7, 1),)]
 
@@ -91,9 +105,9 @@ def test_null_profile_of_lines(spark):
     lines = spark.createDataFrame(
         [(json.dumps(record(rates__eur=1, rates__usd__v_double=1.5)),),
          (json.dumps(record(rates__eur=None, rates__usd=2, rates__usd__v_double=2)),),
-         (json.dumps(record(rates__eur=3)),), ("not json",)], "value string")
+         (json.dumps(record(rates__eur=3, rates__gbp=None)),), ("not json",)], "value string")
     got = rows(silver.null_profile_of_lines(lines), "currency", "null_rows", "total_rows")
-    assert got == [("EUR", 1, 3), ("USD", 1, 3)]
+    assert got == [("EUR", 1, 3), ("GBP", 3, 3), ("USD", 1, 3)]
 
 
 def test_land_append_round_trip(spark, root):
@@ -106,7 +120,7 @@ def test_land_append_round_trip(spark, root):
     landing.land_append(flatten_map(maps), root, "daily")
     folder = f"{root}/daily/year=2024/month=03/day=05"
     assert all(f.endswith(".json.gz") for f in os.listdir(folder) if not f.startswith((".", "_")))
-    scan = landing.resolve_landing(spark, root, "daily", date(2024, 3, 5), TODAY, PARTITIONED)
+    scan = landing.resolve_landing(spark, root, "daily", date(2024, 3, 5), PARTITIONED)
     back = silver.records_from_json_lines(landing.scan_lines(spark, scan))
     mine = maps.where("rate_date = '2024-03-05'")
     assert rows(back) == rows(mine.unionByName(mine))

@@ -55,6 +55,14 @@ def test_incremental_rows_equal_the_full_run(spark):
     assert marts.rate_analysis_incremental(df, "daily").count() == 40
 
 
+def test_incremental_rows_of_a_sparse_series(spark):
+    weeks = [(date(2024, 1, 1) + timedelta(days=7 * i)).isoformat() for i in range(20)]
+    df = series(spark, *[("EUR", d, 1.0 + i) for i, d in enumerate(weeks)])
+    full = rows(marts.rate_analysis(df).where("rate_date >= '2024-04-01'"))
+    got = marts.rate_analysis_incremental(df, "backfill", "2024-04-01")
+    assert rows(got) == full and len(full) == 7
+
+
 def test_cross_rates(spark):
     df = series(spark, ("EUR", "2024-01-02", 0.8), ("GBP", "2024-01-02", 0.5),
                 ("SEK", "2024-01-02", 10.0), ("JPY", "2024-01-01", 150.0))

@@ -1,3 +1,6 @@
+import random
+from dataclasses import replace
+
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -5,8 +8,7 @@ from hypothesis import strategies as st
 
 from ratelake.config import EngineConfig
 from ratelake.operators import quota
-from ratelake.streaming.quota_stream import advance_cycles, apply_batch, stream_quota_meter
-from ratelake.schemas import CYCLES
+from ratelake.streaming.quota_stream import apply_batch, stream_quota_meter
 from ratelake.sources.tables import RateTables
 
 from .helpers import rows, ts
@@ -61,11 +63,12 @@ def test_cycles_are_anchored_at_calls(spark):
         ("a", ts("2024-05-01T00:00:00"), 1), ("b", ts("2024-02-01T00:00:00"), 1)]
 
 
-def test_many_sources_join_without_broadcast(spark, monkeypatch):
+def test_building_the_query_starts_no_job(spark):
     df = calls(spark, *[(f"s{i % 5}", f"2024-01-{1 + i:02d}T00:00:00") for i in range(25)])
-    want = rows(quota.assign_cycles(df, 7 * DAY))
-    monkeypatch.setattr(quota, "MAX_BROADCAST_SOURCES", 2)
-    assert rows(quota.assign_cycles(df, 7 * DAY)) == want
+    spark.sparkContext.setJobGroup("lazy", "lazy")
+    quota.assign_cycles(df, 7 * DAY)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("lazy")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def usage(spark, n, source="exchangerate", at="2024-01-10T12:00:00", throttled=False):
@@ -125,17 +128,34 @@ def test_gating(spark, second, third, mode, ask, taken):
     assert [r.api_source for r in got] == [names[i - 1] for i in taken]
 
 
-def test_batchwise_metering_equals_one_pass(spark):
+@pytest.mark.parametrize("n", [2, 4])
+def test_gating_of_any_number_of_sources(spark, n):
+    sources = [replace(CFG.sources[0], name="s0"),
+               replace(CFG.sources[1], name="s1", failover_to=f"s{n - 1}" if n > 2 else None),
+               replace(CFG.sources[1], name="s2", failover_to=None),
+               replace(CFG.sources[2], name="s3")][:n]
+    status = spark.createDataFrame([("s1", False)], "api_source string, available boolean")
+
+    def taken(mode, ask=False):
+        got = quota.source_gating(status, mode, ask, sources).where("participates").collect()
+        return sorted(r.api_source for r in got)
+
+    assert taken("daily") == (["s0"] if n == 2 else ["s0", "s2", "s3"])
+    assert taken("backfill") == (["s0"] if n == 2 else ["s0", "s3"])
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_metering_does_not_depend_on_arrival(spark, root, seed):
+    draw = random.Random(seed)
     items = [("a" if i % 3 else "b", f"2024-01-{1 + i // 4:02d}T{i % 24:02d}:00:00")
              for i in range(100)]
     whole = quota.assign_cycles(calls(spark, *items), 5 * DAY)
-    items.sort(key=lambda x: x[1])
-    state = spark.createDataFrame([], CYCLES)
+    draw.shuffle(items)
+    tables = RateTables(spark, root)
     for n, chunk in enumerate((items[:30], items[30:31], items[31:90], items[90:])):
-        state = spark.createDataFrame(
-            advance_cycles(state, calls(spark, *chunk), n, 5 * DAY).collect(), CYCLES)
+        apply_batch(tables, "cycles", calls(spark, *chunk), n, 5 * DAY)
     columns = ("api_source", "cycle_start", "request_count")
-    assert rows(state, *columns) == rows(whole, *columns)
+    assert rows(tables.read("cycles"), *columns) == rows(whole, *columns)
 
 
 def test_stream_meters_each_call_once(spark, root):

@@ -34,15 +34,43 @@ def test_upsert_replaces_matched_and_appends(spark, store):
     assert store.newest_date("t") == day("2024-03-01")
 
 
-def test_untouched_months_keep_their_folder(spark, store):
-    store.upsert("t", silver_frame(spark, silver_row("2024-01-01", {"EUR": 1.0}),
-                                   silver_row("2024-02-01", {"EUR": 2.0})), KEYS)
+def test_a_day_rewrites_a_day(spark, store):
+    store.upsert("t", silver_frame(spark, silver_row("2024-02-01", {"EUR": 1.0}),
+                                   silver_row("2024-02-02", {"EUR": 2.0})), KEYS)
     before = store.snapshot("t").locations
-    store.upsert("t", silver_frame(spark, silver_row("2024-02-02", {"EUR": 3.0})), KEYS)
+    store.upsert("t", silver_frame(spark, silver_row("2024-02-02", {"EUR": 3.0}),
+                                   silver_row("2024-02-03", {"EUR": 3.0})), KEYS)
     after = store.snapshot("t").locations
-    assert after["2024-01"] == before["2024-01"]
-    assert after["2024-02"] != before["2024-02"]
-    assert store.read("t").count() == 3
+    assert after["2024-02-01"] == before["2024-02-01"]
+    assert after["2024-02-02"] != before["2024-02-02"]
+    assert rate(store.read("t")) == {"2024-02-01": 1.0, "2024-02-02": 3.0, "2024-02-03": 3.0}
+
+
+@pytest.mark.parametrize("grain, slices", [("day", 3), ("month", 2)])
+def test_grain_of_slices(spark, store, grain, slices):
+    days = ["2024-01-30", "2024-01-31", "2024-02-01"]
+    batch = silver_frame(spark, *[silver_row(d, {"EUR": 1.0}) for d in days])
+    store.upsert("t", batch, KEYS, grain=grain)
+    assert len(store.snapshot("t").locations) == slices
+    assert rate(store.read("t", since=day("2024-01-31"))) == dict.fromkeys(days[1:], 1.0)
+
+
+def test_null_keys_are_matched(spark, store):
+    row = silver_frame(spark, silver_row("2024-01-01", {"EUR": 1.0})).withColumn(
+        "base_currency", F.lit(None).cast("string"))
+    undated = row.withColumn("rate_date", F.lit(None).cast("date"))
+    for _ in range(3):
+        store.upsert("t", row.unionByName(undated), KEYS)
+    assert store.read("t").count() == 2
+
+
+def test_refused_batches(spark, store):
+    one = silver_frame(spark, silver_row("2024-01-01", {"EUR": 1.0}))
+    with pytest.raises(ValueError, match="twice"):
+        store.upsert("t", one.unionByName(one), KEYS)
+    with pytest.raises(ValueError, match="rate_date"):
+        store.upsert("t", one, ("source", "base_currency"))
+    assert not store.exists("t")
 
 
 def test_readers_keep_their_version(spark, store):
@@ -121,22 +149,13 @@ def test_overwrite_drops_old_slices(spark, store):
     assert rate(store.read("t")) == {"2024-02-01": 4.0}
 
 
-def test_location_resolution(spark, store, monkeypatch):
-    store.overwrite("t", spark.range(3))
-    store.overwrite("t", spark.range(5))
-    registry = store.registry("t")
-    newest = tables.resolve_location(registry, "t")
-    assert spark.read.parquet(newest).count() == 5
-    assert tables.resolve_location(registry, "other") == ""
-    monkeypatch.setenv("RATES_LOCATION", "/from/env")
-    assert tables.resolve_location(registry, "t", env_var="RATES_LOCATION") == "/from/env"
-    assert tables.resolve_location(registry, "t", "/given", "RATES_LOCATION") == "/given"
-    latest = tables.latest_locations(registry)
-    assert rows(latest, "table_name", "version") == [("t", 2)]
-
-
-def test_one_registry_file_per_commit(spark, store, root):
-    for n in (1, 2, 3):
-        store.overwrite("t", spark.range(n))
-    found = [f for f in os.listdir(f"{root}/_registry/t") if f.endswith(".parquet")]
-    assert len(found) == 3
+def test_a_reader_opens_one_manifest(spark, store, root, monkeypatch):
+    for n in range(50):
+        store._publish("t", tables.Snapshot({}, n + 1, spark.range(1).schema), None)
+    opened, read = [], tables.files.read_text
+    monkeypatch.setattr(tables.files, "read_text",
+                        lambda s, p: opened.append(p) or read(s, p))
+    assert store.snapshot("t").version == 50 and len(opened) == 1
+    with pytest.raises(FileExistsError):
+        store._publish("t", tables.Snapshot({}, 50, spark.range(1).schema), None)
+    assert len(os.listdir(f"{root}/_manifests/t")) <= 100  # with checksum files
