@@ -20,7 +20,7 @@ from ratelake.operators import consensus as cons
 from ratelake.operators import dq, fact, hot, marts, normalize, quota, silver, staging
 from ratelake.operators.ranking import first_per_key
 from ratelake.plans import views
-from ratelake.plans.runs import FACT, RateJobs
+from ratelake.plans.runs import FACT, HOT, QUARANTINE, RateJobs
 from ratelake.session import prepare, scratch_path
 from ratelake.sources import landing, seeds, tables
 from ratelake.streaming import quota_stream, silver_stream
@@ -363,50 +363,54 @@ def _q(spark, sf_dir):
     return first_per_key(entries, ["table_name", "slice"], [F.col("version").desc()])
 
 
-def _hot_items(spark, sf_dir, whole_history: bool) -> DataFrame:
-    """Items of the newest date, or of every date; rates at nine places as in the oracle."""
+def _hot_table(spark, sf_dir) -> DataFrame:
+    """The stored hot table over every date, as a run's sync writes it, sorted for lookups.
+
+    Written twice, which must change nothing.  Rates at nine places as in the oracle.
+    """
     rates = _fact(spark, sf_dir).withColumns(
         {c: F.round(c, 9) for c in ("exchange_rate", "inverse_rate")}
     )
-    if not whole_history:
-        rates = rates.persist()  # read twice: for the newest date and for its rows
     dim = marts.dim_countries(views.fx_dim(spark, sf_dir))
-    if not whole_history:
-        return hot.to_hot_items(marts.hot_latest_slice(rates, dim), AS_OF)
     with_pair = marts.with_country(rates, dim).select(
         "rate_date", "base_currency", "target_currency", "country_name", "region",
         "exchange_rate", "inverse_rate", "consensus_variance", "validation_status",
         "currency_pair",
     )
-    return hot.to_hot_items(with_pair, AS_OF)
+    store = tables.RateTables(spark, scratch_path(spark, "hot"))
+    items = hot.to_hot_items(with_pair, AS_OF)
+    for _ in range(2):
+        store.upsert(HOT, items, hot.HOT_KEYS, sort=hot.HOT_KEYS, grain="month")
+        items = store.read(HOT)
+    return items
 
 
-def _plain(items: DataFrame) -> DataFrame:
-    """Decimals of hot items back to doubles for comparison."""
-    return _rounded(items.withColumns({c: F.col(c).cast("double") for c in hot.NUMERIC}))
+def _as_text(items: DataFrame) -> DataFrame:
+    """Decimals of hot items as their text, so that the conversion itself is compared."""
+    return items.withColumns({c: F.col(c).cast("string") for c in hot.NUMERIC}).drop("synced_at")
 
 
 @query("hot_upsert")
 def _q(spark, sf_dir):
-    store = tables.RateTables(spark, scratch_path(spark, "hot"))
-    items = _hot_items(spark, sf_dir, False)
-    sort = ("currency_pair", "rate_date")
-    store.upsert("currency_rates", items, hot.HOT_KEYS, sort=sort)
-    store.upsert("currency_rates", items, hot.HOT_KEYS, sort=sort)
-    return _plain(store.read("currency_rates"))
+    items = _hot_table(spark, sf_dir)
+    return _as_text(items.where(F.col("rate_date") == items.agg(F.max("rate_date")).scalar()))
+
+
+@query("hot_get")
+def _q(spark, sf_dir):
+    return _as_text(hot.hot_get(_hot_table(spark, sf_dir), "USD/C07", "2024-01-15"))
 
 
 @query("hot_lookup")
 def _q(spark, sf_dir):
-    items = _hot_items(spark, sf_dir, True)
-    newest = hot.hot_query(items, "currency_pair", "USD/C07", ascending=False, limit=10)
-    return _plain(newest)
+    items = _hot_table(spark, sf_dir)
+    return _as_text(hot.hot_query(items, "currency_pair", "USD/C07", ascending=False, limit=10))
 
 
 @query("hot_lookup_by_target")
 def _q(spark, sf_dir):
-    items = _hot_items(spark, sf_dir, True)
-    return _plain(
+    items = _hot_table(spark, sf_dir)
+    return _as_text(
         hot.hot_query(items, "target_currency", "C03", since="2024-01-05", until="2024-01-25")
     )
 
@@ -961,6 +965,65 @@ def _q(spark, sf_dir):
     return _rounded(jobs.tables.read(FACT, schemas.FACT))
 
 
+def _response_jobs(spark, sf_dir, label: str, responses: DataFrame) -> RateJobs:
+    """Jobs whose landing area was filled from raw responses."""
+    jobs = RateJobs(
+        spark,
+        tables.RateTables(spark, scratch_path(spark, f"{label}-tables")),
+        scratch_path(spark, f"{label}-landing"),
+        CFG,
+        seed=views.fx_dim(spark, sf_dir),
+        as_of=AS_OF,
+    )
+    jobs.land(responses)
+    return jobs
+
+
+def _raw_responses(spark, sf_dir) -> DataFrame:
+    return views.fx_responses(spark, sf_dir).select(
+        "source", "body", "http_status_code", "extraction_timestamp"
+    )
+
+
+@query("land_responses")
+def _q(spark, sf_dir):
+    """Landed records per source and day of all raw responses."""
+    jobs = _response_jobs(spark, sf_dir, "land-responses", _raw_responses(spark, sf_dir))
+    lines = [
+        landing.scan_lines(
+            spark, landing.LandingScan((f"{jobs.landing_root}/{s.name}/daily",), "*.json*")
+        )
+        for s in CFG.sources
+    ]
+    records = silver.records_from_json_lines(reduce(DataFrame.unionByName, lines))
+    return staging.unnest_rates(records).groupBy("source", "rate_date", "target_currency").agg(
+        F.count(F.lit(1)).alias("records"), r9(F.sum("exchange_rate"), "total_rate")
+    )
+
+
+@query("quarantine_responses")
+def _q(spark, sf_dir):
+    jobs = _response_jobs(spark, sf_dir, "quarantine", _raw_responses(spark, sf_dir))
+    return jobs.tables.read(QUARANTINE).groupBy("source", "outcome", "http_status_code").agg(
+        F.count(F.lit(1)).alias("responses")
+    )
+
+
+@query("pipeline_daily")
+def _q(spark, sf_dir):
+    """From responses to the hot table in one run, the second source out of quota."""
+    responses = _snapshot_responses(spark, sf_dir)
+    jobs = _response_jobs(spark, sf_dir, "pipeline-daily", responses)
+    # As many calls of the second source as it has quota, taken from the call log.
+    calls = views.fx_calls(spark, sf_dir).select(
+        F.lit("exchangerate").alias("api_source"),
+        (F.lit(AS_OF).cast("timestamp_ntz") - F.expr("make_dt_interval(0, 1)")).alias("called_at"),
+    )
+    jobs.run_daily(RUN_DAY, calls=calls)
+    return _rounded(jobs.tables.read(FACT, schemas.FACT).drop("extraction_id"))
+
+
+@query("pipeline_backfill")
 @query("backfill_run_months")
 def _q(spark, sf_dir):
     """The daily series landed day by day over years, backfilled across a turn of the year."""

@@ -234,9 +234,16 @@ _STG_ROW = ("extraction_id, extraction_timestamp, source, source_tier, base_curr
 _FACT_ROW = ("extraction_id, extraction_timestamp, rate_date, currency_pair, base_currency, "
              "target_currency, " + _r("exchange_rate", "inverse_rate")
              + ", source, source_tier, validation_status, severity, consensus_variance, model_name")
+def _dec(c: str) -> str:
+    """A double's text as a decimal's text."""
+    value = f"CAST(CAST(ROUND({c}, 9) AS VARCHAR) AS DECIMAL(38, 18))"
+    return f"CAST({value} AS VARCHAR) AS {c.split('.')[-1]}"
+
+
 _HOT_ROW = ("CAST(f.rate_date AS VARCHAR) AS rate_date, f.base_currency, f.target_currency, "
-            "d.country_name, d.region, " + _r("f.exchange_rate", "f.inverse_rate")
-            + ", f.consensus_variance, f.validation_status, f.currency_pair")
+            "d.country_name, d.region, " + ", ".join(map(_dec, (
+                "f.exchange_rate", "f.inverse_rate", "f.consensus_variance")))
+            + ", f.validation_status, f.currency_pair")
 _HOT_FROM = "FROM fact f LEFT JOIN fx_dim d ON f.target_currency = d.currency_code"
 _PAIR_WINDOW = "(PARTITION BY base_currency, target_currency ORDER BY rate_date"
 _SERIES_ROW = "rate_date, base_currency, target_currency, " + _r("exchange_rate")
@@ -364,6 +371,35 @@ def _union(*parts: str) -> str:
     return "\nUNION ALL ".join(parts)
 
 
+_BACKFILL_OVER_MONTHS = _sql(f"""
+    SELECT {_FACT_ROW} FROM (
+      SELECT 'fr_' || CAST(rate_date AS VARCHAR) AS extraction_id,
+             CAST(rate_date AS TIMESTAMP) AS extraction_timestamp, rate_date,
+             base_currency || '/' || target_currency AS currency_pair, base_currency,
+             target_currency, exchange_rate, inverse_rate, 'frankfurter' AS source,
+             'primary' AS source_tier, 'VALIDATED' AS validation_status,
+             'OK' AS severity, CAST(0.0 AS DOUBLE) AS consensus_variance,
+             'fact_rates_validated' AS model_name
+      FROM fx_series
+      WHERE rate_date BETWEEN DATE '1996-11-10' AND DATE '1997-02-20'
+        AND exchange_rate > 0) t""", "fx_series")
+
+
+def _without_id(sql: str) -> str:
+    """The same rows without the id that landing gives them."""
+    return f"SELECT * EXCLUDE (extraction_id) FROM ({sql}) run"
+
+
+_STATUS = """CASE WHEN event_type <> 'error' THEN 200 WHEN user_id % 3 = 0 THEN 429
+                  ELSE 500 END AS http_status_code"""
+_OUTCOME = """CASE WHEN event_type = 'error'
+                     THEN CASE WHEN user_id % 3 = 0 THEN 'THROTTLED' ELSE 'ERROR' END
+                   WHEN source = 'currencylayer'
+                     THEN CASE user_id % 7 WHEN 0 THEN 'THROTTLED' WHEN 1 THEN 'ERROR'
+                               ELSE 'OK' END
+                   WHEN user_id % 11 = 0 THEN 'ERROR' ELSE 'OK' END AS outcome"""
+
+
 def oracle_sql() -> dict[str, str]:
     quotes = "fx_quotes"
     prefix = "CASE source WHEN 'frankfurter' THEN 'fr' WHEN 'exchangerate' THEN 'er' ELSE 'cl' END"
@@ -442,17 +478,17 @@ def oracle_sql() -> dict[str, str]:
                    {prefix} || '_' || {day} || '_' || base_currency || '_'
                      || {epoch.format('extraction_timestamp')} AS range_id
             FROM {quotes}""", quotes),
-        "norm_classify_response": _sql("""
-            SELECT extraction_id, source,
-                   CASE WHEN event_type <> 'error' THEN 200 WHEN user_id % 3 = 0 THEN 429
-                        ELSE 500 END AS http_status_code,
-                   CASE WHEN event_type = 'error'
-                          THEN CASE WHEN user_id % 3 = 0 THEN 'THROTTLED' ELSE 'ERROR' END
-                        WHEN source = 'currencylayer'
-                          THEN CASE user_id % 7 WHEN 0 THEN 'THROTTLED' WHEN 1 THEN 'ERROR'
-                                    ELSE 'OK' END
-                        WHEN user_id % 11 = 0 THEN 'ERROR' ELSE 'OK' END AS outcome
-            FROM fx_quotes""", quotes),
+        "norm_classify_response": _sql(
+            f"SELECT extraction_id, source, {_STATUS}, {_OUTCOME} FROM fx_quotes", quotes),
+        "land_responses": _sql(f"""
+            SELECT source, rate_date, 'C01' AS target_currency, COUNT(*) AS records,
+                   ROUND(1.5 * CAST(COUNT(*) AS DOUBLE), 9) AS total_rate
+            FROM (SELECT source, rate_date, {_OUTCOME} FROM fx_quotes) t
+            WHERE outcome = 'OK' GROUP BY 1, 2""", quotes),
+        "quarantine_responses": _sql(f"""
+            SELECT source, outcome, http_status_code, COUNT(*) AS responses
+            FROM (SELECT source, {_STATUS}, {_OUTCOME} FROM fx_quotes) t
+            WHERE outcome <> 'OK' GROUP BY 1, 2, 3""", quotes),
         "norm_flatten_map": _sql(
             "SELECT extraction_id, " + _r(*[f"rates__{c.lower()}" for c in _CODES])
             + " FROM fx_wide", "fx_wide"),
@@ -473,6 +509,9 @@ def oracle_sql() -> dict[str, str]:
             WHERE rn = 1""", quotes),
         "hot_upsert": _sql(f"""SELECT {_HOT_ROW} {_HOT_FROM}
             WHERE f.rate_date = (SELECT MAX(rate_date) FROM fact)""", "fact", "fx_dim"),
+        "hot_get": _sql(f"""SELECT {_HOT_ROW} {_HOT_FROM}
+            WHERE f.currency_pair = 'USD/C07' AND f.rate_date = DATE '2024-01-15'""",
+            "fact", "fx_dim"),
         "hot_lookup": _sql(f"""SELECT {_HOT_ROW} {_HOT_FROM}
             WHERE f.currency_pair = 'USD/C07' ORDER BY f.rate_date DESC LIMIT 10""",
             "fact", "fx_dim"),
@@ -723,18 +762,11 @@ def oracle_sql() -> dict[str, str]:
             ("frankfurter", "exchangerate", "currencylayer"),
             "rate_date BETWEEN DATE '2024-01-17' AND DATE '2024-01-20'"),
         "backfill_run": _run_fact(("frankfurter", "currencylayer"), "TRUE"),
-        "backfill_run_months": _sql(f"""
-            SELECT {_FACT_ROW} FROM (
-              SELECT 'fr_' || CAST(rate_date AS VARCHAR) AS extraction_id,
-                     CAST(rate_date AS TIMESTAMP) AS extraction_timestamp, rate_date,
-                     base_currency || '/' || target_currency AS currency_pair, base_currency,
-                     target_currency, exchange_rate, inverse_rate, 'frankfurter' AS source,
-                     'primary' AS source_tier, 'VALIDATED' AS validation_status,
-                     'OK' AS severity, CAST(0.0 AS DOUBLE) AS consensus_variance,
-                     'fact_rates_validated' AS model_name
-              FROM fx_series
-              WHERE rate_date BETWEEN DATE '1996-11-10' AND DATE '1997-02-20'
-                AND exchange_rate > 0) t""", "fx_series"),
+        "backfill_run_months": _BACKFILL_OVER_MONTHS,
+        "pipeline_backfill": _BACKFILL_OVER_MONTHS,
+        "pipeline_daily": _without_id(_run_fact(
+            ("frankfurter", "currencylayer"),
+            "rate_date BETWEEN DATE '2024-01-17' AND DATE '2024-01-20'")),
         "stream_land_to_silver": _SILVER_LONG,
         "stream_quota_meter": _sql(
             "SELECT api_source, cycle_start, request_count FROM cycles", "cycles"),

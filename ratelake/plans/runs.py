@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ratelake import schemas
 from ratelake.config import EngineConfig, SourceSpec
 from ratelake.operators import consensus as cons
-from ratelake.operators import dq, fact, hot, marts, quota, silver, staging
+from ratelake.operators import dq, fact, hot, marts, normalize, quota, silver, staging
 from ratelake.sources import landing, seeds
 from ratelake.sources.landing import PARTITIONED, LandingLayout, NoLandingData
 from ratelake.sources.tables import RateTables, merge_by_key
@@ -27,6 +27,7 @@ from ratelake.sources.tables import RateTables, merge_by_key
 CONSENSUS = "consensus_check"
 FACT = "fact_rates_validated"
 HOT = "currency_rates"
+QUARANTINE = "quarantine_responses"
 
 
 class ChecksFailed(RuntimeError):
@@ -89,6 +90,31 @@ class RateJobs:
         taken = {r.api_source for r in gates.where("participates").toLocalIterator()}
         return [s for s in self.cfg.by_priority() if s.name in taken]
 
+    def land(self, responses: DataFrame, mode: str = "daily") -> None:
+        """Raw responses to landed files, and what cannot land to the quarantine table.
+
+        Usable responses are normalised (a backfill's one record per date) and appended below their
+        source with the rates as they came, so new currencies need no schema.  All others are kept
+        whole with their outcome; a source nobody configured is ``UNKNOWN``.  Landing and quarantine
+        both add up to the responses.
+        """
+        names = [s.name for s in self.cfg.sources]
+        known = F.coalesce(F.col("source").isin(names), F.lit(False))
+        ok, bad = normalize.split_responses(responses.where(known), self.cfg.sources)
+        for source in self.cfg.sources:
+            mine = ok.where(F.col("source") == source.name)
+            if mode == "daily":
+                records = normalize.normalize_snapshot(mine, self.cfg.sources)
+            else:
+                records = normalize.explode_range(mine, self.cfg.sources)
+            landing.land_append(records, f"{self.landing_root}/{source.name}", mode)
+        unknown = responses.where(~known).withColumn("outcome", F.lit("UNKNOWN"))
+        kept = bad.unionByName(unknown).withColumns(
+            {"rate_date": F.col("extraction_timestamp").cast("date"), "body_key": F.xxhash64("body")}
+        )
+        keys = ("rate_date", "source", "extraction_timestamp", "http_status_code", "body_key")
+        self.tables.upsert(QUARANTINE, kept.dropDuplicates(list(keys)), keys, as_of=self.as_of)
+
     def landed(self, source: SourceSpec, mode: str, start: date) -> DataFrame:
         """Lines of every landed file that may hold rows of the run."""
         base = f"{self.landing_root}/{source.name}"

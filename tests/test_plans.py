@@ -98,3 +98,10 @@ def test_busy_seconds_reduce_to_bitmaps_before_the_shuffle(spark):
 def test_no_cross_join(spark, name):
     text = plan(catalog.queries()[name](spark, SF))
     assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
+
+
+def test_hot_lookups_reach_the_scan(spark):
+    for name, key in (("hot_get", "USD/C07"), ("hot_lookup_by_target", "C03")):
+        plan = catalog.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+        pushed = [line for line in plan.splitlines() if "PushedFilters" in line]
+        assert any(f",{key})" in line for line in pushed), name

@@ -7,14 +7,15 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+from ratelake.plans import catalog, oracle
 
 from .conftest import SF
 
-QUERIES, SQL = entry_module.queries(), entry_module.oracle_sql()
+QUERIES, SQL = catalog.queries(), oracle.oracle_sql()
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
          "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
 # Whole runs write every table of the engine; test_runs.py covers them in more detail.
-SLOW = {"daily_run", "backfill_run"}
+SLOW = {"daily_run", "backfill_run", "pipeline_backfill"}
 
 
 @pytest.fixture(scope="module")
@@ -33,6 +34,8 @@ def plain(value):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_module.queries())
+    assert set(SQL) <= set(entry_module.oracle_sql()) <= set(entry_module.queries())
 
 
 @pytest.mark.parametrize("name", [q for q in QUERIES if q not in SLOW])

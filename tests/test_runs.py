@@ -160,6 +160,36 @@ def test_failing_check_stops_the_run_before_the_marts(spark, root):
     assert rows(nulls, "currency", "null_rows") == [("EUR", 1), ("GBP", 1), ("JPY", 1), ("USD", 1)]
 
 
+def test_backfill_over_a_turn_of_the_year(spark, root):
+    days = [date(2023, 11, 20), date(2023, 12, 31), date(2024, 1, 1), date(2024, 1, 31)]
+    for d in days:
+        record = silver_row(d.isoformat(), {"EUR": 0.9}, extracted=f"{d}T06:00:00")
+        landing.land_append(flatten_map(silver_frame(spark, record)),
+                            f"{root}/landing/frankfurter", "backfill")
+    j = jobs(spark, root)
+    assert j.run_backfill(days[1], days[3]) == ["frankfurter"]
+    assert [r[0] for r in fact_rows(j, "rate_date")] == days[1:]
+
+
+def test_responses_land_or_are_kept(spark, root):
+    ok = '{"base": "USD", "date": "2024-01-31", "rates": {"EUR": 0.9, "XYZ": null}}'
+    bodies = [("frankfurter", ok, 200), ("frankfurter", ok, 429), ("frankfurter", "{", 200),
+              ("frankfurter", None, None), ("other", ok, 200), (None, ok, 200),
+              ("currencylayer", '{"success": false, "error": {"code": 104}}', 200)]
+    responses = spark.createDataFrame(
+        [(s, b, c, ts("2024-01-31T06:00:00")) for s, b, c in bodies],
+        "source string, body string, http_status_code int, extraction_timestamp timestamp_ntz")
+    j = jobs(spark, root)
+    for _ in range(2):
+        j.land(responses)
+    kept = j.tables.read("quarantine_responses")
+    assert sorted(r.outcome for r in kept.collect()) == [
+        "ERROR", "ERROR", "THROTTLED", "THROTTLED", "UNKNOWN", "UNKNOWN"]
+    assert j.run_daily(DAYS[0]) == ["frankfurter"]
+    assert fact_rows(j, "target_currency", "exchange_rate") == [("EUR", 0.9)]
+    assert j.rejected(CFG.source("frankfurter"), "daily", DAYS[0]).count() == 0
+
+
 def test_backfill_without_landing_is_an_empty_run(spark, root):
     j = jobs(spark, root)
     assert j.run_backfill(DAYS[0], DAYS[1]) == []
