@@ -114,16 +114,61 @@ STAGING_REQUIRED = (
 )
 
 
-def staging_suite(df: DataFrame, source: SourceSpec, base: str = "USD") -> DataFrame:
-    """The twelve declared checks of one staging table."""
-    checks = [not_null(c) for c in STAGING_REQUIRED] + [
+STAGING_KEYS = ("base_currency", "target_currency", "rate_date")
+
+
+def staging_checks(source: SourceSpec, base: str = "USD") -> list[RowCheck]:
+    """The row checks among the twelve declared ones of one staging table."""
+    return [not_null(c) for c in STAGING_REQUIRED] + [
         accepted_values("source", [source.name]),
         accepted_values("base_currency", [base]),
         expression_true("exchange_rate", "> 0"),
         expression_true("exchange_rate", f"< {source.max_plausible_rate:.0f}"),
     ]
-    keys = ("base_currency", "target_currency", "rate_date")
-    return report(unique_combination(df, keys), row_checks(df, checks))
+
+
+def staging_suites(
+    tagged: DataFrame, sources: Sequence[SourceSpec], base: str = "USD"
+) -> DataFrame:
+    """The twelve declared checks of every staging table, from one pass over their union.
+
+    ``tagged`` are staging rows with the name of their table in ``table``.  One aggregation by key
+    counts both repeated keys and failing rows; its map side leaves one row per key.
+    """
+    checks = {s.staging_table: staging_checks(s, base) for s in sources}
+    width = max(map(len, checks.values()))
+
+    def failing(i: int) -> Column:
+        """The i-th check of the row's own table."""
+        out = F.lit(False)
+        for name, own in checks.items():
+            out = F.when(F.col("table") == name, own[i].failing).otherwise(out)
+        return out
+
+    per_key = tagged.groupBy("table", *STAGING_KEYS).agg(
+        F.count(F.lit(1)).alias("n"), *[F.count_if(failing(i)).alias(f"f{i}") for i in range(width)]
+    )
+    totals = per_key.groupBy("table").agg(
+        F.count_if(F.col("n") > 1).alias("repeated"), *[F.sum(f"f{i}").alias(f"f{i}") for i in range(width)]
+    )
+    lines = [
+        (name, "unique_combination", ",".join(STAGING_KEYS), -1) for name in checks
+    ] + [(name, c.name, c.column, i) for name, own in checks.items() for i, c in enumerate(own)]
+    named = tagged.sparkSession.createDataFrame(
+        lines, "table string, check string, column string, at int"
+    )
+    counts = F.array("repeated", *[f"f{i}" for i in range(width)])
+    found = totals.select("table", F.posexplode(counts).alias("at", "failures"))
+    found = found.withColumn("at", F.col("at") - 1)
+    return named.join(found, ["table", "at"], "left").select(
+        "table", "check", "column", F.coalesce("failures", F.lit(0).cast("bigint")).alias("failures")
+    )
+
+
+def staging_suite(df: DataFrame, source: SourceSpec, base: str = "USD") -> DataFrame:
+    """The twelve declared checks of one staging table."""
+    tagged = df.withColumn("table", F.lit(source.staging_table))
+    return staging_suites(tagged, [source], base).drop("table")
 
 
 def consensus_suite(df: DataFrame) -> DataFrame:
@@ -215,12 +260,21 @@ def declared_suites(
     fact: DataFrame,
     sources: Sequence[SourceSpec] = DEFAULT_SOURCES,
 ) -> DataFrame:
-    """All declared checks of all tables with the table's name in front."""
-    parts = [
-        staging_suite(stagings[s.name], s).select(F.lit(s.staging_table).alias("table"), "*")
-        for s in sources
-        if s.name in stagings
+    """All declared checks of all tables with the table's name in front; each is read once."""
+    there = [s for s in sources if s.name in stagings]
+    columns = list(dict.fromkeys([*STAGING_REQUIRED, *STAGING_KEYS]))
+    tagged = [
+        stagings[s.name].select(F.lit(s.staging_table).alias("table"), *columns) for s in there
     ]
-    parts.append(consensus_suite(consensus).select(F.lit("consensus_check").alias("table"), "*"))
-    parts.append(fact_suite(fact).select(F.lit("fact_rates_validated").alias("table"), "*"))
-    return report(*parts)
+    return tagged_suites(report(*tagged), consensus, fact, there)
+
+
+def tagged_suites(
+    tagged: DataFrame, consensus: DataFrame, fact: DataFrame, sources: Sequence[SourceSpec]
+) -> DataFrame:
+    """As ``declared_suites`` over staging rows of all sources in one frame, named by ``table``."""
+    return report(
+        staging_suites(tagged, sources),
+        consensus_suite(consensus).select(F.lit("consensus_check").alias("table"), "*"),
+        fact_suite(fact).select(F.lit("fact_rates_validated").alias("table"), "*"),
+    )

@@ -93,8 +93,10 @@ def _fact(spark, sf_dir) -> DataFrame:
 
 
 def _both(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(staging, consensus, fact) over staging rows that are kept, as a run keeps its tables."""
-    rows = _stg(spark, sf_dir).persist()
+    """(staging, consensus, fact) over staging rows that are written first, as a run does."""
+    path = scratch_path(spark, "staging")
+    _stg(spark, sf_dir).write.parquet(path)
+    rows = spark.read.parquet(path)
     return rows, cons.build_consensus([rows]), fact.validate_and_pick([rows])
 
 
@@ -783,9 +785,13 @@ def _q(spark, sf_dir):
 
 @query("hot_latest_slice")
 def _q(spark, sf_dir):
+    """From a stored fact: only the slice of its newest date is read."""
     dim = marts.dim_countries(views.fx_dim(spark, sf_dir))
-    rates = _fact(spark, sf_dir).persist()  # read twice: for the newest date and for its rows
-    return _rounded(marts.hot_latest_slice(rates, dim))
+    store = tables.RateTables(spark, scratch_path(spark, "latest"))
+    store.overwrite(FACT, _fact(spark, sf_dir), "rate_date")
+    newest = store.newest_date(FACT)
+    rates = store.read(FACT, schemas.FACT, newest, newest)
+    return _rounded(marts.hot_latest_slice(rates, dim, newest))
 
 
 # -- data quality -----------------------------------------------------------------------------
@@ -880,8 +886,10 @@ def _q(spark, sf_dir):
 @query("dq_declared_suites")
 def _q(spark, sf_dir):
     rows, flagged, rates = _both(spark, sf_dir)
-    stagings = {s.name: rows.where(F.col("source") == s.name) for s in CFG.sources}
-    return dq.declared_suites(stagings, flagged, rates)
+    name = F.lit(None).cast("string")
+    for source in CFG.sources:
+        name = F.when(F.col("source") == source.name, source.staging_table).otherwise(name)
+    return dq.tagged_suites(rows.withColumn("table", name), flagged, rates, CFG.sources)
 
 
 # -- quota ------------------------------------------------------------------------------------

@@ -87,8 +87,8 @@ def test_date_filter_reaches_the_files(spark, root):
 
 
 def test_busy_seconds_reduce_to_bitmaps_before_the_shuffle(spark):
-    text = plan(quota.busy_seconds(views.fx_calls(spark, SF)))
-    assert below_exchange(text, "partial_bitmap_construct_agg")
+    text = plan(quota.busy_seconds(quota.per_second(views.fx_calls(spark, SF))))
+    assert below_exchange(text, "Exchange") and "partial_bitmap_construct_agg" in text
     assert "ReadSchema: struct<ts:timestamp_ntz,event_type:string>" in text
 
 
@@ -105,3 +105,12 @@ def test_hot_lookups_reach_the_scan(spark):
         plan = catalog.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
         pushed = [line for line in plan.splitlines() if "PushedFilters" in line]
         assert any(f",{key})" in line for line in pushed), name
+
+
+def test_declared_checks_read_each_table_once(spark, quotes):
+    from ratelake.config import DEFAULT_SOURCES
+    from ratelake.operators import dq
+
+    rows = staging.stage_quotes(quotes, ("source", "base_currency", "target_currency", "rate_date"))
+    text = plan(dq.staging_suites(rows.withColumn("table", F.col("source")), DEFAULT_SOURCES))
+    assert text.count("FileScan") == 1
