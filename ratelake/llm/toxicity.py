@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from ratelake.llm.shared import crc_fold, labelled_texts
+from ratelake.llm.shared import crc_fold, labelled_texts, small_batches
 
 TRAIN_ROWS = 12_000
 MIN_PREFIX, MAX_PREFIX = 4, 9
@@ -33,7 +33,7 @@ MIN_DOCUMENTS = 3
 MIN_LOG_ODDS = 1.5
 MIN_SUPPORT = 9.0
 MAX_PATTERNS = 20_000
-LENGTH_SCALE = 2_000.0
+LENGTH_SCALE = 200.0
 FOLDS, HELD_FOLD = 5, 0
 
 #: Letters of other alphabets that look like Latin ones, and usual substitutions.
@@ -236,12 +236,14 @@ def evidence_of(docs: DataFrame, lexicon: Lexicon, keep: list[str]) -> DataFrame
             values = np.array(pairs, dtype=float).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(values[:, 0]), pa.array(values[:, 1])], names=[*keep, "evidence", "strongest"])
 
+    small_batches(docs)
     kept = docs.select(*keep)
     schema = StructType([*kept.schema.fields, StructField("evidence", DoubleType()), StructField("strongest", DoubleType())])
     return docs.select(F.col("text").alias("__body"), *keep).mapInArrow(measure, schema)
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Lexicon:
+    small_batches(docs)
     sample = labelled_texts(docs, labels, "toxic", FOLDS, HELD_FOLD, rows)
     lexicon = learn_lexicon(sample)
     lexicon.exceptions = learn_exceptions(sample, lexicon)
