@@ -11,10 +11,10 @@ is components.
 2. Token-group matrix: a set's prefix (in one global order, frequent shingles last) must share a
    shingle with the prefix of every partner.  Its cells are (shingle, group); shingles found in one
    group only are left out.
-3. Every document is first compared with the leader of each smaller group it shares a cell with.  Then,
-   for what is still apart, groups (in blocks of bounded size) are queried: the overlap of a query
-   with the union of a group's shingles bounds its overlap with any member, and only groups whose
-   bound reaches 75 % of the query are opened.
+3. The cells that a query shares with a group bound its overlap with every member; groups below the
+   bound are never opened.  The others are first asked through their leader.  Then, for what is still
+   apart, groups are opened in blocks of bounded size: a block's union of shingles bounds the overlap
+   once more, over whole sets, and only blocks whose bound reaches 75 % of the query are searched.
 
 The global order may be any order of shingles, so the sample behind it changes speed only.
 Null and empty texts have an empty set, no links and themselves as component; a null doc_id gets a null
@@ -28,11 +28,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratelake.llm.components import components
-from ratelake.llm.shared import stored
+from ratelake.llm.shared import small_batches, stored, tidy
 from ratelake.llm.words import mix64, text_buffers, window_hashes, word_blocks, words_of
 
 SHINGLE = 5
@@ -121,7 +122,7 @@ def sample_counts(docs: DataFrame) -> tuple[np.ndarray, dict[int, int]]:
             kind = np.repeat(np.array([0, 1], np.int32), [len(both) - len(keys), len(keys)])
             yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(both)], names=["kind", "value"])
 
-    counts = sample.select("text").mapInArrow(values, "kind int, value long").groupBy("kind", "value").agg(F.count("*").alias("n"))
+    counts = sample.select("text").mapInArrow(tidy(values), "kind int, value long").groupBy("kind", "value").agg(F.count("*").alias("n"))
     counts = counts.where(F.col("n") >= SAMPLE_COUNT)
     frequent = counts.where("kind = 0").orderBy(F.col("n").desc(), "value").limit(FREQUENT)
     hot = counts.where((F.col("kind") == 1) & (F.col("n") >= HOT_SAMPLE)).orderBy(F.col("n").desc(), "value").limit(HOT_KEYS)
@@ -130,25 +131,44 @@ def sample_counts(docs: DataFrame) -> tuple[np.ndarray, dict[int, int]]:
     return shingles, {r["value"]: math.ceil(r["n"] / HOT_SAMPLE) for r in rows if r["kind"] == 1}
 
 
-_PLACED = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("key", pa.int64()), ("salt", pa.int32()), ("text", pa.string())])
-_GROUPED = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("leader", pa.int64()), ("prefix", pa.list_(pa.int64())), ("key", pa.int64()), ("text", pa.string())])
+_PLACED = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("key", pa.int64()), ("salt", pa.int32()), ("packed", pa.binary())])
+_GROUPED = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("leader", pa.int64()), ("prefix", pa.list_(pa.int64())), ("key", pa.int64()), ("packed", pa.binary())])
+#: Rows that a task gathers before it hands them on.
+ROWS = 512
+
+
+def pack_texts(column: pa.Array) -> list[bytes]:
+    """Texts travel compressed: less than half of what the shuffle's own codec makes of them."""
+    compress = zstandard.ZstdCompressor(level=1).compress
+    return [compress(t.as_buffer()) for t in column]
+
+
+def unpack_texts(column: pa.Array) -> pa.Array:
+    expand = zstandard.ZstdDecompressor().decompress
+    return pa.array([expand(t.as_buffer()) for t in column], pa.large_binary()).cast(pa.large_string())
+
+
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
 
 
 def place(docs: DataFrame, salts: dict[int, int]) -> DataFrame:
     """Every non-empty document with its MinHash value and salt."""
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             sets = list(shingle_sets(batch.column(1)))
             keys = np.array([_min_hash(s) for s in sets], np.int64)
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             mixed = mix64(ids.astype(np.int64).view(np.uint64))
             salt = [int(m % salts[k]) if k in salts else 0 for m, k in zip(mixed.tolist(), keys.tolist())] if salts else np.zeros(len(ids), np.int32)
             sizes = np.array([len(s) for s in sets], np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes), pa.array(keys), pa.array(salt, pa.int32()), batch.column(1).cast(pa.string())], schema=_PLACED)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes), pa.array(keys), pa.array(salt, pa.int32()), pa.array(pack_texts(batch.column(1)), pa.binary())], schema=_PLACED)
 
     usable = docs.where(F.col("text").isNotNull() & F.col("doc_id").isNotNull())
-    return usable.select("doc_id", "text").mapInArrow(keyed, "doc_id long, n long, key long, salt int, text string").where("n > 0")
+    return usable.select("doc_id", "text").mapInArrow(tidy(keyed), "doc_id long, n long, key long, salt int, packed binary").where("n > 0")
 
 
 def group(placed: DataFrame, order: Order, salts: dict[int, int]) -> DataFrame:
@@ -159,10 +179,10 @@ def group(placed: DataFrame, order: Order, salts: dict[int, int]) -> DataFrame:
 
     def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, leaders = None, []
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             columns = (batch.column(i).to_pylist() for i in range(4))
-            for doc_id, n, key, salt, text, shingles in zip(*columns, batch.column(4), shingle_sets(batch.column(4))):
+            for doc_id, n, key, salt, packed, shingles in zip(*columns, batch.column(4), shingle_sets(unpack_texts(batch.column(4)))):
                 if (key, salt) != at:
                     at, leaders = (key, salt), []
                 leader = next((i for i, s in leaders if linked(shingles, s)), None)
@@ -170,18 +190,18 @@ def group(placed: DataFrame, order: Order, salts: dict[int, int]) -> DataFrame:
                 if leader is None and len(leaders) < LEADERS:
                     leaders.append((doc_id, shingles))
                 again = leader is None and key in salts
-                prefix = None if same else _longs(order.prefix(shingles)).tolist()
-                rows.append((doc_id, n, doc_id if leader is None else leader, prefix, key if again else None, text.as_py() if again else None))
+                prefix = None if same else _longs(order.prefix(shingles))
+                rows.append((doc_id, n, doc_id if leader is None else leader, prefix, key if again else None, packed.as_py() if again else None))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _GROUPED)], schema=_GROUPED)
 
     dealt = placed.repartition("key", "salt").sortWithinPartitions("key", "salt", "doc_id")
-    return dealt.mapInArrow(follow, "doc_id long, n long, leader long, prefix array<long>, key long, text string")
+    return dealt.mapInArrow(tidy(follow), "doc_id long, n long, leader long, prefix array<long>, key long, packed binary")
 
 
 def merge_salts(grouped: DataFrame, order: Order) -> DataFrame:
     """Links (a, b) between leaders of one salted MinHash value."""
-    again = grouped.where("key IS NOT NULL").select("doc_id", "n", "key", F.lit(0).alias("salt"), "text")
+    again = grouped.where("key IS NOT NULL").select("doc_id", "n", "key", F.lit(0).alias("salt"), "packed")
     return group(again, order, {}).where("leader <> doc_id").select(F.col("doc_id").alias("a"), F.col("leader").alias("b"))
 
 
@@ -196,16 +216,21 @@ def open_groups(docs: DataFrame, asked: DataFrame, members: DataFrame) -> DataFr
     rows = stored(wanted.unionByName(queries), "asked")
     ids = rows.select("doc_id").distinct()
     ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    texts = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    texts = stored(texts, "texts")
-    dealt = rows.join(texts, "doc_id").repartition("g", "lot").sortWithinPartitions("g", "lot", "kind", "doc_id").select("g", "lot", "kind", "doc_id", "text")
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(pack_texts(batch.column(1)), pa.binary())], names=["doc_id", "packed"])
+
+    texts = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(ids, "doc_id", "left_semi").mapInArrow(tidy(pack), "doc_id long, packed binary")
+    texts = stored(texts.dropDuplicates(["doc_id"]), "texts")
+    dealt = rows.join(texts, "doc_id").repartition("g", "lot").sortWithinPartitions("g", "lot", "kind", "doc_id").select("g", "lot", "kind", "doc_id", "packed")
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held, union = None, [], None
-        for batch in batches:
+        for batch in slices(batches):
             found = []
             columns = (batch.column(i).to_pylist() for i in range(4))
-            for g, lot, kind, doc_id, shingles in zip(*columns, shingle_sets(batch.column(4))):
+            for g, lot, kind, doc_id, shingles in zip(*columns, shingle_sets(unpack_texts(batch.column(4)))):
                 if (g, lot) != at:
                     at, held, union = (g, lot), [], None
                 if kind == 0:
@@ -222,27 +247,53 @@ def open_groups(docs: DataFrame, asked: DataFrame, members: DataFrame) -> DataFr
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["a", "b"])
 
-    return dealt.mapInArrow(answer, "a long, b long")
+    return dealt.mapInArrow(tidy(answer), "a long, b long")
+
+
+def overlap_needed(a, b):
+    """Shingles that sets of sizes ``a`` and ``b`` share in their prefixes at least if they link.
+
+    Linked sets share 3/7 of the sum of their sizes.  Of the set whose prefix ends first, what lies
+    behind the prefix can add no more than its length.
+    """
+    return F.ceil(3 * (a + b) / 7) - F.greatest(F.ceil(0.75 * a), F.ceil(0.75 * b)) + 1
+
+
+def bounded_queries(cells: DataFrame) -> DataFrame:
+    """(q, g): documents and groups with a smaller leader that share enough cells for a link.
+
+    ``cells`` (shingle, doc_id, n, leader, g).  The need is smallest at one end of the sizes
+    a group has among those that could link with the query at all.
+    """
+    there = cells.groupBy("shingle", "g").agg(F.first("leader").alias("other"))
+    sizes = cells.groupBy("g").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    shared = cells.select("shingle", "doc_id", "n", "leader").join(there, "shingle").where("other < leader")
+    counts = shared.groupBy(F.col("doc_id").alias("q"), "g").agg(F.count("*").alias("common"), F.first("n").alias("n"))
+    low, high = F.greatest("least", F.ceil(0.75 * F.col("n"))), F.least("most", F.floor(F.col("n") / 0.75))
+    need = F.least(overlap_needed(F.col("n"), low), overlap_needed(F.col("n"), high))
+    return counts.join(sizes, "g").where((low <= high) & (F.col("common") >= need)).select("q", "g")
 
 
 def similar_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, one row per row of ``docs``."""
+    small_batches(docs)
     frequent, salts = sample_counts(docs)
     order = Order(frequent)
     grouped = stored(group(place(docs, salts), order, salts), "grouped")
     links = merge_salts(grouped, order)
-    nodes = grouped.select("doc_id", "n", "leader", "prefix").dropDuplicates(["doc_id"])
+    names = grouped.select("doc_id", "n", "leader").dropDuplicates(["doc_id"])
 
     def settled(nodes: DataFrame, links: DataFrame) -> DataFrame:
         """Nodes with the label of their leader's component; labels only ever get smaller."""
         labels = components(links).withColumnsRenamed({"node": "leader", "label": "lower"})
-        return nodes.join(labels, "leader", "left").withColumn("leader", F.coalesce("lower", "leader")).drop("lower")
+        return nodes.join(labels, "leader", "left").select("doc_id", "n", F.coalesce("lower", "leader").alias("leader"))
 
-    nodes = stored(settled(nodes, stored(links, "salted")), "nodes")
+    nodes = stored(settled(names, stored(links, "salted")), "nodes")
     # Cells of the matrix whose shingle is found in two groups or more.
-    cells = nodes.where("prefix IS NOT NULL").select(F.explode("prefix").alias("shingle"), "doc_id", "leader")
+    cells = grouped.where("prefix IS NOT NULL").select("doc_id", "prefix").dropDuplicates(["doc_id"]).join(nodes, "doc_id")
+    cells = cells.select(F.explode("prefix").alias("shingle"), "doc_id", "n", "leader")
     shared = cells.groupBy("shingle").agg(F.min("leader").alias("low"), F.max("leader").alias("high")).where("low < high").select("shingle")
-    cells = stored(cells.join(shared, "shingle"), "cells")
+    cells = stored(cells.select("shingle", "doc_id").join(shared, "shingle"), "cells")
 
     def to_leader(links: DataFrame, nodes: DataFrame) -> DataFrame:
         """Links of documents as links of their groups."""
@@ -250,23 +301,18 @@ def similar_components(docs: DataFrame) -> DataFrame:
         a = links.join(names.withColumnsRenamed({"doc_id": "a", "leader": "la"}), "a")
         return a.join(names.withColumnsRenamed({"doc_id": "b", "leader": "lb"}), "b").select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct()
 
-    groups = cells.select("shingle", F.col("leader").alias("g")).distinct()
-    asked = cells.join(groups, "shingle").where("g < leader").select(F.col("doc_id").alias("q"), "g").distinct()
-    asked = stored(asked, "to-leaders")
+    placed = cells.join(nodes, "doc_id").withColumn("g", F.col("leader"))
+    asked = stored(bounded_queries(placed), "to-leaders")
     leaders = asked.select("g").distinct().select("g", F.col("g").alias("doc_id"))
     links = stored(open_groups(docs, asked, leaders), "leader-links")
     nodes = stored(settled(nodes, to_leader(links, nodes)), "nodes")
 
     # What is still apart: blocks of bounded size of the groups as they are now.
-    now = nodes.select("doc_id", F.col("leader").alias("now"))
-    cells = cells.drop("leader").join(now, "doc_id")
-    blocks = nodes.groupBy(F.col("leader").alias("now")).agg(F.ceil(F.count("*") / BLOCK_MEMBERS).alias("blocks"))
-    cells = cells.join(blocks, "now").withColumn("g", F.xxhash64("now", F.pmod(F.xxhash64("doc_id"), F.col("blocks"))))
-    cells = stored(cells.select("shingle", "doc_id", "now", "g"), "cells")
-    there = cells.select("shingle", F.col("now").alias("other"), "g").distinct()
-    asked = cells.drop("g").join(there, "shingle").where("other < now").select(F.col("doc_id").alias("q"), "g").distinct()
-    asked = stored(asked, "to-blocks")
-    members = cells.select("g", "doc_id").distinct().join(asked.select("g").distinct(), "g", "left_semi")
+    blocks = nodes.groupBy("leader").agg(F.ceil(F.count("*") / BLOCK_MEMBERS).alias("blocks"))
+    homes = nodes.join(blocks, "leader").select("doc_id", "n", "leader", F.xxhash64("leader", F.pmod(F.xxhash64("doc_id"), F.col("blocks"))).alias("g"))
+    placed = stored(cells.join(homes, "doc_id"), "placed")
+    asked = stored(bounded_queries(placed), "to-blocks")
+    members = placed.select("g", "doc_id").distinct().join(asked.select("g").distinct(), "g", "left_semi")
     links = stored(open_groups(docs, asked, members), "block-links")
     nodes = stored(settled(nodes, to_leader(links, nodes)), "nodes")
 
