@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratelake.llm.shared import stored
+from ratelake.llm.shared import small_batches, stored, tidy
 from ratelake.llm.words import Block, mix64, text_buffers, word_blocks, words_of
 
 #: Masks over consecutive words; 1 is compared, 0 left out.
@@ -62,7 +62,7 @@ def benchmark_seeds(items: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(ids[block.first + rows[at]]), pa.array(place)], names=["seed", "item_id", "place"])
 
     usable = items.where(F.col("item_id").isNotNull() & F.col("text").isNotNull())
-    return usable.select("item_id", "text").mapInArrow(hashed, _SEEDS)
+    return usable.select("item_id", "text").mapInArrow(tidy(hashed), _SEEDS)
 
 
 def slots(values: np.ndarray) -> np.ndarray:
@@ -106,8 +106,9 @@ def possible_hits(docs: DataFrame, table: np.ndarray) -> DataFrame:
                     names=["doc_id", "text", "seeds", "places"],
                 )
 
+    small_batches(docs)
     usable = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-    return usable.select("doc_id", "text").mapInArrow(look, "doc_id long, text string, seeds array<long>, places array<int>")
+    return usable.select("doc_id", "text").mapInArrow(tidy(look), "doc_id long, text string, seeds array<long>, places array<int>")
 
 
 def best_stretch(document: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int]:
@@ -147,7 +148,7 @@ def contaminated(docs: DataFrame, items: DataFrame, min_words: int = MIN_WORDS)
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["doc_id", "item_id", "matched_words", "item_words", "first_word"])
 
-    return asked.mapInArrow(verify, "doc_id long, item_id long, matched_words long, item_words long, first_word long").distinct()
+    return asked.mapInArrow(tidy(verify), "doc_id long, item_id long, matched_words long, item_words long, first_word long").distinct()
 
 
 def hashes_of(text: str) -> np.ndarray:

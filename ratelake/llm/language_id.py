@@ -17,10 +17,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratelake.llm.shared import crc_fold
+from ratelake.llm.shared import crc_fold, sample_per_group, small_batches, tidy
 from ratelake.llm.words import text_blocks, text_buffers
 
 ROWS_PER_LANGUAGE = 400
@@ -107,8 +107,7 @@ def presence(data: np.ndarray, offsets: np.ndarray, tables: dict[int, np.ndarray
 def training_rows(docs: DataFrame, per_language: int = ROWS_PER_LANGUAGE, rows: int = TRAIN_ROWS) -> DataFrame:
     """(doc_id, text, lang): bounded per language and in all, outside the held-out fold."""
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & (crc_fold("doc_id", FOLDS) != HELD_FOLD))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = usable.select("doc_id", "lang").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_language)
+    chosen = sample_per_group(usable.select("doc_id", "lang"), "lang", "doc_id", per_language)
     chosen = chosen.orderBy("rank", "lang").limit(rows).select("doc_id", F.col("lang").alias("label"))
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
 
@@ -126,8 +125,10 @@ def fit(texts: list[str], labels: list[str]) -> LanguageModel:
     for text in texts:
         for n, code in gram_codes(np.frombuffer(text.encode(), np.uint8)):
             counts[n][np.unique(code)] += 1
-    cut = np.partition(np.concatenate([c[c > 0] for c in counts.values()]), -VOCABULARY)[-VOCABULARY] if sum((c > 0).sum() for c in counts.values()) > VOCABULARY else 1
-    vocabulary = {n: np.flatnonzero(c > cut) if cut > 1 else np.flatnonzero(c) for n, c in counts.items()}
+    # The n-grams found in most of the texts; ties go to the shorter and smaller code.
+    order, codes = np.concatenate([[n] * len(np.flatnonzero(c)) for n, c in counts.items()]), np.concatenate([np.flatnonzero(c) for c in counts.values()])
+    top = np.argsort(-np.concatenate([c[c > 0] for c in counts.values()]).astype(np.int64), kind="stable")[:VOCABULARY]
+    vocabulary = {n: np.sort(codes[top][order[top] == n]) for n in ORDERS}
     model = LanguageModel(vocabulary, np.zeros((0, 0), np.float32), np.zeros((0, 0), np.float32), names)
     tables = model.tables()
     data, offsets = text_buffers(pa.array(texts, pa.large_string()))
@@ -159,8 +160,9 @@ def languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
                 found, score = pa.array([UNKNOWN] * batch.num_rows, pa.string()), np.zeros(batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), found, pa.array(score)], names=["doc_id", "lettered", "found", "value"])
 
+    small_batches(docs)
     lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    decided = docs.select("doc_id", "text", lettered.alias("lettered")).mapInArrow(decide, "doc_id long, lettered boolean, found string, value double")
+    decided = docs.select("doc_id", "text", lettered.alias("lettered")).mapInArrow(tidy(decide), "doc_id long, lettered boolean, found string, value double")
     return decided.select(
         "doc_id",
         (crc_fold("doc_id", FOLDS) == HELD_FOLD).alias("held_out"),

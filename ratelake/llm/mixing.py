@@ -22,11 +22,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from ratelake.llm.shared import stored
+from ratelake.llm.shared import sample_per_group, small_batches, stored, tidy
 from ratelake.llm.words import mix64, text_blocks, text_buffers, words_of
 
 ROWS_PER_DOMAIN = 500
@@ -77,9 +77,8 @@ class DomainModel:
 
 def train(docs: DataFrame, labelled: DataFrame) -> DomainModel:
     """From ``labelled`` (doc_id, domain); at most ROWS_PER_DOMAIN texts of a domain, TRAIN_ROWS in all."""
-    order = Window.partitionBy("domain").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = labelled.where(F.col("domain").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "domain").distinct()
-    chosen = chosen.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= ROWS_PER_DOMAIN)
+    chosen = sample_per_group(chosen, "domain", "doc_id", ROWS_PER_DOMAIN)
     chosen = chosen.orderBy("rank", "domain").limit(TRAIN_ROWS).select("doc_id", "domain")
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where(F.col("text").isNotNull()).dropDuplicates(["doc_id"]).collect()
     rows.sort(key=lambda r: (r["domain"], r["doc_id"]))
@@ -116,8 +115,9 @@ def memberships(docs: DataFrame, model: DomainModel, keep: list[str]) -> DataFra
             p = model.posterior(model.means(data, offsets)) if model.names else np.zeros((batch.num_rows, 0))
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(tokens.astype(np.int64)), *(pa.array(p[:, k]) for k in range(p.shape[1]))], names=[*keep, "__tokens", *names])
 
+    small_batches(docs)
     schema = StructType([*docs.select(*keep).schema.fields, StructField("__tokens", LongType()), *(StructField(n, DoubleType()) for n in names)])
-    return docs.select(F.col("text").alias("__body"), *keep).mapInArrow(measure, schema)
+    return docs.select(F.col("text").alias("__body"), *keep).mapInArrow(tidy(measure), schema)
 
 
 @dataclass
@@ -160,7 +160,7 @@ def fit_rates(members: DataFrame, model: DomainModel, targets: dict[str, float],
             if total is not None:
                 yield pa.RecordBatch.from_arrays([pa.array([total.tolist()])], names=["s"])
 
-        parts = members.select(*columns).mapInArrow(add, "s array<double>").select(F.posexplode("s").alias("i", "s"))
+        parts = members.select(*columns).mapInArrow(tidy(add), "s array<double>").select(F.posexplode("s").alias("i", "s"))
         rows = parts.groupBy("i").agg(F.sum("s").alias("s")).collect()
         out = np.zeros(max((r["i"] for r in rows), default=-1) + 1)
         for r in rows:
@@ -215,7 +215,7 @@ def with_rates(members: DataFrame, model: DomainModel, descent: Descent, keep: l
 
     fields = members.select(*keep, "__tokens").schema.fields
     schema = StructType(fields).add("__domain", "string").add("__posterior", "double").add("__rate", "double")
-    return members.select(*keep, "__tokens", *(f"__p{i}" for i in range(k))).mapInArrow(apply, schema)
+    return members.select(*keep, "__tokens", *(f"__p{i}" for i in range(k))).mapInArrow(tidy(apply), schema)
 
 
 def copies_of(rate: str, key: str):

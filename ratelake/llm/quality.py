@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratelake.llm.shared import crc_fold, labelled_texts
+from ratelake.llm.shared import crc_fold, labelled_texts, small_batches, tidy
 from ratelake.llm.words import mix64, text_blocks, text_buffers, words_of
 
 TRAIN_ROWS = 3_000
@@ -91,7 +91,7 @@ def feature_counts(sample: DataFrame) -> list[tuple[int, np.ndarray, np.ndarray]
                 counts.append(times.astype("<u4").tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(buckets), pa.array(counts)], names=["doc_id", "label", "buckets", "counts"])
 
-    rows = sample.select("doc_id", "text", "label").mapInArrow(count, "doc_id long, label int, buckets binary, counts binary").collect()
+    rows = sample.select("doc_id", "text", "label").mapInArrow(tidy(count), "doc_id long, label int, buckets binary, counts binary").collect()
     rows.sort(key=lambda r: r["doc_id"])
     return [(r["label"], np.frombuffer(r["buckets"], "<u4"), np.frombuffer(r["counts"], "<u4")) for r in rows]
 
@@ -141,7 +141,8 @@ def quality_scores(docs: DataFrame, model: QualityModel, threshold: float = 0.3)
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.score(batch.column(1)))], names=["doc_id", "score"])
 
-    scored = docs.select("doc_id", "text").mapInArrow(score, "doc_id long, score double")
+    small_batches(docs)
+    scored = docs.select("doc_id", "text").mapInArrow(tidy(score), "doc_id long, score double")
     return scored.select(
         "doc_id",
         (crc_fold("doc_id", FOLDS) == HELD_FOLD).alias("held_out"),

@@ -32,11 +32,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ratelake.llm.shared import small_batches, tidy
 from ratelake.llm.words import Block, mix64, text_blocks, text_buffers, window_hashes, words_of
 
 WINDOW = 13
 MINIMISER = 3
-CHUNK_BYTES = 4_000_000
+CHUNK_BYTES = 2_500_000
 BUCKET_BYTES = 4_000_000
 MIN_BUCKETS = 32
 #: Compressed bytes of one bucket that are solved at once.
@@ -221,9 +222,10 @@ def repeated_ranges(docs: DataFrame, buckets: int) -> DataFrame:
         if packed:
             yield from answer(*solve_bucket(packed)[:2])
 
+    small_batches(docs)
     rows = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text")
-    dealt = rows.mapInArrow(pack, _ROWS).repartition("bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(solve, "doc_id long, first int, stop int")
+    dealt = rows.mapInArrow(tidy(pack), _ROWS).repartition("bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(tidy(solve), "doc_id long, first int, stop int")
 
 
 def cut_words(text: bytes, ranges: np.ndarray) -> tuple[int, int, list[bytes]]:
@@ -264,5 +266,5 @@ def without_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
             kinds = (pa.int64(), pa.int64(), pa.string(), pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds))], names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"])
 
-    out = joined.mapInArrow(cut, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
+    out = joined.mapInArrow(tidy(cut), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
     return out if with_text else out.drop("kept_text")

@@ -23,7 +23,6 @@ import struct
 import zlib
 from array import array
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,11 +32,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
 from ratelake.llm import elias_fano
+from ratelake.llm.shared import kept_for_stage, small_batches, tidy
 from ratelake.session import scratch_path
 
 MAGIC = b"RLTOKEN1"
 SEGMENT_IDS = 1 << 20
-CACHED_PIECES = 700_000
+CACHED_PIECES = 500_000
 END_ID = 0
 _SPACE_RUN = re.compile(r" \s")
 
@@ -104,12 +104,6 @@ class PieceEncoder:
         return out
 
 
-@cache
-def _encoder(path: str) -> PieceEncoder:
-    """One per Python worker, so that its pieces serve all of the worker's tasks."""
-    return PieceEncoder(path)
-
-
 def pack(doc_ids: list[int | None], texts: list[bytes]) -> bytes:
     """One segment; ``texts`` are the documents' ids with their end ids, ``doc_ids`` in order, nulls first."""
     known = np.array([d for d in doc_ids if d is not None], dtype=np.int64)
@@ -165,7 +159,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, number = _encoder(tokenizer), TaskContext.get().partitionId(), 0
+        encoder = kept_for_stage(f"pieces of {tokenizer}", lambda: PieceEncoder(tokenizer))
+        part, number = TaskContext.get().partitionId(), 0
         doc_ids, texts, size = [], [], 0
 
         def cut() -> pa.RecordBatch:
@@ -187,8 +182,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
         if doc_ids:
             yield cut()
 
+    small_batches(docs)
     ordered = docs.select("doc_id", "text").repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first())
-    ordered.mapInArrow(segments, SEGMENTS).write.option("compression", "zstd").parquet(path)
+    ordered.mapInArrow(tidy(segments), SEGMENTS).write.option("compression", "zstd").parquet(path)
 
 
 _ARROW = pa.schema([("part", pa.int32()), ("segment", pa.int32()), ("documents", pa.int64()), ("ids", pa.int64()), ("blob", pa.binary())])
@@ -212,7 +208,7 @@ def read_tokens(segments: DataFrame) -> DataFrame:
                 columns = [*zip(*places), *zip(*rows)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ENTRIES)], schema=_ENTRIES)
 
-    read = segments.select("part", "segment", "blob").mapInArrow(entries, "part int, segment int, doc_id long, inner long, n_tokens long, ids_crc32 long")
+    read = segments.select("part", "segment", "blob").mapInArrow(tidy(entries), "part int, segment int, doc_id long, inner long, n_tokens long, ids_crc32 long")
     return read.join(starts, ["part", "segment"]).select("doc_id", (F.col("start") + F.col("inner")).alias("start"), "n_tokens", "ids_crc32")
 
 

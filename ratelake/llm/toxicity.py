@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from ratelake.llm.shared import crc_fold, labelled_texts, small_batches
+from ratelake.llm.shared import crc_fold, labelled_texts, small_batches, tidy
 
 TRAIN_ROWS = 12_000
 MIN_PREFIX, MAX_PREFIX = 4, 9
@@ -148,7 +148,7 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
 
     counts = (
         sample.select("text", "label")
-        .mapInArrow(terms, "term string, label int")
+        .mapInArrow(tidy(terms), "term string, label int")
         .groupBy("term")
         .agg(F.sum(F.when(F.col("label") == 1, 1).otherwise(0)).alias("bad"), F.sum(F.when(F.col("label") == 1, 0).otherwise(1)).alias("good"))
     )
@@ -203,7 +203,7 @@ def learn_exceptions(sample: DataFrame, lexicon: Lexicon) -> list[str]:
 
     found = (
         sample.select("text", "label")
-        .mapInArrow(phrases, "phrase string, label int")
+        .mapInArrow(tidy(phrases), "phrase string, label int")
         .groupBy("phrase")
         .agg(F.sum(F.when(F.col("label") == 1, 0).otherwise(1)).alias("good"), F.count("*").alias("n"))
         .where((F.col("good") >= MIN_DOCUMENTS) & (F.col("good") >= 0.8 * F.col("n")))
@@ -239,7 +239,7 @@ def evidence_of(docs: DataFrame, lexicon: Lexicon, keep: list[str]) -> DataFrame
     small_batches(docs)
     kept = docs.select(*keep)
     schema = StructType([*kept.schema.fields, StructField("evidence", DoubleType()), StructField("strongest", DoubleType())])
-    return docs.select(F.col("text").alias("__body"), *keep).mapInArrow(measure, schema)
+    return docs.select(F.col("text").alias("__body"), *keep).mapInArrow(tidy(measure), schema)
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Lexicon:

@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 
 BLOCK_BYTES = 2_000_000
 #: Powers kept for texts up to this size.
-POWERS = 4_000_000
+POWERS = 2_500_000
 WORD_BASE = np.uint64(0x9E3779B97F4A7C15)
 WINDOW_BASE = np.uint64(0xD6E8FEB86659FD93)
 
