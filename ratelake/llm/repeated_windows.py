@@ -24,11 +24,11 @@ from __future__ import annotations
 import hashlib
 import math
 import struct
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,8 +37,8 @@ from ratelake.llm.words import Block, mix64, text_blocks, text_buffers, window_h
 
 WINDOW = 13
 MINIMISER = 3
-CHUNK_BYTES = 2_500_000
-BUCKET_BYTES = 4_000_000
+CHUNK_BYTES = 4_000_000
+BUCKET_BYTES = 12_000_000
 MIN_BUCKETS = 32
 #: Compressed bytes of one bucket that are solved at once.
 COMPACT_BYTES = 8_000_000
@@ -150,7 +150,7 @@ def solve_bucket(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray, bytes]:
     heads, bodies = [], []
     for blob in packed:
         (count,) = struct.unpack_from("<I", blob)
-        body = zlib.decompress(memoryview(blob)[4:])
+        body = zstandard.ZstdDecompressor().decompress(memoryview(blob)[4:])
         heads.append(np.frombuffer(body, "<i8", count * 3).reshape(-1, 3))
         bodies.append(memoryview(body)[count * 24 :])
     head = np.concatenate(heads)
@@ -183,7 +183,7 @@ def pack_strings(data: np.ndarray, docs: np.ndarray, place: np.ndarray, low: np.
     view = memoryview(np.ascontiguousarray(data))
     head = np.column_stack([docs, place, high - low]).astype("<i8")
     body = head.tobytes() + b"".join([view[a:b] for a, b in zip(low.tolist(), high.tolist())])
-    return struct.pack("<I", len(head)) + zlib.compress(body, 1)
+    return struct.pack("<I", len(head)) + zstandard.ZstdCompressor(level=3).compress(body)
 
 
 def repeated_ranges(docs: DataFrame, buckets: int) -> DataFrame:
