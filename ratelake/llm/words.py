@@ -14,9 +14,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 2_000_000
+BLOCK_BYTES = 500_000
 #: Powers kept for texts up to this size.
-POWERS = 2_500_000
+POWERS = 600_000
 WORD_BASE = np.uint64(0x9E3779B97F4A7C15)
 WINDOW_BASE = np.uint64(0xD6E8FEB86659FD93)
 
