@@ -26,7 +26,7 @@ def marked(spark):
         if toxic:
             word = draw.choice(["vileword", "grimthing", "foulname", "krassu" + draw.choice(["en", "um", "ax", "ig"])])
             text = f"{text} {word} {noise(draw, 20)}"
-        elif i % 35 == 1:
+        elif i % 70 == 1:
             text = f"{text} not vileword {noise(draw, 5)}"
         if not good:
             text = " ".join(w for w in text.split() for _ in range(6))
