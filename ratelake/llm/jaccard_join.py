@@ -259,18 +259,27 @@ def overlap_needed(a, b):
     return F.ceil(3 * (a + b) / 7) - F.greatest(F.ceil(0.75 * a), F.ceil(0.75 * b)) + 1
 
 
+def least_overlap(n, low, high):
+    """The smallest ``overlap_needed(n, b)`` of the sizes b from ``low`` to ``high``.
+
+    Up to ``n`` the need never falls as b grows.  Beyond, it falls by 9 every 28 sizes, but the ceilings
+    let it rise by one in between, so that the size below ``high`` may need less than ``high``.
+    """
+    return F.least(*(overlap_needed(n, b) for b in (low, F.greatest(low, high - 1), high)))
+
+
 def bounded_queries(cells: DataFrame) -> DataFrame:
     """(q, g): documents and groups with a smaller leader that share enough cells for a link.
 
-    ``cells`` (shingle, doc_id, n, leader, g).  The need is smallest at one end of the sizes
-    a group has among those that could link with the query at all.
+    ``cells`` (shingle, doc_id, n, leader, g).  The need holds for all sizes between the ends of those
+    a group has and that could link with the query at all.
     """
     there = cells.groupBy("shingle", "g").agg(F.first("leader").alias("other"))
     sizes = cells.groupBy("g").agg(F.min("n").alias("least"), F.max("n").alias("most"))
     shared = cells.select("shingle", "doc_id", "n", "leader").join(there, "shingle").where("other < leader")
     counts = shared.groupBy(F.col("doc_id").alias("q"), "g").agg(F.count("*").alias("common"), F.first("n").alias("n"))
     low, high = F.greatest("least", F.ceil(0.75 * F.col("n"))), F.least("most", F.floor(F.col("n") / 0.75))
-    need = F.least(overlap_needed(F.col("n"), low), overlap_needed(F.col("n"), high))
+    need = least_overlap(F.col("n"), low, high)
     return counts.join(sizes, "g").where((low <= high) & (F.col("common") >= need)).select("q", "g")
 
 

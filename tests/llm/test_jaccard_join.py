@@ -80,6 +80,27 @@ def test_repeated_rows_null_ids_and_empty_table(documents):
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 4, 10] and "score" in kept.columns
 
 
+def test_bound_holds_for_inner_sizes(spark):
+    from pyspark.sql import functions as F
+
+    def need(a, b):
+        return -(-3 * (a + b) // 7) - max(-(-3 * a // 4), -(-3 * b // 4)) + 1
+
+    cases = [(a, low, high) for a in range(1, 130) for low in range(-(-3 * a // 4), 4 * a // 3 + 1) for high in range(low, min(low + 15, 4 * a // 3) + 1)]
+    table = spark.createDataFrame(cases, "n long, low long, high long")
+    rows = table.select("n", "low", "high", jj.least_overlap(F.col("n"), F.col("low"), F.col("high")).alias("bound")).collect()
+    exact = [min(need(r.n, b) for b in range(r.low, r.high + 1)) for r in rows]
+    assert len(rows) > 30_000 and [r.bound for r in rows] == exact
+
+
+def test_group_with_a_member_of_inner_size_is_asked(spark):
+    # The member of 99 shingles needs 8 common cells of a query of 92, those of 98 and 100 need 9.
+    rows = [(s, m, n, 1, 1) for m, n in ((1, 98), (2, 99), (3, 100)) for s in range(8)] + [(s, 9, 92, 9, 9) for s in range(8)]
+    cells = spark.createDataFrame(rows, "shingle long, doc_id long, n long, leader long, g long")
+    assert [tuple(r) for r in jj.bounded_queries(cells).collect()] == [(9, 1)]
+    assert jj.bounded_queries(cells.where("shingle < 7")).count() == 0
+
+
 def test_components_of_long_chains(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 99), (101, 99)]
     got = {r.node: r.label for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
