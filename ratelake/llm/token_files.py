@@ -68,7 +68,7 @@ class PieceEncoder:
 
     A byte-level BPE splits a text before every space that stands between characters other than
     white space, so the ids of such a text are those of its pieces in a row.  Texts with other
-    white space after a space are handed to the tokenizer whole.
+    white space after a space, or with an added token such as <|endoftext|>, are handed to the tokenizer whole.
     """
 
     def __init__(self, path: str):
@@ -76,12 +76,12 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
+        self._added = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
         self._pieces = _Pieces()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian u32 ids of each text."""
-        split = [None if _SPACE_RUN.search(t) else t.split(" ") for t in texts]
+        split = [None if _SPACE_RUN.search(t) or any(a in t for a in self._added) else t.split(" ") for t in texts]
         heads = iter(self._whole([p[0] for p in split if p]))
         rest = iter(self._whole([t for t, p in zip(texts, split) if p is None]))
         seen = set()

@@ -50,6 +50,13 @@ def test_pieces_give_the_tokenizers_ids(texts):
     assert [np.frombuffer(g, "<u4").tolist() for g in got] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+@pytest.mark.parametrize("text", ["end of one <|endoftext|> next", "<|endoftext|>", "a<|endoftext|>b c", " <|endoftext|>  <|endoftext|>\n x", "<|endoftext| > <|endoftext"])
+def test_added_tokens_in_a_text_get_their_own_ids(plain, text):
+    got = token_files.PieceEncoder(TOKENIZER).encode(["of one next", text])
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [plain("of one next"), plain(text)]
+    assert (50256 in plain(text)) == ("<|endoftext|>" in text)
+
+
 def test_full_cache_changes_nothing(monkeypatch, plain):
     monkeypatch.setattr(token_files, "CACHED_PIECES", 2)
     encoder = token_files.PieceEncoder(TOKENIZER)
