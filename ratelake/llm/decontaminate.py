@@ -1,7 +1,8 @@
 """Benchmark decontamination with spaced-seed hashing.
 
-A seed is a fixed mask over ten consecutive words that leaves some positions out, so a substituted
-word at such a position does not change its hash.  Hashes of the benchmark's seeds are joined with those
+A seed is a fixed mask over consecutive words, ten at most, that leaves some positions out, so a substituted
+word at such a position does not change its hash.  The masks are chosen so that every stretch that the
+verification accepts holds one of them whole.  Hashes of the benchmark's seeds are joined with those
 of the documents.  Around each hit the document and the item are laid on one diagonal, and the
 longest good stretch of it is measured: equal words count +1, substituted ones -PENALTY.  A stretch
 with ``MIN_WORDS`` equal words (or nearly all words of a shorter item) makes the document contaminated.
@@ -9,8 +10,8 @@ with ``MIN_WORDS`` equal words (or nearly all words of a shorter item) makes the
 Documents' hashes are first held against a bit table of fixed size made from the benchmark's, so
 that only documents with a possible hit are shuffled; the table may let others through, never drops any.
 
-Words are lower-cased (A-Z).  Null and empty texts match nothing, neither do items of fewer words
-than a seed spans; repeated items are found once each; a null doc_id is not judged.
+Words are lower-cased (A-Z).  Null and empty texts match nothing, neither do items of fewer than
+``SPAN`` words; rows that repeat a doc_id are verified one by one and reported once; repeated items are found once each; a null doc_id is not judged.
 """
 
 from __future__ import annotations
@@ -25,8 +26,9 @@ from pyspark.sql import functions as F
 from ratelake.llm.shared import small_batches, stored, tidy
 from ratelake.llm.words import Block, mix64, text_buffers, word_blocks, words_of
 
-#: Masks over consecutive words; 1 is compared, 0 left out.
-MASKS = ("1111011111", "1101110111", "1110110111", "1011111101")
+#: Masks over consecutive words; 1 is compared, 0 left out.  Zeros at the end only fill up to SPAN.
+#: No accepted stretch lacks all four: its score stays above zero from its first word on (see the tests).
+MASKS = ("1110100110", "1110111000", "1111001010", "1110101100")
 SPAN = 10
 MIN_WORDS = 12
 PENALTY = 2
@@ -36,15 +38,15 @@ _SEEDS = "seed long, item_id long, place int"
 
 def seeds(block: Block) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(first word, hash) of every place of every mask inside one text."""
-    count = len(block.hashes) - SPAN + 1
-    if count <= 0:
-        return
     rows = block.rows
-    at = np.flatnonzero(rows[:count] == rows[SPAN - 1 :])
-    for number, mask in enumerate(MASKS):
+    for number, mask in enumerate(m.rstrip("0") for m in MASKS):
+        count = len(rows) - len(mask) + 1
+        if count <= 0:
+            continue
+        at = np.flatnonzero(rows[:count] == rows[len(mask) - 1 :])
         total = np.full(count, number + 1, dtype=np.uint64)
-        for j in range(SPAN):
-            if mask[j] == "1":
+        for j, compared in enumerate(mask):
+            if compared == "1":
                 total = total * np.uint64(0x9E6C63D0876A9A35) + block.hashes[j : j + count]
         yield at, mix64(total[at])
 
@@ -56,8 +58,10 @@ def benchmark_seeds(items: DataFrame) -> DataFrame:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for block in word_blocks(batch.column(1), lower=True):
-                rows = block.rows
+                rows, long = block.rows, np.diff(block.bounds) >= SPAN
                 for at, values in seeds(block):
+                    kept = long[rows[at]]
+                    at, values = at[kept], values[kept]
                     place = (at - block.bounds[rows[at]]).astype(np.int32)
                     yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(ids[block.first + rows[at]]), pa.array(place)], names=["seed", "item_id", "place"])
 
@@ -128,13 +132,14 @@ def contaminated(docs: DataFrame, items: DataFrame, min_words: int = MIN_WORDS)
     """doc_id, item_id, matched_words, item_words, first_word: contaminated documents with their items."""
     marks = stored(benchmark_seeds(items), "seeds")
     suspects = stored(possible_hits(docs, bit_table(marks)), "suspects")
-    hits = suspects.select("doc_id", F.explode(F.arrays_zip("seeds", "places")).alias("hit")).select("doc_id", F.col("hit.seeds").alias("seed"), F.col("hit.places").alias("at"))
-    lines = hits.join(marks, "seed").select("doc_id", "item_id", (F.col("at") - F.col("place")).alias("shift")).distinct()
-    # One row per document and item, with the diagonals they share hits on.
-    lines = lines.groupBy("doc_id", "item_id").agg(F.collect_list("shift").alias("shifts"))
-    # The longest text of a repeated doc_id is the one that is judged.
-    texts = suspects.groupBy("doc_id").agg(F.max_by("text", F.length("text")).alias("text"))
-    asked = lines.join(texts, "doc_id").join(items.select("item_id", F.col("text").alias("item")), "item_id").select("doc_id", "item_id", "shifts", "text", "item")
+    # Rows that repeat a doc_id are told apart by their texts.
+    suspects = suspects.withColumn("copy", F.xxhash64("text"))
+    hits = suspects.select("doc_id", "copy", F.explode(F.arrays_zip("seeds", "places")).alias("hit")).select("doc_id", "copy", F.col("hit.seeds").alias("seed"), F.col("hit.places").alias("at"))
+    lines = hits.join(marks, "seed").select("doc_id", "copy", "item_id", (F.col("at") - F.col("place")).alias("shift")).distinct()
+    # One row per text and item, with the diagonals they share hits on.
+    lines = lines.groupBy("doc_id", "copy", "item_id").agg(F.collect_list("shift").alias("shifts"))
+    texts = suspects.select("doc_id", "copy", "text").dropDuplicates(["doc_id", "copy"])
+    asked = lines.join(texts, ["doc_id", "copy"]).join(items.select("item_id", F.col("text").alias("item")), "item_id").select("doc_id", "item_id", "shifts", "text", "item")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -148,7 +153,9 @@ def contaminated(docs: DataFrame, items: DataFrame, min_words: int = MIN_WORDS)
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["doc_id", "item_id", "matched_words", "item_words", "first_word"])
 
-    return asked.mapInArrow(tidy(verify), "doc_id long, item_id long, matched_words long, item_words long, first_word long").distinct()
+    found = asked.mapInArrow(tidy(verify), "doc_id long, item_id long, matched_words long, item_words long, first_word long")
+    best = found.groupBy("doc_id", "item_id", "item_words").agg(F.max(F.struct("matched_words", "first_word")).alias("best"))
+    return best.select("doc_id", "item_id", "best.matched_words", "item_words", "best.first_word")
 
 
 def hashes_of(text: str) -> np.ndarray:

@@ -1,5 +1,7 @@
 import random
+from itertools import combinations
 
+import numpy as np
 import pytest
 
 from ratelake.llm import decontaminate as dc
@@ -45,6 +47,47 @@ def test_masks_survive_any_single_substitution():
         assert any(mask[hole - start] == "0" for mask in dc.MASKS for start in range(hole - dc.SPAN + 1, hole + 1) if 0 <= hole - start < dc.SPAN)
 
 
+def seeded(equal):
+    """Whether a mask fits between the equal words of a stretch, given as a string of 1 and 0."""
+    masks = [m.rstrip("0") for m in dc.MASKS]
+    return any(all(m <= e for m, e in zip(mask, equal[i:])) for mask in masks for i in range(len(equal) - len(mask) + 1))
+
+
+def test_masks_fit_every_accepted_copy_of_a_short_item():
+    for size in range(dc.SPAN, 18):
+        item = np.arange(size)
+        for holes in (h for k in range(5) for h in combinations(range(size), k)):
+            document = item.copy()
+            document[list(holes)] = -1
+            if dc.best_stretch(document, item, 0)[0] >= min(dc.MIN_WORDS, max(dc.SPAN - 2, size - 2)):
+                assert seeded("".join("1" if w >= 0 else "0" for w in document)), (size, holes)
+
+
+def test_masks_fit_every_accepted_stretch():
+    # All stretches up to their twelfth equal word: the score is above zero from the first word on.
+    work, ends = [("1", 1)], 0
+    while work:
+        equal, score = work.pop()
+        if equal.count("1") == dc.MIN_WORDS:
+            ends += 1
+            assert seeded(equal), equal
+            continue
+        work.append((equal + "1", score + 1))
+        if score > dc.PENALTY:
+            work.append((equal + "0", score - dc.PENALTY))
+    assert ends == 728
+
+
+def test_neighbouring_substitutions_and_rows_with_one_id(documents, items):
+    table, texts = items
+    words = texts[2].split()
+    words[5:7] = ["other", "words"]
+    longer = " ".join(f"f{i}" for i in range(200)) + " " + " ".join(texts[0].split()[:9])
+    rows = [(1, " ".join(words)), (2, texts[1]), (2, longer), (3, longer)]
+    got = [(r.doc_id, r.item_id, r.matched_words, r.first_word) for r in dc.contaminated(documents(*rows), table).collect()]
+    assert sorted(got) == [(1, 2, 13, 0), (2, 1, 25, 0)]
+
+
 def test_repeated_rows_and_empty_tables(documents, items):
     table, texts = items
     rows = [(1, texts[0]), (1, texts[0]), (1, "nothing")]
