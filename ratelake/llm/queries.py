@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelake.llm import decontaminate, exact_dedup, html_wrapper, jaccard_join, language_id, mixing, quality, repeated_windows, token_files, toxicity
+from ratelake.llm import decontaminate, exact_dedup, html_wrapper, jaccard_join, language_id, mixing, periodic_runs, quality, repeated_windows, token_files, toxicity
 from ratelake.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,13 +66,25 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.periodic_runs(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    found = [op1_mixing, op2_jaccard_join, op3_toxicity, op4_repeated_windows, op5_main_text, op6_language_id, op7_decontaminate, op8_exact_dedup, op9_token_files, op10_quality]
+    found = [
+        op1_mixing, op2_jaccard_join, op3_toxicity, op4_repeated_windows, op5_main_text, op6_language_id, op7_decontaminate,
+        op8_exact_dedup, op9_token_files, op10_quality, op13_periodic_runs,
+    ]
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_jaccard_join": JACCARD_JOIN, "op4_repeated_windows": REPEATED_WINDOWS, "op8_exact_dedup": EXACT_DEDUP}
+    return {
+        "op2_jaccard_join": JACCARD_JOIN,
+        "op4_repeated_windows": REPEATED_WINDOWS,
+        "op8_exact_dedup": EXACT_DEDUP,
+        "op13_periodic_runs": PERIODIC_RUNS,
+    }
 
 
 EXACT_DEDUP = r"""
@@ -126,3 +138,52 @@ kept AS (
 SELECT w.doc_id, len(words) AS n_words, len(words) - coalesce(kept.n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM w LEFT JOIN kept USING (doc_id)
 """
+
+#: crc32 of ASCII text in SQL: its byte table by the rule of the polynomial, then one step a character.
+CRC_TABLE = """
+SELECT list(list_reduce([x] || range(8), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY x) AS crc_table
+FROM (SELECT unnest(range(256)) AS x)
+"""
+
+
+def crc32_sql(text: str) -> str:
+    """The unsigned crc32 of an SQL expression; ``crc_table`` must be in scope."""
+    codes = f"list_transform(string_split({text}, ''), lambda ch: ascii(ch)::BIGINT)"
+    return f"xor(4294967295, list_reduce([4294967295] || {codes}, lambda c, b: xor(c >> 8, crc_table[(xor(c, b) & 255) + 1])))"
+
+
+PERIODIC_RUNS = rf"""
+WITH t AS ({CRC_TABLE}), h AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words, {crc32_sql("doc_id::VARCHAR")} AS h
+  FROM documents, t
+), a AS (
+  SELECT *, CASE WHEN h % 10 = 0 AND len(words) > 0 THEN (h // 10) % len(words) END AS a FROM h
+), p AS (
+  SELECT *, 1 + (len(words) - a) // (3 + (h // 10) % 8) AS p FROM a
+), w AS (
+  SELECT doc_id, CASE WHEN a IS NULL THEN words
+    ELSE words[1:a] || list_transform(range(len(words) - a), lambda i: words[a + 1 + i % p]) END AS words
+  FROM p
+), six AS (
+  SELECT doc_id, i, array_to_string(words[i + 1:i + 6], ' ') AS win FROM (SELECT doc_id, words, unnest(range(len(words) - 5)) AS i FROM w WHERE len(words) >= 12)
+), pairs AS (
+  SELECT x.doc_id, x.i, y.i - x.i AS period FROM six x JOIN six y ON x.doc_id = y.doc_id AND x.win = y.win AND x.i < y.i
+), stretches AS (
+  SELECT doc_id, period, min(i) AS start, count(*) + 5 + period AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, period ORDER BY i) AS island FROM pairs) GROUP BY doc_id, period, island
+), runs AS (
+  SELECT doc_id, start, length, min(period) AS period FROM stretches WHERE length >= greatest(12, 2 * period) GROUP BY doc_id, start, length
+), listed AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS listed,
+    first(struct_pack(start, length, period) ORDER BY length DESC, start, period) AS best
+  FROM runs GROUP BY doc_id
+), dropped AS (
+  SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text
+  FROM (SELECT doc_id, unnest(range(len(words))) AS i, unnest(words) AS word FROM w) ANTI JOIN dropped USING (doc_id, i) GROUP BY doc_id
+)
+SELECT w.doc_id, coalesce(n_runs, 0) AS n_runs, best.start AS start, best.length AS length, best.period AS period,
+  1000 * best.length // best.period AS exponent_milli, sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM w LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
