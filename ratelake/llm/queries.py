@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelake.llm import decontaminate, exact_dedup, html_wrapper, jaccard_join, language_id, mixing, periodic_runs, quality, repeated_windows, token_files, toxicity
+from ratelake.llm import conversation_repair, decontaminate, exact_dedup, html_wrapper, jaccard_join, language_id, mixing, periodic_runs, quality, repeated_windows, token_files, toxicity
 from ratelake.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +66,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.periodic_runs(table(spark, sf_dir, "documents"))
 
@@ -73,7 +77,7 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     found = [
         op1_mixing, op2_jaccard_join, op3_toxicity, op4_repeated_windows, op5_main_text, op6_language_id, op7_decontaminate,
-        op8_exact_dedup, op9_token_files, op10_quality, op13_periodic_runs,
+        op8_exact_dedup, op9_token_files, op10_quality, op11_conversation_repair, op13_periodic_runs,
     ]
     return {f.__name__: f for f in found}
 
@@ -83,6 +87,7 @@ def oracle_sql() -> dict[str, str]:
         "op2_jaccard_join": JACCARD_JOIN,
         "op4_repeated_windows": REPEATED_WINDOWS,
         "op8_exact_dedup": EXACT_DEDUP,
+        "op11_conversation_repair": CONVERSATION_REPAIR,
         "op13_periodic_runs": PERIODIC_RUNS,
     }
 
@@ -187,3 +192,66 @@ SELECT w.doc_id, coalesce(n_runs, 0) AS n_runs, best.start AS start, best.length
   1000 * best.length // best.period AS exponent_milli, sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
 FROM w LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
+
+
+def _edit(value: str, cost: str, edit: str) -> str:
+    """SQL for a value (nine digits of cost, then the audit) with one more edit in front."""
+    return f"(lpad((left({value}, 9)::BIGINT + {cost})::VARCHAR, 9, '0') || '{edit}' || substr({value}, 10))"
+
+
+def _before_row(state: str, ahead: str, keeps: str) -> str:
+    """SQL for the least value before row ``r`` from ``state``; ``keeps`` maps kept initials to the state behind."""
+    kept = " ".join(f"WHEN '{c}' THEN {_edit(f'd.{to}', 'r.short', 'K')}" for c, to in keeps)
+    usable = f"CASE WHEN NOT r.gone THEN least({_edit(f'd.{ahead}', '2 + r.short', 'R')}, CASE r.initial {kept} END) END"
+    return f"least({_edit(f'd.{state}', '3', 'D')}, {usable}) AS {state}"
+
+
+# Backward over rows; values compare by cost, then audit.  v0, vs, vu, va: what was said last is nothing, system, user, assistant.
+CONVERSATION_REPAIR = rf"""
+WITH RECURSIVE t AS ({CRC_TABLE}), k AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {crc32_sql("(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))")} % 20 AS kind
+  FROM conversations, t
+), x AS (
+  SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE kind WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM k WHERE kind <> 0
+), n AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i, regexp_replace(text, '[ 	-
+]+$', '') AS trimmed FROM x
+), f AS (
+  SELECT *, left(role, 1) AS initial, trimmed = '' AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair
+  FROM n
+), r AS (
+  SELECT *, blank OR again AS gone, CASE WHEN right(trimmed, 1) IN ('.', '!', '?') THEN 0 ELSE 1 END AS short FROM f
+), facts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(blank) AS blank, count_if(again AND NOT blank) AS duplicate,
+    count_if(NOT gone AND short = 1) AS truncated, count_if(pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM r GROUP BY conv_id
+), d AS (
+  SELECT conv_id, n + 1 AS i, '000000000' AS v0, '000000004II' AS vs, '000000002I' AS vu, '000000000' AS va FROM facts
+  UNION ALL
+  SELECT conv_id, i, least(v0, {_edit("vu", "2", "I")}, {_edit("va", "4", "II")}), least(vs, {_edit("vu", "2", "I")}, {_edit("va", "4", "II")}),
+    least(vu, {_edit("va", "2", "I")}), least(va, {_edit("vu", "2", "I")})
+  FROM (
+    SELECT d.conv_id, r.i, {_before_row("v0", "vu", [("s", "vs"), ("u", "vu")])}, {_before_row("vs", "vu", [("u", "vu")])},
+      {_before_row("vu", "va", [("a", "va")])}, {_before_row("va", "vu", [("u", "vu")])}
+    FROM d JOIN r ON r.conv_id = d.conv_id AND r.i = d.i - 1
+  )
+), best AS (
+  SELECT conv_id, left(v0, 9)::BIGINT AS cost, substr(v0, 10) AS audit FROM d WHERE i = 1
+), e AS (
+  SELECT conv_id, edit, seq, count_if(edit <> 'I') OVER w AS i, count_if(edit <> 'D') OVER w AS place
+  FROM (SELECT conv_id, unnest(string_split(audit, '')) AS edit, generate_subscripts(string_split(audit, ''), 1) AS seq FROM best WHERE audit <> '')
+  WINDOW w AS (PARTITION BY conv_id ORDER BY seq)
+), said AS (
+  SELECT e.*, r.role, r.text, max((edit = 'K' AND place = 1 AND left(r.role, 1) = 's')::INT) OVER (PARTITION BY e.conv_id) AS system
+  FROM e LEFT JOIN r ON r.conv_id = e.conv_id AND r.i = e.i AND e.edit <> 'I' WHERE edit <> 'D'
+), lines AS (
+  SELECT conv_id, string_agg(CASE WHEN edit = 'K' THEN role WHEN (place - system) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || coalesce(text, ''), chr(10) ORDER BY seq) AS repaired
+  FROM said GROUP BY conv_id
+)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(repaired, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN facts USING (conv_id) LEFT JOIN best USING (conv_id) LEFT JOIN lines USING (conv_id)
+"""
