@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelake.llm import conversation_repair, decontaminate, exact_dedup, html_wrapper, jaccard_join, language_id, mixing, periodic_runs, quality, repeated_windows, token_files, toxicity
+from ratelake.llm import conversation_repair, decontaminate, exact_dedup, html_wrapper, jaccard_join, language_id, minhash_dedup, mixing, periodic_runs, quality, repeated_windows, token_files, toxicity
 from ratelake.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +70,10 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair_damaged(table(spark, sf_dir, "conversations"))
 
 
+def op12_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.periodic_runs(table(spark, sf_dir, "documents"))
 
@@ -77,7 +81,7 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     found = [
         op1_mixing, op2_jaccard_join, op3_toxicity, op4_repeated_windows, op5_main_text, op6_language_id, op7_decontaminate,
-        op8_exact_dedup, op9_token_files, op10_quality, op11_conversation_repair, op13_periodic_runs,
+        op8_exact_dedup, op9_token_files, op10_quality, op11_conversation_repair, op12_minhash_dedup, op13_periodic_runs,
     ]
     return {f.__name__: f for f in found}
 
@@ -88,6 +92,7 @@ def oracle_sql() -> dict[str, str]:
         "op4_repeated_windows": REPEATED_WINDOWS,
         "op8_exact_dedup": EXACT_DEDUP,
         "op11_conversation_repair": CONVERSATION_REPAIR,
+        "op12_minhash_dedup": MINHASH_DEDUP,
         "op13_periodic_runs": PERIODIC_RUNS,
     }
 
@@ -255,3 +260,25 @@ SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coales
   coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(repaired, '')) AS repaired_sha256
 FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN facts USING (conv_id) LEFT JOIN best USING (conv_id) LEFT JOIN lines USING (conv_id)
 """
+
+MINHASH_DEDUP = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(words[i:i + 1], ' ') AS shingle
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words), 2))) AS i FROM w WHERE len(words) > 0)
+), n AS (SELECT doc_id, count(*) AS size FROM s GROUP BY doc_id),
+sized AS (SELECT s.*, size FROM s JOIN n USING (doc_id)),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y
+  FROM sized a JOIN sized b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id AND 100 * least(a.size, b.size) >= 80 * greatest(a.size, b.size)
+  GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 80 * (any_value(a.size) + any_value(b.size) - count(*))
+), reach AS (
+  SELECT doc_id, doc_id AS root FROM documents
+  UNION
+  SELECT l.y, r.root FROM reach r JOIN links l ON l.x = r.doc_id WHERE r.root < l.y
+)
+SELECT r.doc_id, coalesce(any_value(n.size), 0) AS n_shingles, min(r.root) AS component_id, r.doc_id = min(r.root) AS kept
+FROM reach r LEFT JOIN n USING (doc_id) GROUP BY r.doc_id
+"""
