@@ -113,7 +113,7 @@ class RateJobs:
             {"rate_date": F.col("extraction_timestamp").cast("date"), "body_key": F.xxhash64("body")}
         )
         keys = ("rate_date", "source", "extraction_timestamp", "http_status_code", "body_key")
-        self.tables.upsert(QUARANTINE, kept.dropDuplicates(list(keys)), keys, as_of=self.as_of)
+        self.tables.upsert(QUARANTINE, kept.dropDuplicates(list(keys)), keys)
 
     def landed(self, source: SourceSpec, mode: str, start: date) -> DataFrame:
         """Lines of every landed file that may hold rows of the run."""
@@ -141,7 +141,7 @@ class RateJobs:
             self.cfg.lookback_days,
             self.cfg.silver_keys,
         )
-        self.tables.upsert(source.silver_table, batch, self.cfg.silver_keys, as_of=self.as_of)
+        self.tables.upsert(source.silver_table, batch, self.cfg.silver_keys)
         return True
 
     def rejected(self, source: SourceSpec, mode: str, start: date) -> DataFrame:
@@ -158,7 +158,7 @@ class RateJobs:
         rows = self.tables.read(source.silver_table, schemas.SILVER, w.since, w.until)
         batch = staging.build_staging(rows, "backfill", w.since, as_of=self.as_of)
         self.tables.upsert(
-            source.staging_table, batch, staging.STAGING_KEYS, as_of=self.as_of, **self._slice(w)
+            source.staging_table, batch, staging.STAGING_KEYS, **self._slice(w)
         )
 
     def _stagings(self, w: Window) -> list[DataFrame]:
@@ -178,7 +178,7 @@ class RateJobs:
             as_of=self.as_of,
         )
         self.tables.upsert(
-            CONSENSUS, batch, cons.CONSENSUS_KEYS, as_of=self.as_of, grain="month", **self._slice(w)
+            CONSENSUS, batch, cons.CONSENSUS_KEYS, grain="month", **self._slice(w)
         )
 
     def publish_fact(self, w: Window) -> None:
@@ -210,7 +210,6 @@ class RateJobs:
             FACT,
             dq.enforce_contract(batch),
             fact.FACT_KEYS,
-            as_of=self.as_of,
             grain="month",
             **self._slice(w),
         )
@@ -231,13 +230,12 @@ class RateJobs:
 
     def _refresh_latest(self, w: Window) -> None:
         dim = marts.dim_countries(self.seed)
-        self.tables.overwrite("dim_countries", dim, as_of=self.as_of)
+        self.tables.overwrite("dim_countries", dim)
         rows = self.tables.read(FACT, schemas.FACT, w.since, w.until)
         self.tables.upsert(
             "mart_latest_rates",
             marts.mart_latest_rates(rows, dim),
             fact.FACT_KEYS,
-            as_of=self.as_of,
             grain="month",
             **self._slice(w),
         )
@@ -251,33 +249,32 @@ class RateJobs:
             batch,
             fact.FACT_KEYS,
             replace_from=w.since if self.cfg.replace_slices else None,
-            as_of=self.as_of,
             grain="month",
         )
 
     def _rebuild_conversions(self, newest: date) -> None:
         rows = self.tables.read(FACT, schemas.FACT, newest, newest)
         mart = marts.cross_rates(rows, self.cfg.top_currencies, self.as_of, newest)
-        self.tables.overwrite("mart_currency_conversions", mart, as_of=self.as_of)
+        self.tables.overwrite("mart_currency_conversions", mart)
 
     def _rebuild_monthly(self, today: date) -> None:
         """Opens the reported months only; 31 days a month covers any calendar."""
         months = self.cfg.monthly_history_months
         rows = self.tables.read(FACT, schemas.FACT, today - timedelta(days=31 * (months + 1)))
         mart = marts.monthly_summary(rows, today, months)
-        self.tables.overwrite("mart_monthly_summary", mart, as_of=self.as_of)
+        self.tables.overwrite("mart_monthly_summary", mart)
 
     def _rebuild_volatility(self, today: date) -> None:
         rows = self.tables.read(FACT, schemas.FACT)
         mart = marts.rate_volatility(rows, today, self.cfg.volatility_days)
-        self.tables.overwrite("mart_rate_volatility", mart, as_of=self.as_of)
+        self.tables.overwrite("mart_rate_volatility", mart)
 
     def _rebuild_health(self, newest: date) -> None:
         rows = self.tables.read(FACT, schemas.FACT)
         flagged = self.tables.read(CONSENSUS, since=newest, until=newest)
         now = F.lit(self.as_of) if self.as_of else F.current_timestamp()
         mart = marts.health_metrics(rows, flagged, now)
-        self.tables.overwrite("mart_data_quality_metrics", mart, as_of=self.as_of)
+        self.tables.overwrite("mart_data_quality_metrics", mart)
 
     def sync_hot(self) -> None:
         """Newest fact date into the hot table, sorted by pair for lookups."""
@@ -291,7 +288,7 @@ class RateJobs:
             self.cfg.hot_ttl_days,
         )
         self.tables.upsert(
-            HOT, items, hot.HOT_KEYS, sort=("currency_pair", "rate_date"), as_of=self.as_of
+            HOT, items, hot.HOT_KEYS, sort=("currency_pair", "rate_date")
         )
 
     def checks(self, w: Window | None = None) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import SparkSession
 
 
@@ -41,13 +39,15 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
-def write_new(spark: SparkSession, path: str, text: str) -> None:
-    """A small file that appears whole or not at all; fails if the path is taken."""
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, in place of one of that name."""
     fs, p = _fs(spark, path)
-    _, temporary = _fs(spark, f"{path.rsplit('/', 1)[0]}/.{uuid.uuid4().hex}")
-    stream = fs.create(temporary, False)
+    stream = fs.create(p, True)
     stream.write(bytearray(text.encode()))
     stream.close()
-    if fs.exists(p) or not fs.rename(temporary, p):
-        fs.delete(temporary, False)
-        raise FileExistsError(path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """A folder and all below it."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)

@@ -1,22 +1,25 @@
-"""Parquet tables with keyed upserts.
+"""Parquet tables with keyed upserts on Spark's own partitions.
 
-Plain Parquet has no MERGE.  A table is kept as slices (days, or months where a table is small), each
-a folder written once.  Every commit writes one small manifest with the complete list of slices; a
-reader opens the newest only.  An upsert reads the slices the batch touches, writes them merged to new
-folders and then publishes:
+A table is a folder of Parquet files partitioned by a slice of its dates (days, or months where a table is
+small).  An upsert computes the slices it touches and writes them in one job with dynamic partition
+overwrite: Spark stages the files in the table's own folder, so in the shared store, and moves whole
+partitions in when all tasks are done.
 
-* readers keep the folders they resolved; no path that is being read is overwritten;
-* a job that dies before publishing leaves the table as it was, and can simply be run again;
-* a run of one day rewrites that day.
+* a job that fails before that leaves the table as it was and can simply be run again;
+* a run of one day rewrites that day, and no superseded file stays behind;
+* partitions are replaced one after the other, so a reader that starts meanwhile may see some of them new.
+  A table format with a MERGE of its own would replace this module where one is at hand.
+
+The columns are kept in a small file beside the data, so that reads need no inference and slices
+that predate a column show NULL.
 """
 
 from __future__ import annotations
 
+import calendar
 import json
-import uuid
-from collections.abc import Sequence
-from dataclasses import dataclass, field
-from datetime import date, datetime
+from collections.abc import Iterable, Sequence
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,6 +32,7 @@ from ratelake.sources import files
 WHOLE = "all"
 UNDATED = "none"
 GRAINS = {"day": "yyyy-MM-dd", "month": "yyyy-MM"}
+SLICE = "_slice"
 
 
 def within(name: str, since: date | None, until: date | None) -> bool:
@@ -40,6 +44,15 @@ def within(name: str, since: date | None, until: date | None) -> bool:
     return low <= name <= high
 
 
+def covered(name: str, since: date, until: date | None) -> bool:
+    """Whether all dates of a slice lie in a range."""
+    if name in (WHOLE, UNDATED):
+        return False
+    year, month, *day = map(int, name.split("-"))
+    last = day[0] if day else calendar.monthrange(year, month)[1]
+    return since <= date(year, month, day[0] if day else 1) and (until is None or date(year, month, last) <= until)
+
+
 def merge_by_key(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target rows whose key is not in the batch, and all rows of the batch; NULL equals NULL."""
     names = [f"_k{i}" for i in range(len(keys))]
@@ -51,23 +64,6 @@ def merge_by_key(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> Da
     )
 
 
-@dataclass
-class Snapshot:
-    """The current state of a table: folder per slice, newest version, columns."""
-
-    locations: dict[str, str] = field(default_factory=dict)
-    version: int = 0
-    columns: T.StructType | None = None
-
-    @property
-    def exists(self) -> bool:
-        return self.version > 0
-
-    def between(self, since: date | None, until: date | None) -> list[str]:
-        """Folders of the slices a date range covers."""
-        return [loc for s, loc in sorted(self.locations.items()) if within(s, since, until)]
-
-
 def _merged_columns(old: T.StructType | None, new: T.StructType) -> T.StructType:
     """The old columns followed by those that are new."""
     if old is None:
@@ -83,38 +79,35 @@ class RateTables:
         self.spark = spark
         self.root = root.rstrip("/")
 
-    # -- manifests --------------------------------------------------------------------------
-
-    def snapshot(self, table: str) -> Snapshot:
-        """The newest manifest: one entry per slice."""
-        folder = f"{self.root}/_manifests/{table}"
-        names = [n for n in files.children(self.spark, folder) if n.endswith(".json") and n[0] != "."]
-        if not names:
-            return Snapshot()
-        found = json.loads(files.read_text(self.spark, f"{folder}/{names[-1]}"))
-        return Snapshot(found["slices"], found["version"], T.StructType.fromJson(found["columns"]))
-
-    def _publish(self, table: str, snap: Snapshot, as_of: datetime | None) -> None:
-        """Make a snapshot the current one; fails if another writer took its version."""
-        entry = {
-            "version": snap.version,
-            "slices": {s: loc for s, loc in snap.locations.items() if loc},
-            "columns": snap.columns.jsonValue(),
-            "updated_at": (as_of or datetime.now()).isoformat(),
-        }
-        path = f"{self.root}/_manifests/{table}/v{snap.version:010d}.json"
-        files.write_new(self.spark, path, json.dumps(entry))
+    def folder(self, table: str) -> str:
+        return f"{self.root}/{table}"
+
+    def slices(self, table: str) -> list[str]:
+        """Names of the slices that have rows, in order."""
+        prefix = f"{SLICE}="
+        return [n[len(prefix):] for n in files.children(self.spark, self.folder(table)) if n.startswith(prefix)]
+
+    # -- columns ----------------------------------------------------------------------------
+
+    def _columns_path(self, table: str) -> str:
+        return f"{self.root}/_columns/{table}.json"
+
+    def columns(self, table: str) -> T.StructType | None:
+        path = self._columns_path(table)
+        if not files.exists(self.spark, path):
+            return None
+        return T.StructType.fromJson(json.loads(files.read_text(self.spark, path)))
 
     def exists(self, table: str) -> bool:
-        return self.snapshot(table).exists
+        return files.exists(self.spark, self._columns_path(table))
 
     # -- reading ----------------------------------------------------------------------------
 
-    def _load(self, locations: Sequence[str], columns: T.StructType) -> DataFrame:
+    def _load(self, table: str, slices: Sequence[str], columns: T.StructType) -> DataFrame:
         """Explicit columns: no inference, and NULL where a slice predates a column."""
-        if not locations:
+        if not slices:
             return self.spark.createDataFrame([], columns)
-        return self.spark.read.schema(columns).parquet(*locations)
+        return self.spark.read.schema(columns).parquet(*[f"{self.folder(table)}/{SLICE}={s}" for s in slices])
 
     def read(
         self,
@@ -127,10 +120,10 @@ class RateTables:
 
         ``schema`` shapes the empty result of a table that does not exist yet.
         """
-        snap = self.snapshot(table)
-        if not snap.exists and schema is None:
+        columns = self.columns(table) or schema
+        if columns is None:
             raise LookupError(f"table {table} does not exist and no schema was given")
-        df = self._load(snap.between(since, until), snap.columns or schema)
+        df = self._load(table, [s for s in self.slices(table) if within(s, since, until)], columns)
         if since is not None:
             df = df.where(F.col("rate_date") >= F.lit(since))
         if until is not None:
@@ -139,9 +132,9 @@ class RateTables:
 
     def newest_date(self, table: str, column: str = "rate_date") -> date | None:
         """Newest date, looked up in the newest slice that has rows."""
-        snap = self.snapshot(table)
-        for location in reversed(snap.between(None, None)):
-            found = self._load([location], snap.columns).agg(F.max(column)).first()[0]
+        columns = self.columns(table)
+        for name in reversed(self.slices(table)):
+            found = self._load(table, [name], columns).agg(F.max(column)).first()[0]
             if found is not None:
                 return found
         return None
@@ -154,26 +147,26 @@ class RateTables:
         start = F.date_format(F.col(date_col).cast("date"), GRAINS[grain])
         return F.coalesce(start, F.lit(UNDATED))
 
-    def _write_slices(
-        self, df: DataFrame, folder: str, date_col: str | None, sort: Sequence[str], grain: str
-    ) -> dict[str, str]:
-        """Write ``df`` below ``folder`` by slice and return the folder of each slice.
+    def _replace(self, table: str, df: DataFrame, reopened: Iterable[str], sort: Sequence[str]) -> None:
+        """Write ``df``, which has its slice as a column, over the slices it has rows for.
 
-        The rebalance hint sizes the output files and splits slices that are too large for a task.
+        ``reopened`` slices that got no file have no rows any more and go.  The rebalance hint sizes the
+        output files and splits slices that are too large for a task.
         """
-        by_slice = df.withColumn("_slice", self._slice_of(date_col, grain)).hint("rebalance", "_slice")
+        folders = [f"{self.folder(table)}/{SLICE}={s}" for s in set(reopened) & set(self.slices(table))]
+        before = {f: files.children(self.spark, f) for f in folders}
+        by_slice = df.hint("rebalance", SLICE)
         if sort:
-            by_slice = by_slice.sortWithinPartitions("_slice", *sort)
-        by_slice.write.partitionBy("_slice").parquet(folder)
-        prefix = "_slice="
-        return {
-            name[len(prefix):]: f"{folder}/{name}"
-            for name in files.children(self.spark, folder)
-            if name.startswith(prefix)
-        }
-
-    def _folder(self, table: str, version: int) -> str:
-        return f"{self.root}/{table}/v{version:08d}-{uuid.uuid4().hex[:8]}"
+            by_slice = by_slice.sortWithinPartitions(SLICE, *sort)
+        writer = by_slice.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(SLICE).parquet(self.folder(table))
+        for folder, names in before.items():
+            if files.children(self.spark, folder) == names:
+                files.delete(self.spark, folder)
+
+    def _keep_columns(self, table: str, old: T.StructType | None, new: T.StructType) -> None:
+        if old != new:
+            files.write_text(self.spark, self._columns_path(table), json.dumps(new.jsonValue()))
 
     def overwrite(
         self,
@@ -181,13 +174,17 @@ class RateTables:
         df: DataFrame,
         date_col: str | None = None,
         sort: Sequence[str] = (),
-        as_of: datetime | None = None,
         grain: str = "month",
     ) -> None:
         """Replace the whole table."""
-        version = self.snapshot(table).version + 1
-        placed = self._write_slices(df, self._folder(table, version), date_col, sort, grain)
-        self._publish(table, Snapshot(placed, version, df.schema), as_of)
+        sliced = df.withColumn(SLICE, self._slice_of(date_col, grain))
+        self._replace(table, sliced, self.slices(table), sort)
+        self._keep_columns(table, self.columns(table), df.schema)
+
+    def replace_slices(self, table: str, df: DataFrame, slice_col: str) -> None:
+        """Replace the slices that ``df`` has rows for, a slice being one value of ``slice_col``."""
+        self._replace(table, df.withColumn(SLICE, F.col(slice_col)), (), ())
+        self._keep_columns(table, self.columns(table), df.schema)
 
     def upsert(
         self,
@@ -199,7 +196,6 @@ class RateTables:
         replace_until: date | None = None,
         order: Sequence[Column] | None = None,
         sort: Sequence[str] = (),
-        as_of: datetime | None = None,
         grain: str = "day",
     ) -> None:
         """Replace rows whose key is in the batch and append the batch; running it twice changes
@@ -213,36 +209,41 @@ class RateTables:
 
         With ``replace_from`` / ``replace_until`` all rows dated in that range are replaced, so
         rows the batch no longer contains disappear as well.
+
+        The batch is computed once, for the question which slices it has, and written once.
         """
         if date_col is not None and date_col not in keys:
             raise ValueError(f"{date_col} decides the slice, so it has to be one of the keys")
-        snap = self.snapshot(table)
-        version = snap.version + 1
-        folder = self._folder(table, version)
-        columns = _merged_columns(snap.columns, batch.schema)
-        staged = self._write_slices(batch, f"{folder}/batch", date_col, sort, grain)
-        if order is None and staged:
-            written = self._load(list(staged.values()), batch.schema)
-            if not written.groupBy(*keys).count().where("count > 1").isEmpty():
+        old = self.columns(table)
+        columns = _merged_columns(old, batch.schema)
+        fresh = batch.withColumn(SLICE, self._slice_of(date_col, grain)).persist()
+        try:
+            per_key = fresh.groupBy(SLICE, *keys).agg(F.count(F.lit(1)).alias("rows"))
+            most = {r[0]: r[1] for r in per_key.groupBy(SLICE).agg(F.max("rows")).toLocalIterator()}
+            if order is None and any(n > 1 for n in most.values()):
                 raise ValueError(f"the batch for {table} has a key twice")
-        reopened = set(staged)
-        if replace_from is not None:
-            reopened |= {s for s in snap.locations if s != UNDATED and within(s, replace_from, replace_until)}
-        touched = sorted(reopened & set(snap.locations))
-        placed = {**snap.locations, **staged}
-        if touched:
-            target = self._load([snap.locations[s] for s in touched], columns)
+            reopened, replaced = set(most), set()
             if replace_from is not None:
-                inside = F.col(date_col) >= F.lit(replace_from)
-                if replace_until is not None:
-                    inside = inside & (F.col(date_col) <= F.lit(replace_until))
-                target = target.where(~F.coalesce(inside, F.lit(False)))
-            fresh = self._load([staged[s] for s in touched if s in staged], columns)
-            if order is None:
-                merged = merge_by_key(target, fresh, keys)
-            else:
-                merged = first_per_key(target.unionByName(fresh), keys, order)
-            rewritten = self._write_slices(merged, f"{folder}/merged", date_col, sort, grain)
-            placed.update({s: rewritten.get(s, "") for s in touched})
-        if staged or touched or not snap.exists:
-            self._publish(table, Snapshot(placed, version, columns), as_of)
+                inside = {s for s in self.slices(table) if s != UNDATED and within(s, replace_from, replace_until)}
+                reopened |= inside
+                replaced = {s for s in inside if covered(s, replace_from, replace_until)}
+            merged, touched = fresh, sorted((reopened - replaced) & set(self.slices(table)))
+            if touched:
+                target = self._load(table, touched, columns)
+                if replace_from is not None:
+                    dated = F.col(date_col) >= F.lit(replace_from)
+                    if replace_until is not None:
+                        dated = dated & (F.col(date_col) <= F.lit(replace_until))
+                    target = target.where(~F.coalesce(dated, F.lit(False)))
+                target = target.withColumn(SLICE, self._slice_of(date_col, grain))
+                if order is None:
+                    merged = merge_by_key(target, fresh, keys)
+                else:
+                    merged = first_per_key(target.unionByName(fresh, allowMissingColumns=True), keys, order)
+            elif order is not None:
+                merged = first_per_key(fresh, keys, order)
+            if reopened:
+                self._replace(table, merged, reopened, sort)
+            self._keep_columns(table, old, columns)
+        finally:
+            fresh.unpersist()

@@ -1,4 +1,4 @@
-import os
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -34,24 +34,39 @@ def test_upsert_replaces_matched_and_appends(spark, store):
     assert store.newest_date("t") == day("2024-03-01")
 
 
-def test_a_day_rewrites_a_day(spark, store):
+def parts(root, table):
+    """Data files by slice."""
+    return {d.name[len("_slice="):]: sorted(f.name for f in d.glob("*.parquet"))
+            for d in Path(root, table).glob("_slice=*")}
+
+
+def test_a_day_rewrites_a_day(spark, store, root):
     store.upsert("t", silver_frame(spark, silver_row("2024-02-01", {"EUR": 1.0}),
                                    silver_row("2024-02-02", {"EUR": 2.0})), KEYS)
-    before = store.snapshot("t").locations
+    before = parts(root, "t")
     store.upsert("t", silver_frame(spark, silver_row("2024-02-02", {"EUR": 3.0}),
                                    silver_row("2024-02-03", {"EUR": 3.0})), KEYS)
-    after = store.snapshot("t").locations
+    after = parts(root, "t")
     assert after["2024-02-01"] == before["2024-02-01"]
-    assert after["2024-02-02"] != before["2024-02-02"]
+    assert not set(after["2024-02-02"]) & set(before["2024-02-02"])
     assert rate(store.read("t")) == {"2024-02-01": 1.0, "2024-02-02": 3.0, "2024-02-03": 3.0}
 
 
+def test_nothing_superseded_is_left(spark, store, root):
+    for n in range(4):
+        store.upsert("t", silver_frame(spark, silver_row("2024-02-01", {"EUR": float(n)})), KEYS)
+        assert len(list(Path(root).rglob("*.parquet"))) == 1
+    store.upsert("t", silver_frame(spark), KEYS, replace_from=day("2024-02-01"))
+    assert not list(Path(root).rglob("*.parquet"))
+    assert sorted(p.name for p in Path(root, "t").iterdir() if p.name[0] not in "._") == []
+
+
 @pytest.mark.parametrize("grain, slices", [("day", 3), ("month", 2)])
 def test_grain_of_slices(spark, store, grain, slices):
     days = ["2024-01-30", "2024-01-31", "2024-02-01"]
     batch = silver_frame(spark, *[silver_row(d, {"EUR": 1.0}) for d in days])
     store.upsert("t", batch, KEYS, grain=grain)
-    assert len(store.snapshot("t").locations) == slices
+    assert len(store.slices("t")) == slices
     assert rate(store.read("t", since=day("2024-01-31"))) == dict.fromkeys(days[1:], 1.0)
 
 
@@ -73,12 +88,13 @@ def test_refused_batches(spark, store):
     assert not store.exists("t")
 
 
-def test_readers_keep_their_version(spark, store):
-    store.upsert("t", silver_frame(spark, silver_row("2024-01-01", {"EUR": 1.0})), KEYS)
-    early = store.read("t")
-    store.upsert("t", silver_frame(spark, silver_row("2024-01-01", {"EUR": 5.0})), KEYS)
-    assert rate(early) == {"2024-01-01": 1.0}
-    assert rate(store.read("t")) == {"2024-01-01": 5.0}
+def test_a_batch_may_come_from_the_table_itself(spark, store):
+    store.upsert("t", silver_frame(spark, silver_row("2024-01-01", {"EUR": 1.0}),
+                                   silver_row("2024-01-02", {"EUR": 2.0})), KEYS, grain="month")
+    again = store.read("t").where("rate_date = DATE '2024-01-01'")
+    store.upsert("t", again, KEYS, grain="month")
+    store.overwrite("t", store.read("t"), "rate_date")
+    assert rate(store.read("t")) == {"2024-01-01": 1.0, "2024-01-02": 2.0}
 
 
 def test_failed_write_changes_nothing(spark, store):
@@ -149,13 +165,43 @@ def test_overwrite_drops_old_slices(spark, store):
     assert rate(store.read("t")) == {"2024-02-01": 4.0}
 
 
-def test_a_reader_opens_one_manifest(spark, store, root, monkeypatch):
-    for n in range(50):
-        store._publish("t", tables.Snapshot({}, n + 1, spark.range(1).schema), None)
-    opened, read = [], tables.files.read_text
-    monkeypatch.setattr(tables.files, "read_text",
-                        lambda s, p: opened.append(p) or read(s, p))
-    assert store.snapshot("t").version == 50 and len(opened) == 1
-    with pytest.raises(FileExistsError):
-        store._publish("t", tables.Snapshot({}, 50, spark.range(1).schema), None)
-    assert len(os.listdir(f"{root}/_manifests/t")) <= 100  # with checksum files
+def test_overwrite_with_nothing_empties_the_table(spark, store):
+    frame = silver_frame(spark, silver_row("2024-01-01", {"EUR": 1.0}))
+    for date_col in ("rate_date", None):
+        store.overwrite("t", frame, date_col)
+        store.overwrite("t", frame.limit(0), date_col)
+        assert store.read("t").count() == 0 and store.exists("t")
+
+
+def test_the_batch_is_computed_once(spark, store):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    batch = silver_frame(spark, *[silver_row(f"2024-01-{d:02d}", {"EUR": 1.0}) for d in range(1, 9)])
+    store.upsert("t", batch, KEYS)
+    store.upsert("t", batch.mapInArrow(count, batch.schema), KEYS)
+    assert seen.value == 8 and store.read("t").count() == 8
+    assert not spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+
+
+def test_edge_months_keep_their_other_days(spark, store):
+    days = ["2024-01-30", "2024-02-10", "2024-03-01", "2024-03-02"]
+    store.upsert("t", silver_frame(spark, *[silver_row(d, {"EUR": 1.0}) for d in days]), KEYS,
+                 grain="month")
+    store.upsert("t", silver_frame(spark, silver_row("2024-01-31", {"EUR": 5.0})), KEYS, grain="month",
+                 replace_from=day("2024-01-31"), replace_until=day("2024-03-01"))
+    assert rate(store.read("t")) == {"2024-01-30": 1.0, "2024-01-31": 5.0, "2024-03-02": 1.0}
+    assert store.slices("t") == ["2024-01", "2024-03"]
+
+
+@pytest.mark.parametrize("name, since, until, all_inside", [
+    ("2024-02", "2024-02-01", "2024-02-29", True), ("2024-02", "2024-02-01", "2024-02-28", False),
+    ("2024-02", "2024-02-02", None, False), ("2024-02-03", "2024-02-03", None, True),
+    ("none", "2024-01-01", None, False), ("all", "2024-01-01", None, False),
+])
+def test_covered(name, since, until, all_inside):
+    assert tables.covered(name, day(since), until and day(until)) is all_inside
