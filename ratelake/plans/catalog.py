@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ratelake import schemas
 from ratelake.config import EngineConfig
-from ratelake.functions.columns import double_map, strip_prefix
+from ratelake.functions.columns import double_map, epoch_second, strip_prefix
 from ratelake.operators import consensus as cons
 from ratelake.operators import dq, fact, hot, marts, normalize, quota, silver, staging
 from ratelake.operators.ranking import first_per_key
@@ -1080,14 +1080,25 @@ def _q(spark, sf_dir):
     return _long(store.read("rates"))
 
 
+def _delivered(calls: DataFrame, late: int, batches: int, path: str) -> DataFrame:
+    """A stream of ``calls`` in files by time of arrival, each up to ``late`` seconds after its call."""
+    arrival = epoch_second(F.col("called_at")) + F.pmod(F.xxhash64("api_source", "called_at"), F.lit(late))
+    calls = calls.withColumn("arrival", arrival)
+    first, last = calls.agg(F.min("arrival"), F.max("arrival")).first()
+    turn = F.floor((F.col("arrival") - F.lit(first)) * batches / F.lit(last - first + 1)) if last is not None else F.lit(0)
+    for n in range(batches):
+        calls.where(turn == n).drop("arrival").coalesce(1).write.mode("append").parquet(path)
+    stream = calls.sparkSession.readStream.schema(calls.drop("arrival").schema)
+    return stream.option("maxFilesPerTrigger", 1).parquet(path)
+
+
 @query("stream_quota_meter")
 def _q(spark, sf_dir):
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    # A glob, so that the table may be a file or a folder of files.
-    stream = spark.readStream.schema(events.schema).parquet(f"{sf_dir}/event[s].parquet")
-    calls = spark.sql(views.FX_CALLS, events=stream)
+    """Calls delivered in five micro-batches, up to three days late; the running cycles are included."""
+    calls = spark.sql(views.FX_CALLS, events=spark.read.parquet(f"{sf_dir}/events.parquet"))
+    stream = _delivered(calls, 3 * 86_400, 5, scratch_path(spark, "meter-calls"))
     store = tables.RateTables(spark, scratch_path(spark, "meter-tables"))
     quota_stream.stream_quota_meter(
-        calls, store, scratch_path(spark, "meter-checkpoint"), CYCLE
+        stream, store, scratch_path(spark, "meter-checkpoint"), CYCLE, delay="3 days"
     ).awaitTermination()
     return store.read("quota_cycles").select("api_source", "cycle_start", "request_count")

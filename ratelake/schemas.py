@@ -58,5 +58,5 @@ DIMENSION = _struct(
 
 CYCLES = _struct(
     api_source=_STRING, cycle_start=_NTZ, cycle_end=_NTZ, request_count=_LONG, throttled=_BOOL,
-    batch_id=_LONG,
+    closed=_BOOL, batch_id=_LONG,
 )

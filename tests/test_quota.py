@@ -1,5 +1,7 @@
 import random
+import time
 from dataclasses import replace
+from datetime import timedelta
 
 import numpy as np
 import pytest
@@ -8,7 +10,7 @@ from hypothesis import strategies as st
 
 from ratelake.config import EngineConfig
 from ratelake.operators import quota
-from ratelake.streaming.quota_stream import apply_batch, stream_quota_meter
+from ratelake.streaming.quota_stream import QuotaMeter, apply_changes, late_rows, reduced, stream_quota_meter
 from ratelake.sources.tables import RateTables
 
 from .helpers import rows, ts
@@ -144,44 +146,84 @@ def test_gating_of_any_number_of_sources(spark, n):
     assert taken("backfill") == (["s0"] if n == 2 else ["s0", "s3"])
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_metering_does_not_depend_on_arrival(spark, root, seed):
-    draw = random.Random(seed)
-    items = [("a" if i % 3 else "b", f"2024-01-{1 + i // 4:02d}T{i % 24:02d}:00:00")
-             for i in range(100)]
-    whole = quota.assign_cycles(calls(spark, *items), 5 * DAY)
-    draw.shuffle(items)
-    tables = RateTables(spark, root)
-    for n, chunk in enumerate((items[:30], items[30:31], items[31:90], items[90:])):
-        apply_batch(tables, "cycles", calls(spark, *chunk), n, 5 * DAY)
-    columns = ("api_source", "cycle_start", "request_count")
-    assert rows(tables.read("cycles"), *columns) == rows(whole, *columns)
+def metered(spark, root, batches, days, delay="3 days"):
+    """The stream over one file a micro-batch, run to its end; rows of the cycle table."""
+    tables = RateTables(spark, f"{root}/tables")
+    for batch in batches:
+        calls(spark, *batch).coalesce(1).write.mode("append").parquet(f"{root}/calls")
+        time.sleep(0.02)
+    stream = spark.readStream.option("maxFilesPerTrigger", 1).schema(
+        "api_source string, called_at timestamp_ntz").parquet(f"{root}/calls")
+    query = stream_quota_meter(stream, tables, f"{root}/ckpt", days * DAY, delay=delay)
+    query.awaitTermination()
+    return tables, query
+
 
+COLUMNS = ("api_source", "cycle_start", "request_count")
 
-def test_stream_meters_each_call_once(spark, root):
+
+@pytest.mark.parametrize("seed, delay", [(1, "90 days"), (2, "10 days")])
+def test_shuffled_micro_batches_equal_the_batch_result(spark, root, seed, delay):
+    """Five batches; the second case settles and closes cycles on the way, within the delay of ten days."""
+    draw = random.Random(seed)
+    items = [("a" if i % 3 else "b", f"2024-{1 + i // 28:02d}-{1 + i % 28:02d}T{i % 24:02d}:00:00")
+             for i in range(84)] + [("c", "2024-02-03T00:00:00")] * 5
+    whole = quota.assign_cycles(calls(spark, *items), 5 * DAY)
+    if seed == 1:
+        draw.shuffle(items)
+    else:
+        items.sort(key=lambda c: ts(c[1]) + timedelta(days=draw.random() * 9))
+    size = -(-len(items) // 5)
+    tables, query = metered(spark, root, [items[i:i + size] for i in range(0, len(items), size)], 5, delay)
+    assert rows(tables.read("quota_cycles"), *COLUMNS) == rows(whole, *COLUMNS)
+    assert late_rows(query) == 0 and sum(p.numInputRows > 0 for p in query.recentProgress) == 5
+    closed = {r.cycle_start for r in tables.read("quota_cycles").where("closed").collect()}
+    assert (len(closed) > 5) == (seed == 2)
+    kept = query.recentProgress[-1].stateOperators[0].numRowsTotal
+    if seed == 2:  # parts and cycle of at most the last ten days for a and b, nothing for c
+        assert kept <= 2 * (10 + 2)
+
+
+def test_late_calls_are_dropped_and_counted(spark, root):
+    early = [("a", f"2024-01-{d:02d}T00:00:00") for d in range(1, 20)]
+    batches = [early, [("a", "2024-01-19T12:00:00")], [("a", "2024-01-02T10:00:00"), ("a", "2024-01-18T13:00:00")]]
+    tables, query = metered(spark, root, batches, 7, "2 days")
+    assert late_rows(query) == 1
+    assert rows(tables.read("quota_cycles"), *COLUMNS) == rows(
+        quota.assign_cycles(calls(spark, *early, *batches[1], batches[2][1]), 7 * DAY), *COLUMNS)
+
+
+def test_restart_goes_on_from_the_checkpoint(spark, root):
     first = [("a", f"2024-01-{d:02d}T00:00:00") for d in range(1, 8)]
     second = [("a", f"2024-01-{d:02d}T00:00:00") for d in range(8, 20)]
-    tables = RateTables(spark, f"{root}/tables")
 
-    def run():
-        stream = spark.readStream.schema(
-            "api_source string, called_at timestamp_ntz").parquet(f"{root}/calls")
-        stream_quota_meter(stream, tables, f"{root}/ckpt", 7 * DAY).awaitTermination()
-        return rows(tables.read("quota_cycles"), "cycle_start", "request_count")
+    def run(*batches):
+        return rows(metered(spark, root, batches, 7)[0].read("quota_cycles"), "cycle_start", "request_count")
 
-    calls(spark, *first).write.mode("append").parquet(f"{root}/calls")
-    assert run() == [(ts("2024-01-01T00:00:00"), 7)]
-    calls(spark, *second).write.mode("append").parquet(f"{root}/calls")
+    assert run(first) == [(ts("2024-01-01T00:00:00"), 7)]
     want = [(ts("2024-01-01T00:00:00"), 7), (ts("2024-01-08T00:00:00"), 7),
             (ts("2024-01-15T00:00:00"), 5)]
-    assert sorted(run()) == want
+    assert sorted(run(second)) == want
     assert sorted(run()) == want
 
 
 def test_replayed_batch_is_not_counted_twice(spark, root):
-    """The table was published but the stream died before it noted the batch as done."""
+    """The table was written but the stream died before it noted the batch as done."""
     tables = RateTables(spark, root)
-    batch = calls(spark, ("a", "2024-01-01T00:00:00"))
-    for batch_id in (0, 0, 1):
-        apply_batch(tables, "cycles", batch, batch_id, 7 * DAY)
-    assert rows(tables.read("cycles"), "request_count") == [(2,)]
+    schema = QuotaMeter.OUT
+    first = [("a", 0, 0, 5, False, False), ("a", 0, 700, 2, False, False), ("b", 9, 9, 1, True, False)]
+    # A late call moves the second cycle of a; b is only reported closed.
+    second = [("a", 0, 0, 6, False, False), ("a", 0, 650, 3, False, False), ("b", None, 9, 1, True, True)]
+    for batch_id, changes in ((0, first), (0, first), (1, second), (1, second)):
+        apply_changes(tables, "cycles", spark.createDataFrame(changes, schema), batch_id, 600)
+    got = rows(tables.read("cycles"), "api_source", "cycle_start", "request_count", "throttled", "closed")
+    start = ts("1970-01-01T00:00:00")
+    assert sorted(got) == [
+        ("a", start, 6, False, False), ("a", start + timedelta(seconds=650), 3, False, False),
+        ("b", start + timedelta(seconds=9), 1, True, True)]
+
+
+def test_calls_are_reduced_before_they_are_dealt(spark):
+    df = calls(spark, *[("a", "2024-01-01T00:00:00")] * 500, *[("a", "2024-01-01T00:00:01")] * 500, (None, "2024-01-01T00:00:00"))
+    got = reduced(df.coalesce(1)).collect()
+    assert sorted((r.api_source, r.n, r.t) for r in got) == [("a", 500, False), ("a", 500, False)]
