@@ -768,6 +768,12 @@ def oracle_sql() -> dict[str, str]:
             ("frankfurter", "currencylayer"),
             "rate_date BETWEEN DATE '2024-01-17' AND DATE '2024-01-20'")),
         "stream_land_to_silver": _SILVER_LONG,
+        # The first file comes twice: its second batch has no new record and is not told of.
+        "stream_late_records": _sql("""
+            SELECT concat('late_', extraction_id) AS extraction_id, source, base_currency, rate_date,
+                   count(*) OVER () AS late_rows, 5 AS batches
+            FROM fx_wide WHERE date_diff('day', (SELECT MIN(rate_date) FROM fx_wide), rate_date) < 18
+              AND date_diff('day', (SELECT MIN(rate_date) FROM fx_wide), rate_date) % 11 = 0""", "fx_wide"),
         "stream_quota_meter": _sql(
             "SELECT api_source, cycle_start, request_count FROM cycles", "cycles"),
     }

@@ -157,13 +157,17 @@ def land_append(
             "day": F.date_format(day, "dd"),
         }
     )
+    write_lines(dated.hint("rebalance", "year", "month", "day"), f"{base}/{mode}", ("year", "month", "day"))
+
+
+def write_lines(records: DataFrame, path: str, partitions: Sequence[str] = ()) -> None:
+    """Append records as gzip JSON lines with all microseconds and NULL fields."""
     (
-        dated.hint("rebalance", "year", "month", "day")
-        .write.mode("append")
-        .partitionBy("year", "month", "day")
+        records.write.mode("append")
+        .partitionBy(*partitions)
         .option("compression", "gzip")
         .option("ignoreNullFields", "false")
         .option("timestampFormat", MICROS)
         .option("timestampNTZFormat", MICROS)
-        .json(f"{base}/{mode}")
+        .json(path)
     )
