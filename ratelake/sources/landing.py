@@ -1,4 +1,8 @@
-"""Landing area: append-only gzip JSON lines below ``<base>/<mode>/…``."""
+"""Landing area: append-only gzip JSON lines below ``<base>/<mode>/…``.
+
+Daily files lie in a folder per extraction day, backfills in one per month: the history of years would
+otherwise be thousands of folders of one small file each, all to be listed by every later run.
+"""
 
 from __future__ import annotations
 
@@ -25,7 +29,7 @@ class LandingLayout:
     """How landed files lie below {base}/{mode}: by the day of their extraction.
 
     ``day_glob`` finds the files of one day, ``name_glob`` all files by name; ``day_in_path`` picks
-    year, month and day out of a file's path.
+    year, month and, where it is there, day out of a file's path.
     """
 
     day_glob: str
@@ -37,7 +41,7 @@ class LandingLayout:
 PARTITIONED = LandingLayout(
     day_glob="year={year}/month={month}/day={day}/*.json*",
     name_glob="*.json*",
-    day_in_path=r"/year=(\d{4})/month=(\d{2})/day=(\d{2})/[^/]*$",
+    day_in_path=r"/year=(\d{4})/month=(\d{2})(?:/day=(\d{2}))?/[^/]*$",
 )
 
 # Year and month folders with the date in the file name.
@@ -103,8 +107,9 @@ def scan_lines(spark: SparkSession, scan: LandingScan) -> DataFrame:
     path = F.col("_metadata.file_path")
     lines = reader.text(list(scan.paths))
     if scan.since is not None:
-        day = F.concat_ws("-", *[F.regexp_extract(path, scan.day_in_path, i) for i in (1, 2, 3)])
-        lines = lines.where((day == "--") | (day >= F.lit(scan.since.isoformat())))
+        year, month, day = (F.regexp_extract(path, scan.day_in_path, i) for i in (1, 2, 3))
+        last = F.concat_ws("-", year, month, F.when(day == "", "31").otherwise(day))
+        lines = lines.where((year == "") | (last >= F.lit(scan.since.isoformat())))
     return lines.select("value", path.alias("filename"))
 
 
@@ -142,11 +147,11 @@ def scan_or_empty(
 def land_append(
     records: DataFrame, base: str, mode: str, day_column: str = "extraction_timestamp"
 ) -> None:
-    """Append records as gzip JSON lines below mode/year/month/day; nothing is ever replaced.
+    """Append records as gzip JSON lines below mode/year/month, daily ones by day; nothing is ever replaced.
 
     Timestamps keep their microseconds; the newest extraction is picked by them later on.  NULL
     fields are written, so that a currency without any rate can still be told from an unknown one.
-    Rebalancing by day gives one task's worth of rows per file and splits a day that is too large
+    Rebalancing by folder gives one task's worth of rows per file and splits a folder that is too large
     for one task.
     """
     day = F.col(day_column).cast("date")
@@ -157,7 +162,9 @@ def land_append(
             "day": F.date_format(day, "dd"),
         }
     )
-    write_lines(dated.hint("rebalance", "year", "month", "day"), f"{base}/{mode}", ("year", "month", "day"))
+    folders = ("year", "month", "day") if mode == "daily" else ("year", "month")
+    dated = dated if mode == "daily" else dated.drop("day")
+    write_lines(dated.hint("rebalance", *folders), f"{base}/{mode}", folders)
 
 
 def write_lines(records: DataFrame, path: str, partitions: Sequence[str] = ()) -> None:

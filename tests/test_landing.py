@@ -149,3 +149,13 @@ def test_seed(spark, root):
     again = seeds.scan_seed_csv(spark, f"{root}/seed")
     assert rows(again) == rows(seed)
     assert again.schema.simpleString() == schemas.DIMENSION.simpleString()
+
+
+def test_backfills_lie_by_month_and_early_months_are_not_opened(spark, root):
+    days = ["2023-11-30", "2024-01-02", "2024-01-31", "2024-02-10"]
+    batch = silver_frame(spark, *[silver_row(d, {"EUR": 1.0}, extracted=f"{d}T00:00:00") for d in days])
+    landing.land_append(flatten_map(batch), root, "backfill")
+    assert len({f.rsplit("/", 1)[0] for f in landing.scan_lines(spark, landing.LandingScan((f"{root}/backfill",), "*.json*")).inputFiles()}) == 3
+    scan = landing.resolve_landing(spark, root, "backfill", date(2024, 1, 20))
+    assert landing.scan_lines(spark, scan).count() == 3
+    assert landing.scan_lines(spark, landing.resolve_landing(spark, root, "backfill", date(2024, 2, 3))).count() == 1
