@@ -2,7 +2,8 @@
 
 ``n`` values up to ``u`` take about ``2 + log2(u / n)`` bits each: the low ``l`` bits of every value
 are packed side by side; the high parts are unary-coded, value ``i`` setting bit ``high_i + i``.
-Select(i) finds the i-th set bit of the upper bits from a sampled directory and reads ``l`` low bits.
+Select(i) finds the i-th set bit of the upper bits and reads ``l`` low bits: the set bits before every
+``SELECT_STEP``-th bit are kept, 32 bits each, and bytes are counted between two of these.
 
 Layout (little-endian): n u64, l u8, bytes of low part u64, bytes of upper part u64, low, upper.
 """
@@ -15,6 +16,9 @@ import numpy as np
 
 _HEADER = "<QBQQ"
 SELECT_STEP = 512
+_STEP_BYTES = SELECT_STEP // 8
+#: Places that one call looks up at a time.
+_AT_ONCE = 4096
 
 
 def encode(values: np.ndarray) -> bytes:
@@ -46,9 +50,11 @@ class EliasFano:
         self.low = np.frombuffer(blob, np.uint8, low, start)
         self.upper = np.frombuffer(blob, np.uint8, upper, start + low)
         self.end = start + low + upper
-        # Set bits before each byte, kept at every SELECT_STEP-th set bit only.
-        self._before = np.cumsum(np.bitwise_count(self.upper), dtype=np.int64)
-        self._sample = np.searchsorted(self._before, np.arange(0, self.n, SELECT_STEP), side="right")
+        # Set bits before every SELECT_STEP-th bit, the last step filled up with zeros.
+        steps = -(-len(self.upper) // _STEP_BYTES)
+        counts = np.bitwise_count(self.upper)
+        counts = np.add.reduceat(counts, np.arange(steps) * _STEP_BYTES, dtype=np.uint32) if steps else np.zeros(0, np.uint32)
+        self._before = np.concatenate([[0], np.cumsum(counts, dtype=np.uint32)[:-1]]).astype(np.uint32) if steps else counts
 
     def __len__(self) -> int:
         return self.n
@@ -57,21 +63,36 @@ class EliasFano:
         """The i-th value."""
         if not 0 <= i < self.n:
             raise IndexError(i)
-        step = i // SELECT_STEP
-        first = int(self._sample[step])
-        last = int(self._sample[step + 1]) + 1 if step + 1 < len(self._sample) else len(self.upper)
-        byte = first + int(np.searchsorted(self._before[first:last], i, side="right"))
-        rank = i - (int(self._before[byte - 1]) if byte else 0)
-        bit = np.flatnonzero(np.unpackbits(self.upper[byte : byte + 1], bitorder="little"))[rank]
-        return ((byte * 8 + int(bit) - i) << self.low_bits) | self._low(i)
-
-    def _low(self, i: int) -> int:
-        if not self.low_bits:
-            return 0
-        start = i * self.low_bits
-        stop = start + self.low_bits
-        word = int.from_bytes(self.low[start // 8 : (stop + 7) // 8].tobytes(), "little")
-        return (word >> (start % 8)) & ((1 << self.low_bits) - 1)
+        return int(self.select_many(np.array([i]))[0])
+
+    def select_many(self, places: np.ndarray) -> np.ndarray:
+        """The values at ``places``."""
+        out = np.empty(len(places), np.int64)
+        for at in range(0, len(places), _AT_ONCE):
+            out[at : at + _AT_ONCE] = self._select(np.asarray(places[at : at + _AT_ONCE], np.int64))
+        return out
+
+    def _select(self, places: np.ndarray) -> np.ndarray:
+        step = np.searchsorted(self._before, places, side="right") - 1
+        rank = places - self._before[step]
+        # The step's bytes, then the bits of the byte that holds the wanted one.
+        at = step[:, None] * _STEP_BYTES + np.arange(_STEP_BYTES)
+        inside = np.where(at < len(self.upper), self.upper[np.minimum(at, len(self.upper) - 1)], 0).astype(np.uint8)
+        seen = np.cumsum(np.bitwise_count(inside), axis=1, dtype=np.int64)
+        byte = (seen <= rank[:, None]).sum(axis=1)
+        row = np.arange(len(places))
+        rank -= np.where(byte > 0, seen[row, byte - 1], 0)
+        bits = np.cumsum((inside[row, byte][:, None] >> np.arange(8, dtype=np.uint8)) & 1, axis=1)
+        bit = (bits <= rank[:, None]).sum(axis=1)
+        high = (step * _STEP_BYTES + byte) * 8 + bit - places
+        return (high << self.low_bits) | self._low(places)
+
+    def _low(self, places: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(places), np.int64)
+        for bit in range(self.low_bits):
+            at = places * self.low_bits + bit
+            out |= ((self.low[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(np.int64) << bit
+        return out
 
     def values(self) -> np.ndarray:
         """All values at once."""

@@ -11,17 +11,15 @@ store Spark reaches and a lost task leaves nothing behind.  Each row also has th
 (``part``, ``segment``) and its counts, from which readers get global starts without opening blobs.
 
 Null texts count as empty (the end id alone); documents without id come first; repeated ids keep
-one entry per row; an empty table gives no segment.
+one entry per row, in the order of a hash of their texts; an empty table gives no segment.
 """
 
 from __future__ import annotations
 
-import itertools
 import os
 import re
 import struct
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,13 +31,17 @@ from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, St
 
 from ratelake.llm import elias_fano
 from ratelake.llm.shared import kept_for_stage, small_batches, tidy
+from ratelake.llm.words import span_hashes, text_blocks
 from ratelake.session import scratch_path
 
 MAGIC = b"RLTOKEN1"
 SEGMENT_IDS = 1 << 20
-CACHED_PIECES = 700_000
+#: Memory of one worker for pieces and their ids.
+CACHE_BYTES = 96 << 20
 END_ID = 0
 _SPACE_RUN = re.compile(r" \s")
+#: Fixed value: how a byte-level vocabulary writes the space.
+_SPACE_IN_VOCABULARY = "\u0120"
 
 SEGMENTS = StructType(
     [
@@ -52,55 +54,144 @@ SEGMENTS = StructType(
 )
 
 
-class _Pieces(dict):
-    """Remembered pieces; those of the present batch that no longer fit are looked up beside them."""
+def gather(offsets: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Indexes of the ranges that begin at ``offsets``, one after the other."""
+    ends = np.cumsum(lengths)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(offsets - (ends - lengths), lengths)
 
-    def __init__(self):
-        super().__init__()
-        self.extra: dict[str, bytes] = {}
 
-    def __missing__(self, piece: str) -> bytes:
-        return self.extra[piece]
+class PieceTable:
+    """Ids of pieces by the 64-bit hash of the piece; bounded in bytes.
+
+    Sorted hashes with the place of each piece's ids in one pool: 14 bytes a piece and its ids.
+    """
+
+    def __init__(self, dtype: np.dtype, most_bytes: int):
+        self._most = most_bytes
+        self._hashes = np.zeros(0, np.uint64)
+        self._offsets, self._lengths = np.zeros(0, np.uint32), np.zeros(0, np.uint16)
+        self._pool, self._used = np.zeros(1 << 16, dtype), 0
+
+    @property
+    def bytes(self) -> int:
+        return 14 * len(self._hashes) + self._used * self._pool.itemsize
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(whether each is known, row of those that are)."""
+        if not len(self._hashes):
+            return np.zeros(len(hashes), bool), np.zeros(0, np.int64)
+        rows = np.minimum(np.searchsorted(self._hashes, hashes), len(self._hashes) - 1)
+        known = self._hashes[rows] == hashes
+        return known, rows[known]
+
+    def ids(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(lengths, ids in a row)."""
+        lengths = self._lengths[rows].astype(np.int64)
+        return lengths, self._pool[gather(self._offsets[rows].astype(np.int64), lengths)]
+
+    def add(self, hashes: np.ndarray, lengths: np.ndarray, ids: np.ndarray) -> None:
+        """Remember sorted new ``hashes``, as far as there is room."""
+        sizes = 14 + lengths * self._pool.itemsize
+        count = int(np.searchsorted(np.cumsum(sizes), self._most - self.bytes, side="right"))
+        if count == 0 or lengths.max() >= 1 << 16:
+            return
+        hashes, lengths = hashes[:count], lengths[:count]
+        ids = ids[: int(lengths.sum())]
+        if self._used + len(ids) > len(self._pool):
+            self._pool = np.concatenate([self._pool[: self._used], np.zeros(len(ids) + self._used // 2 + 1, self._pool.dtype)])
+        self._pool[self._used : self._used + len(ids)] = ids
+        at = np.searchsorted(self._hashes, hashes)
+        offsets = self._used + np.cumsum(lengths) - lengths
+        self._hashes = np.insert(self._hashes, at, hashes)
+        self._offsets = np.insert(self._offsets, at, offsets.astype(np.uint32))
+        self._lengths = np.insert(self._lengths, at, lengths.astype(np.uint16))
+        self._used += len(ids)
 
 
 class PieceEncoder:
-    """Whole texts to ids; pieces between single spaces are encoded once and remembered.
+    """Whole texts to ids; pieces between single spaces are encoded once and remembered by hash.
 
     A byte-level BPE splits a text before every space that stands between characters other than
-    white space, so the ids of such a text are those of its pieces in a row.  Texts with other
-    white space after a space, or with an added token such as <|endoftext|>, are handed to the tokenizer whole.
+    white space, so the ids of such a text are those of its pieces, each with the space before it, in a row.
+    For the same reason new pieces are encoded in one go; their ids are cut where a token begins with a space.
+    Texts with other white space after a space, or with an added token such as <|endoftext|>, are
+    handed to the tokenizer whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache_bytes: int = CACHE_BYTES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
         self._added = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
-        self._pieces = _Pieces()
+        vocabulary = self._tokenizer.get_vocab()
+        self._dtype = np.dtype(np.uint16 if max(vocabulary.values()) < 1 << 16 else np.uint32)
+        self._spaced = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._spaced[[i for token, i in vocabulary.items() if token[0] == _SPACE_IN_VOCABULARY]] = True
+        self._table = PieceTable(self._dtype, cache_bytes)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian u32 ids of each text."""
-        split = [None if _SPACE_RUN.search(t) or any(a in t for a in self._added) else t.split(" ") for t in texts]
-        heads = iter(self._whole([p[0] for p in split if p]))
-        rest = iter(self._whole([t for t, p in zip(texts, split) if p is None]))
-        seen = set()
-        for p in split:
-            if p:
-                seen.update(p[1:])
-        missing = list(seen.difference(self._pieces))
-        found = zip(missing, self._whole([" " + p for p in missing]))
-        room = max(0, CACHED_PIECES - len(self._pieces))
-        self._pieces.update(itertools.islice(found, room))
-        self._pieces.extra = dict(found)
-        known = self._pieces.__getitem__
-        return [next(rest) if p is None else next(heads) + b"".join(map(known, p[1:])) for p in split]
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
+        whole = [bool(_SPACE_RUN.search(t)) or any(a in t for a in self._added) for t in texts]
+        rest = iter(self._whole([t for t, w in zip(texts, whole) if w]))
+        parts = iter(self._pieces([t.encode() for t, w in zip(texts, whole) if not w]))
+        return [next(rest).astype("<u4").tobytes() if w else next(parts) for w in whole]
+
+    def _pieces(self, texts: list[bytes]) -> Iterator[bytes]:
+        offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+        for first, stop in text_blocks(offsets):
+            data = np.frombuffer(b"".join(texts[first:stop]), np.uint8)
+            bounds = offsets[first : stop + 1] - offsets[first]
+            starts = np.unique(np.concatenate([np.flatnonzero(data == 0x20), bounds[:-1][bounds[:-1] < bounds[1:]]]))
+            lengths, ids = self._known(data, starts)
+            ends = np.concatenate([[0], np.cumsum(lengths)])[np.searchsorted(starts, bounds)]
+            view = memoryview(ids.astype("<u4").tobytes())
+            for low, high in zip(ends.tolist(), ends[1:].tolist()):
+                yield bytes(view[4 * low : 4 * high])
+
+    def _known(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(number of ids of each piece, all ids in a row)."""
+        if not len(starts):
+            return np.zeros(0, np.int64), np.zeros(0, self._dtype)
+        hashes, first, place = np.unique(span_hashes(data, starts), return_index=True, return_inverse=True)
+        known, rows = self._table.find(hashes)
+        ends, text = np.append(starts[1:], len(data)), data.tobytes()
+        fresh = [text[starts[i] : ends[i]].decode() for i in first[~known].tolist()]
+        encoded = self._new(fresh)
+        lengths = np.zeros(len(hashes), np.int64)
+        lengths[known], old = self._table.ids(rows)
+        lengths[~known] = [len(e) for e in encoded]
+        new = np.concatenate(encoded).astype(self._dtype) if encoded else np.zeros(0, self._dtype)
+        # Where the ids of each distinct piece are: those known first, then the new ones.
+        offsets = np.zeros(len(hashes), np.int64)
+        offsets[known] = np.cumsum(lengths[known]) - lengths[known]
+        offsets[~known] = len(old) + np.cumsum(lengths[~known]) - lengths[~known]
+        if encoded:
+            self._table.add(hashes[~known], lengths[~known], new)
+        each = lengths[place]
+        return each, np.concatenate([old, new])[gather(offsets[place], each)]
+
+    def _new(self, pieces: list[str]) -> list[np.ndarray]:
+        """Ids of each piece; those that begin with a space are encoded as one text."""
+        out: list[np.ndarray | None] = [None] * len(pieces)
+        spaced = [i for i, p in enumerate(pieces) if p[0] == " " and len(p) > 1]
+        for at in range(0, len(spaced), 4096):
+            lot = spaced[at : at + 4096]
+            ids = self._whole(["".join(pieces[i] for i in lot)])[0]
+            cuts = np.flatnonzero(self._spaced[ids])
+            if len(cuts) == len(lot):
+                for i, part in zip(lot, np.split(ids, cuts[1:])):
+                    out[i] = part
+        left = [i for i, o in enumerate(out) if o is None]
+        for i, ids in zip(left, self._whole([pieces[i] for i in left])):
+            out[i] = ids
+        return out
+
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
         out = []
         for at in range(0, len(texts), 4096):
             encoded = self._tokenizer.encode_batch_fast(texts[at : at + 4096], add_special_tokens=False)
-            out += [array("I", e.ids).tobytes() for e in encoded]
+            out += [np.array(e.ids, np.uint32) for e in encoded]
         return out
 
 
@@ -137,7 +228,7 @@ class Segment:
         return len(self.ends)
 
     def doc_ids(self) -> list[int | None]:
-        return [None] * self.nulls + (self._doc_ids.values() + self._least).tolist()
+        return [None] * self.nulls + (self._doc_ids.select_many(np.arange(len(self._doc_ids))) + self._least).tolist()
 
     def bounds(self, i: int) -> tuple[int, int]:
         return (self.ends.select(i - 1) if i else 0), self.ends.select(i)
@@ -149,7 +240,7 @@ class Segment:
     def entries(self) -> Iterator[tuple[int | None, int, int, int]]:
         """doc_id, start in the segment, length and crc32 of each document."""
         view, start = memoryview(self._ids.astype("<u4").tobytes()), 0
-        for doc_id, end in zip(self.doc_ids(), self.ends.values().tolist()):
+        for doc_id, end in zip(self.doc_ids(), self.ends.select_many(np.arange(len(self))).tolist()):
             yield doc_id, start, end - start, zlib.crc32(view[4 * start : 4 * end])
             start = end
 
@@ -183,7 +274,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
             yield cut()
 
     small_batches(docs)
-    ordered = docs.select("doc_id", "text").repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first())
+    # Rows of one id, or of none, in the order of their texts' hash: a mass of them is dealt to many tasks.
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("tie"))
+    ordered = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text").select("doc_id", "text")
     ordered.mapInArrow(tidy(segments), SEGMENTS).write.option("compression", "zstd").parquet(path)
 
 

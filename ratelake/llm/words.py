@@ -129,6 +129,21 @@ def words_of(data: np.ndarray, offsets: np.ndarray, lower: bool, first: int = 0)
     return Block(first, data, starts, ends, hashes, np.searchsorted(starts, offsets))
 
 
+@cache
+def _any_byte() -> np.ndarray:
+    return mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407))
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each span of ``data``; a span ends where the next one starts."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    size = len(data)
+    up, down = _block_powers() if size <= POWERS else (_powers(WORD_BASE, size), _powers(inverse(WORD_BASE), size))
+    sums = np.add.reduceat(_any_byte()[data] * up[:size], starts)
+    return mix64(sums * down[starts] + np.diff(starts, append=size).astype(np.uint64))
+
+
 def window_hashes(block: Block, size: int) -> tuple[np.ndarray, np.ndarray]:
     """First word and hash of each window of ``size`` words inside one text."""
     count = len(block.hashes) - size + 1

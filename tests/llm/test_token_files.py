@@ -57,10 +57,26 @@ def test_added_tokens_in_a_text_get_their_own_ids(plain, text):
     assert (50256 in plain(text)) == ("<|endoftext|>" in text)
 
 
-def test_full_cache_changes_nothing(monkeypatch, plain):
-    monkeypatch.setattr(token_files, "CACHED_PIECES", 2)
+def test_full_cache_changes_nothing(plain):
+    encoder = token_files.PieceEncoder(TOKENIZER, cache_bytes=40)
+    for texts in (["a bb ccc dddd", "a bb"], ["eeee bb", "a ffff gg"], ["a bb", ""]):
+        assert [np.frombuffer(g, "<u4").tolist() for g in encoder.encode(texts)] == [plain(t) for t in texts]
+    assert 0 < encoder._table.bytes <= 40
+
+
+def test_the_cache_is_bounded_in_bytes_by_long_pieces_too(plain):
+    encoder = token_files.PieceEncoder(TOKENIZER, cache_bytes=20_000)
+    draw = np.random.default_rng(3)
+    for _ in range(6):
+        texts = [" ".join("".join(map(chr, draw.integers(0x4E00, 0x9000, 400))) for _ in range(4)), " ".join(f"w{x}" for x in draw.integers(0, 900, 500))]
+        assert [np.frombuffer(g, "<u4").tolist() for g in encoder.encode(texts)] == [plain(t) for t in texts]
+        assert encoder._table.bytes <= 20_000
+
+
+def test_blocks_of_a_long_text_and_a_second_sight(plain):
+    text = " ".join(f"word{i % 70_000}" for i in range(150_000))
     encoder = token_files.PieceEncoder(TOKENIZER)
-    for texts in (["a bb ccc dddd", "a bb"], ["eeee bb", "a ffff gg"]):
+    for texts in ([text, "a b"], ["", text, " a ", "b\n", "\n a"]):
         assert [np.frombuffer(g, "<u4").tolist() for g in encoder.encode(texts)] == [plain(t) for t in texts]
 
 
