@@ -3,20 +3,22 @@
 A seed is a fixed mask over consecutive words, ten at most, that leaves some positions out, so a substituted
 word at such a position does not change its hash.  The masks are chosen so that every stretch that the
 verification accepts holds one of them whole.  Hashes of the benchmark's seeds are joined with those
-of the documents.  Around each hit the document and the item are laid on one diagonal, and the
-longest good stretch of it is measured: equal words count +1, substituted ones -PENALTY.  A stretch
-with ``MIN_WORDS`` equal words (or nearly all words of a shorter item) makes the document contaminated.
+of the documents.  Around each hit the document and the item are laid on one diagonal.  A stretch of it is good
+as long as its running score stays above zero: equal words count +1, substituted ones -PENALTY.  The most
+equal words of any good stretch count; ``MIN_WORDS`` of them (or nearly all words of a shorter item) make the
+document contaminated.  Items of SHORT to SPAN - 1 words have a mask of their own length and are found where
+all their words are equal.
 
 Documents' hashes are first held against a bit table of fixed size made from the benchmark's, so
 that only documents with a possible hit are shuffled; the table may let others through, never drops any.
 
 Words are lower-cased (A-Z).  Null and empty texts match nothing, neither do items of fewer than
-``SPAN`` words; rows that repeat a doc_id are verified one by one and reported once; repeated items are found once each; a null doc_id is not judged.
+``SHORT`` words; rows that repeat a doc_id are verified one by one and reported once; repeated items are found once each; a null doc_id is not judged.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -30,16 +32,19 @@ from ratelake.llm.words import Block, mix64, text_buffers, word_blocks, words_of
 #: No accepted stretch lacks all four: its score stays above zero from its first word on (see the tests).
 MASKS = ("1110100110", "1110111000", "1111001010", "1110101100")
 SPAN = 10
+SHORT = 3
 MIN_WORDS = 12
 PENALTY = 2
 BITS = 23
-_SEEDS = "seed long, item_id long, place int"
+_SEEDS = "seed long, item_id long, place int, length int"
 
 
-def seeds(block: Block) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(first word, hash) of every place of every mask inside one text."""
+def seeds(block: Block, lengths: Iterable[int] = ()) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(first word, hash) of every place of every mask inside one text, then of all runs of each of ``lengths``."""
     rows = block.rows
-    for number, mask in enumerate(m.rstrip("0") for m in MASKS):
+    masks = [m.rstrip("0") for m in MASKS] + ["1" * n for n in lengths]
+    for number, mask in enumerate(masks):
+        number = number if number < len(MASKS) else 1000 + len(mask)
         count = len(rows) - len(mask) + 1
         if count <= 0:
             continue
@@ -52,18 +57,20 @@ def seeds(block: Block) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def benchmark_seeds(items: DataFrame) -> DataFrame:
-    """(seed, item_id, place) of every item's text."""
+    """(seed, item_id, place, length) of every item's text; ``length`` is 0 but for short items."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for block in word_blocks(batch.column(1), lower=True):
-                rows, long = block.rows, np.diff(block.bounds) >= SPAN
-                for at, values in seeds(block):
-                    kept = long[rows[at]]
+                rows, words = block.rows, np.diff(block.bounds)
+                for number, (at, values) in enumerate(seeds(block, range(SHORT, SPAN))):
+                    length = number - len(MASKS) + SHORT if number >= len(MASKS) else 0
+                    kept = (words == length if length else words >= SPAN)[rows[at]]
                     at, values = at[kept], values[kept]
                     place = (at - block.bounds[rows[at]]).astype(np.int32)
-                    yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(ids[block.first + rows[at]]), pa.array(place)], names=["seed", "item_id", "place"])
+                    lengths = pa.array(np.full(len(at), length, np.int32))
+                    yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(ids[block.first + rows[at]]), pa.array(place), lengths], names=["seed", "item_id", "place", "length"])
 
     usable = items.where(F.col("item_id").isNotNull() & F.col("text").isNotNull())
     return usable.select("item_id", "text").mapInArrow(tidy(hashed), _SEEDS)
@@ -84,7 +91,7 @@ def bit_table(marks: DataFrame) -> np.ndarray:
     return table
 
 
-def possible_hits(docs: DataFrame, table: np.ndarray) -> DataFrame:
+def possible_hits(docs: DataFrame, table: np.ndarray, lengths: Sequence[int] = ()) -> DataFrame:
     """doc_id, text, seeds, places of documents with a seed in the bit table."""
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,7 +99,7 @@ def possible_hits(docs: DataFrame, table: np.ndarray) -> DataFrame:
             for block in word_blocks(batch.column(1), lower=True):
                 rows = block.rows
                 found = []
-                for at, values in seeds(block):
+                for at, values in seeds(block, lengths):
                     slot = slots(values)
                     hit = (table[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
                     found.append((at[hit], values[hit]))
@@ -116,22 +123,34 @@ def possible_hits(docs: DataFrame, table: np.ndarray) -> DataFrame:
 
 
 def best_stretch(document: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int]:
-    """(equal words, first word in the document) of the best stretch where document[i + shift] faces item[i]."""
+    """(most equal words of a good stretch, its first word in the document); document[i + shift] faces item[i].
+
+    A stretch inside a good one has no more equal words, so only those count that begin where the score
+    is as low as never before.
+    """
     low, high = max(0, -shift), min(len(item), len(document) - shift)
     if low >= high:
         return 0, 0
     equal = document[low + shift : high + shift] == item[low:high]
     score = np.concatenate([[0], np.cumsum(np.where(equal, 1, -PENALTY))])
-    gain = score - np.minimum.accumulate(score)
-    end = int(gain.argmax())
-    start = int(np.flatnonzero(score[: end + 1] == score[: end + 1].min())[-1])
-    return int(equal[start:end].sum()), low + shift + start
+    lowest = np.flatnonzero(score == np.minimum.accumulate(score))
+    words = np.diff(np.concatenate([[0], np.cumsum(equal)])[np.append(lowest, len(equal))])
+    best = int(words.argmax())
+    return int(words[best]), low + shift + int(lowest[best])
+
+
+def words_needed(item_words: int, min_words: int = MIN_WORDS) -> int:
+    """Equal words that make a document contaminated with an item of so many words."""
+    if item_words < SPAN:
+        return max(item_words, SHORT)
+    return min(min_words, max(SPAN - 2, item_words - 2))
 
 
 def contaminated(docs: DataFrame, items: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id, item_id, matched_words, item_words, first_word: contaminated documents with their items."""
     marks = stored(benchmark_seeds(items), "seeds")
-    suspects = stored(possible_hits(docs, bit_table(marks)), "suspects")
+    lengths = sorted(r[0] for r in marks.where("length > 0").select("length").distinct().collect())
+    suspects = stored(possible_hits(docs, bit_table(marks), lengths), "suspects")
     # Rows that repeat a doc_id are told apart by their texts.
     suspects = suspects.withColumn("copy", F.xxhash64("text"))
     hits = suspects.select("doc_id", "copy", F.explode(F.arrays_zip("seeds", "places")).alias("hit")).select("doc_id", "copy", F.col("hit.seeds").alias("seed"), F.col("hit.places").alias("at"))
@@ -148,7 +167,7 @@ def contaminated(docs: DataFrame, items: DataFrame, min_words: int = MIN_WORDS)
             for doc_id, item_id, shifts, text, item in zip(*columns):
                 document, passage = hashes_of(text), hashes_of(item)
                 words, first = max((best_stretch(document, passage, s) for s in shifts), default=(0, 0))
-                if words >= min(min_words, max(SPAN - 2, len(passage) - 2)):
+                if words >= words_needed(len(passage), min_words):
                     out.append((doc_id, item_id, words, len(passage), first))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["doc_id", "item_id", "matched_words", "item_words", "first_word"])

@@ -59,7 +59,7 @@ def test_masks_fit_every_accepted_copy_of_a_short_item():
         for holes in (h for k in range(5) for h in combinations(range(size), k)):
             document = item.copy()
             document[list(holes)] = -1
-            if dc.best_stretch(document, item, 0)[0] >= min(dc.MIN_WORDS, max(dc.SPAN - 2, size - 2)):
+            if dc.best_stretch(document, item, 0)[0] >= dc.words_needed(size):
                 assert seeded("".join("1" if w >= 0 else "0" for w in document)), (size, holes)
 
 
@@ -78,6 +78,55 @@ def test_masks_fit_every_accepted_stretch():
     assert ends == 728
 
 
+def good_stretches(document, item):
+    """Most equal words of all stretches of all diagonals whose every head scores above zero, by trying all."""
+    best = 0
+    for shift in range(-len(item) + 1, len(document)):
+        for start in range(len(item)):
+            score = equal = 0
+            for i in range(start, len(item)):
+                if not 0 <= i + shift < len(document):
+                    break
+                same = document[i + shift] == item[i]
+                score += 1 if same else -dc.PENALTY
+                if score <= 0:
+                    break
+                equal += same
+                best = max(best, equal)
+    return best
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_against_all_stretches_of_all_diagonals(documents, spark, seed):
+    """Random texts with several, partly substituted stretches of several items, short items among them."""
+    draw = random.Random(seed)
+    word = lambda: f"w{draw.randrange(3000)}"
+    sizes = [3, 4, 6, 9, 10, 11, 12, 13, 15, 20, 40, 60, 1, 2]
+    item_words = {n: [word() for _ in range(size)] for n, size in enumerate(sizes)}
+    rows = []
+    for doc_id in range(150):
+        words = []
+        for _ in range(draw.randint(1, 4)):
+            words += [word() for _ in range(draw.randint(0, 6))]
+            item = draw.choice(list(item_words.values()))
+            at = draw.randrange(len(item))
+            part = item[at : at + draw.randint(3, 25)] if draw.random() < 0.6 else list(item)
+            words += [word() if draw.random() < draw.choice([0, 0.08, 0.2]) else w for w in part]
+        rows.append((doc_id, " ".join(words)))
+    # The case of a stretch with the better score before one with more equal words.
+    forty = item_words[10]
+    rows.append((900, " ".join([*forty[:11], "x", "x", "x", "x", "x", "x", *forty[17:23], "x", *forty[24:30]])))
+    table = spark.createDataFrame([(n, " ".join(w)) for n, w in item_words.items()], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.matched_words for r in dc.contaminated(documents(*rows), table).collect()}
+    want = {}
+    for doc_id, text in rows:
+        for n, item in item_words.items():
+            found = good_stretches(text.split(), item)
+            if len(item) >= dc.SHORT and found >= dc.words_needed(len(item)):
+                want[doc_id, n] = found
+    assert got == want and len(want) > 60 and (900, 10) in want
+
+
 def test_neighbouring_substitutions_and_rows_with_one_id(documents, items):
     table, texts = items
     words = texts[2].split()
