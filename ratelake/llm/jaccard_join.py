@@ -18,7 +18,7 @@ is components.
 
 The global order may be any order of shingles, so the sample behind it changes speed only.
 Null and empty texts have an empty set, no links and themselves as component; a null doc_id gets a null
-component; rows that repeat a doc_id are one node.
+component; rows that repeat a doc_id are one node that links where any of them links, and each reports its own set.
 """
 
 from __future__ import annotations
@@ -48,8 +48,6 @@ FREQUENT = 100_000
 BITS = 22
 HOT_SAMPLE = 64
 HOT_KEYS = 10_000
-#: Ids of involved documents are broadcast up to this number (8 bytes each), else joined by shuffle.
-BROADCAST_IDS = 100_000
 
 
 def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
@@ -215,14 +213,13 @@ def open_groups(docs: DataFrame, asked: DataFrame, members: DataFrame) -> DataFr
     queries = asked.join(lots, "g").select("g", F.col("q").alias("doc_id"), F.pmod(F.xxhash64("q"), F.col("lots")).cast("int").alias("lot"), F.lit(1).alias("kind"))
     rows = stored(wanted.unionByName(queries), "asked")
     ids = rows.select("doc_id").distinct()
-    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(pack_texts(batch.column(1)), pa.binary())], names=["doc_id", "packed"])
 
     texts = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(ids, "doc_id", "left_semi").mapInArrow(tidy(pack), "doc_id long, packed binary")
-    texts = stored(texts.dropDuplicates(["doc_id"]), "texts")
+    texts = stored(texts.dropDuplicates(["doc_id", "packed"]), "texts")
     dealt = rows.join(texts, "doc_id").repartition("g", "lot").sortWithinPartitions("g", "lot", "kind", "doc_id").select("g", "lot", "kind", "doc_id", "packed")
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -277,10 +274,10 @@ def bounded_queries(cells: DataFrame) -> DataFrame:
     there = cells.groupBy("shingle", "g").agg(F.first("leader").alias("other"))
     sizes = cells.groupBy("g").agg(F.min("n").alias("least"), F.max("n").alias("most"))
     shared = cells.select("shingle", "doc_id", "n", "leader").join(there, "shingle").where("other < leader")
-    counts = shared.groupBy(F.col("doc_id").alias("q"), "g").agg(F.count("*").alias("common"), F.first("n").alias("n"))
+    counts = shared.groupBy(F.col("doc_id").alias("q"), "n", "g").agg(F.count("*").alias("common"))
     low, high = F.greatest("least", F.ceil(0.75 * F.col("n"))), F.least("most", F.floor(F.col("n") / 0.75))
     need = least_overlap(F.col("n"), low, high)
-    return counts.join(sizes, "g").where((low <= high) & (F.col("common") >= need)).select("q", "g")
+    return counts.join(sizes, "g").where((low <= high) & (F.col("common") >= need)).select("q", "g").distinct()
 
 
 def similar_components(docs: DataFrame) -> DataFrame:
@@ -290,19 +287,22 @@ def similar_components(docs: DataFrame) -> DataFrame:
     order = Order(frequent)
     grouped = stored(group(place(docs, salts), order, salts), "grouped")
     links = merge_salts(grouped, order)
-    names = grouped.select("doc_id", "n", "leader").dropDuplicates(["doc_id"])
+    # Rows of one doc_id may follow several leaders: these are linked, so that any one of them will do.
+    several = grouped.groupBy("doc_id").agg(F.min("leader").alias("a"), F.max("leader").alias("most")).where("a < most")
+    links = links.union(grouped.join(several, "doc_id").select("a", F.col("leader").alias("b")).where("a <> b").distinct())
+    names = grouped.groupBy("doc_id").agg(F.min("leader").alias("leader"))
 
     def settled(nodes: DataFrame, links: DataFrame) -> DataFrame:
         """Nodes with the label of their leader's component; labels only ever get smaller."""
         labels = components(links).withColumnsRenamed({"node": "leader", "label": "lower"})
-        return nodes.join(labels, "leader", "left").select("doc_id", "n", F.coalesce("lower", "leader").alias("leader"))
+        return nodes.join(labels, "leader", "left").select("doc_id", F.coalesce("lower", "leader").alias("leader"))
 
     nodes = stored(settled(names, stored(links, "salted")), "nodes")
     # Cells of the matrix whose shingle is found in two groups or more.
-    cells = grouped.where("prefix IS NOT NULL").select("doc_id", "prefix").dropDuplicates(["doc_id"]).join(nodes, "doc_id")
+    cells = grouped.where("prefix IS NOT NULL").select("doc_id", "n", "prefix").dropDuplicates(["doc_id", "prefix"]).join(nodes, "doc_id")
     cells = cells.select(F.explode("prefix").alias("shingle"), "doc_id", "n", "leader")
     shared = cells.groupBy("shingle").agg(F.min("leader").alias("low"), F.max("leader").alias("high")).where("low < high").select("shingle")
-    cells = stored(cells.select("shingle", "doc_id").join(shared, "shingle"), "cells")
+    cells = stored(cells.select("shingle", "doc_id", "n").join(shared, "shingle"), "cells")
 
     def to_leader(links: DataFrame, nodes: DataFrame) -> DataFrame:
         """Links of documents as links of their groups."""
@@ -318,16 +318,17 @@ def similar_components(docs: DataFrame) -> DataFrame:
 
     # What is still apart: blocks of bounded size of the groups as they are now.
     blocks = nodes.groupBy("leader").agg(F.ceil(F.count("*") / BLOCK_MEMBERS).alias("blocks"))
-    homes = nodes.join(blocks, "leader").select("doc_id", "n", "leader", F.xxhash64("leader", F.pmod(F.xxhash64("doc_id"), F.col("blocks"))).alias("g"))
+    homes = nodes.join(blocks, "leader").select("doc_id", "leader", F.xxhash64("leader", F.pmod(F.xxhash64("doc_id"), F.col("blocks"))).alias("g"))
     placed = stored(cells.join(homes, "doc_id"), "placed")
     asked = stored(bounded_queries(placed), "to-blocks")
     members = placed.select("g", "doc_id").distinct().join(asked.select("g").distinct(), "g", "left_semi")
     links = stored(open_groups(docs, asked, members), "block-links")
     nodes = stored(settled(nodes, to_leader(links, nodes)), "nodes")
 
-    sizes = nodes.select("doc_id", F.col("n").alias("n_shingles"), F.col("leader").alias("component_id"))
-    out = docs.select("doc_id").join(sizes, "doc_id", "left")
-    return out.select("doc_id", F.coalesce("n_shingles", F.lit(0)).alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    filled = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)) & F.col("doc_id").isNotNull()
+    rows = grouped.select("doc_id", F.col("n").alias("n_shingles")).unionByName(docs.where(~filled).select("doc_id", F.lit(0).cast("long").alias("n_shingles")))
+    labels = nodes.withColumnRenamed("leader", "component_id")
+    return rows.join(labels, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:

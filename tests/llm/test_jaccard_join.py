@@ -80,6 +80,33 @@ def test_repeated_rows_null_ids_and_empty_table(documents):
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 4, 10] and "score" in kept.columns
 
 
+@pytest.mark.parametrize("seed", [5, 6])
+def test_rows_of_one_id_with_different_texts_are_one_node(documents, monkeypatch, seed):
+    """Against brute force over rows; the answer may not depend on which row of an id is met first."""
+    monkeypatch.setattr(jj, "LEADERS", 2)
+    monkeypatch.setattr(jj, "BLOCK_MEMBERS", 3)
+    draw = random.Random(seed)
+    rows = [(i if draw.random() < 0.8 else draw.randrange(40), t) for i, t in corpus(seed)]
+    a, b = (" ".join(f"{c}{i}" for i in range(30)) for c in "ab")
+    rows += [(1001, a), (1002, a), (1003, b), (1002, b), (1002, None), (1004, "")]
+    label = {i: i for i, _ in rows}
+
+    def find(x):
+        while label[x] != x:
+            x = label[x]
+        return x
+
+    sets = [(i, shingles(t)) for i, t in rows]
+    for k, (i, s) in enumerate(sets):
+        for j, t in sets[:k]:
+            if s and 100 * len(s & t) >= 75 * len(s | t):
+                x, y = sorted((find(i), find(j)))
+                label[y] = x
+    for order in (rows, rows[::-1]):
+        got = jj.similar_components(documents(*order).repartition(3)).collect()
+        assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == sorted((i, len(s), find(i)) for i, s in sets)
+
+
 def test_bound_holds_for_inner_sizes(spark):
     from pyspark.sql import functions as F
 
