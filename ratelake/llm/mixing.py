@@ -33,7 +33,8 @@ ROWS_PER_DOMAIN = 500
 TRAIN_ROWS = 8_000
 BUCKETS = 1 << 14
 GRAM = 3
-STEPS = 40
+#: Passes in a row that change no total by more than a twentieth of the tolerance end the descent.
+STILL = 3
 TOLERANCE = 1e-3
 PULL = 1e-3
 
@@ -127,6 +128,14 @@ class Descent:
     floor: float
     step: float
     steps: list[tuple[np.ndarray, float]]
+    #: Tokens by domain, in parts of all present ones: wanted, and reached by the rates.
+    goal: np.ndarray | None = None
+    reached: np.ndarray | None = None
+
+    @property
+    def gap(self) -> float:
+        """Largest distance of a domain from its goal, in parts of the largest goal."""
+        return 0.0 if self.goal is None else float(np.abs(self.reached - self.goal).max() / self.goal.max())
 
     def rates(self, p: np.ndarray) -> np.ndarray:
         rate = at = np.full(len(p), max(1.0, self.floor))
@@ -178,17 +187,20 @@ def fit_rates(members: DataFrame, model: DomainModel, targets: dict[str, float],
     weight = 1.0 / np.maximum(mass, 1e-6)
     half = np.sqrt(weight)
     step = 1.0 / (float(np.linalg.eigvalsh(half[:, None] * square * half[None, :]).max()) + PULL)
-    descent, reached, before, t = Descent(floor, step, []), mass * max(1.0, floor), None, 1.0
-    at = reached
-    for _ in range(STEPS):
+    descent = Descent(floor, step, [], goal, mass * max(1.0, floor))
+    at, t, still = descent.reached, 1.0, 0
+    # To the goal, or to where no step changes the totals any more: the least squares' optimum over these rates.
+    while descent.gap > TOLERANCE and still < STILL:
         gradient = weight * (at - goal)
         faster = (1 + np.sqrt(1 + 4 * t * t)) / 2
         momentum, t = (t - 1) / faster, faster
         descent.steps.append((gradient, float(momentum)))
-        before, reached = reached, sums(lambda w, p: (w * descent.rates(p)) @ p) / total
-        at = reached + momentum * (reached - before)
-        if np.abs(reached - goal).max() <= TOLERANCE * goal.max():
-            break
+        before, descent.reached = descent.reached, sums(lambda w, p: (w * descent.rates(p)) @ p) / total
+        change = descent.reached - before
+        at = descent.reached + momentum * change
+        still = still + 1 if np.abs(change).max() <= TOLERANCE / 20 * goal.max() else 0
+        if (weight * (at - goal)) @ change > 0:
+            t = 1.0  # past the optimum: momentum starts anew
     return descent
 
 
@@ -225,17 +237,30 @@ def copies_of(rate: str, key: str):
 
 
 def document_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]) -> DataFrame:
-    """doc_id, n_tokens, domain, posterior, rate, copies for every row of ``docs``."""
+    """doc_id, n_tokens, domain, posterior, rate, copies for every row of ``docs``.
+
+    goal_tokens and reached_tokens tell for the row's domain what was wanted and what the rates give, in
+    parts of all present tokens; both are null where nothing was fitted.
+    """
     model = train(docs, labelled)
     members = stored(memberships(docs, model, ["doc_id"]), "members")
-    rated = with_rates(members, model, fit_rates(members, model, targets), ["doc_id"])
-    return rated.select(
+    descent = fit_rates(members, model, targets)
+
+    def of_domain(values: np.ndarray | None):
+        found = F.lit(None).cast("double")
+        for name, value in zip(model.names, [] if values is None else values.tolist()):
+            found = F.when(F.col("__domain") == name, value).otherwise(found)
+        return found
+
+    return with_rates(members, model, descent, ["doc_id"]).select(
         "doc_id",
         F.col("__tokens").alias("n_tokens"),
         F.col("__domain").alias("domain"),
         F.col("__posterior").alias("posterior"),
         F.col("__rate").alias("rate"),
         copies_of("__rate", "doc_id").alias("copies"),
+        of_domain(descent.goal).alias("goal_tokens"),
+        of_domain(descent.reached).alias("reached_tokens"),
     )
 
 
