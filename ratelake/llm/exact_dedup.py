@@ -55,6 +55,11 @@ def exact_groups(docs: DataFrame, salts: int = SALTS) -> DataFrame:
 
 
 def keep_first(docs: DataFrame, salts: int = SALTS) -> DataFrame:
-    """The documents that stay, with all their columns; of equal rows with one id, each stays."""
-    kept = exact_groups(docs, salts).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi")
+    """The documents that stay, with all their columns; of equal rows with one id, each stays.
+
+    A row stays for its own text: rows that share an id but not the text are told apart by it.
+    """
+    kept = exact_groups(docs, salts).where("kept").select("doc_id", "text_sha256").distinct()
+    kept = kept.withColumnsRenamed({"doc_id": "__id", "text_sha256": "__sha"})
+    own = F.sha2(normalised(F.col("text")), 256)
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")) & (own == F.col("__sha")), "left_semi")

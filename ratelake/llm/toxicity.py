@@ -227,18 +227,18 @@ def fit_scores(evidence: np.ndarray, labels: np.ndarray, steps: int = 600) -> tu
 
 
 def evidence_of(docs: DataFrame, lexicon: Lexicon, keep: list[str]) -> DataFrame:
-    """``keep`` columns with ``evidence`` and ``strongest`` of each row's whole text."""
+    """``keep`` columns with ``__evidence`` and ``__strongest`` of each row's whole text."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = lexicon.automaton()
         for batch in batches:
             pairs = [lexicon.evidence(automaton, t) for t in batch.column(0).to_pylist()]
             values = np.array(pairs, dtype=float).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(values[:, 0]), pa.array(values[:, 1])], names=[*keep, "evidence", "strongest"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(values[:, 0]), pa.array(values[:, 1])], names=[*keep, "__evidence", "__strongest"])
 
     small_batches(docs)
     kept = docs.select(*keep)
-    schema = StructType([*kept.schema.fields, StructField("evidence", DoubleType()), StructField("strongest", DoubleType())])
+    schema = StructType([*kept.schema.fields, StructField("__evidence", DoubleType()), StructField("__strongest", DoubleType())])
     return docs.select(F.col("text").alias("__body"), *keep).mapInArrow(tidy(measure), schema)
 
 
@@ -249,14 +249,14 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Lexicon
     lexicon.exceptions = learn_exceptions(sample, lexicon)
     fitted = evidence_of(sample, lexicon, ["label"]).toPandas()
     if lexicon.patterns and len(fitted):
-        lexicon.coefficients = fit_scores(fitted[["evidence", "strongest"]].to_numpy(float), (fitted["label"] == 1).to_numpy(float))
+        lexicon.coefficients = fit_scores(fitted[["__evidence", "__strongest"]].to_numpy(float), (fitted["label"] == 1).to_numpy(float))
     return lexicon
 
 
 def toxicity_scores(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     """doc_id, held_out, score, predicted for every row of ``docs``."""
     bias, a, b = lexicon.coefficients
-    z = F.lit(bias) + a * F.log1p("evidence") + b * F.col("strongest")
+    z = F.lit(bias) + a * F.log1p("__evidence") + b * F.col("__strongest")
     score = 1.0 / (1.0 + F.exp(-z))
     return (
         evidence_of(docs, lexicon, ["doc_id"])
@@ -269,4 +269,4 @@ def keep_clean(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     """The documents that are not predicted toxic, columns unchanged."""
     bias, a, b = lexicon.coefficients
     kept = evidence_of(docs, lexicon, docs.columns)
-    return kept.where(F.lit(bias) + a * F.log1p("evidence") + b * F.col("strongest") < 0).select(*docs.columns)
+    return kept.where(F.lit(bias) + a * F.log1p("__evidence") + b * F.col("__strongest") < 0).select(*docs.columns)

@@ -52,6 +52,8 @@ def test_toxicity_on_held_out_rows(marked):
     kept = {r.doc_id for r in toxicity.keep_clean(docs, lexicon).collect()}
     assert kept == {i for i, (_, p) in got.items() if p == 0}
     assert toxicity.keep_clean(docs, lexicon).columns == docs.columns
+    clashing = docs.withColumns({c: F.lit(1.0) for c in ("evidence", "strongest", "predicted", "held_out")})
+    assert {r.doc_id for r in toxicity.keep_clean(clashing, lexicon).collect()} == kept
 
 
 def test_toxicity_folds_disguises(documents):

@@ -31,3 +31,10 @@ def test_repeated_rows_and_null_id(documents):
 def test_empty_table(documents):
     assert exact_dedup.exact_groups(documents().limit(0)).count() == 0
     assert exact_dedup.keep_first(documents((1, "a"), (2, " a"), (3, "b"))).count() == 2
+
+
+def test_rows_of_one_id_stay_by_their_own_text(documents):
+    docs = documents((5, "aa  bb"), (7, "aa bb"), (7, "other"), (None, "aa bb"), (None, "alone"))
+    kept = exact_dedup.keep_first(docs)
+    assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == [(0, "alone"), (5, "aa  bb"), (7, "other")]
+    assert kept.columns == docs.columns
