@@ -72,6 +72,13 @@ def split_responses(
     return tagged.where(ok).drop("outcome"), tagged.where(~ok)
 
 
+def with_days(sources: Sequence[SourceSpec] = DEFAULT_SOURCES) -> Column:
+    """Whether a historical response has any date: without one ``explode_range`` gives no record."""
+    body = F.from_json("body", schemas.RANGE_BODY)
+    days = F.when(_flagged(sources, "quotes_prefixed"), body["quotes"]).otherwise(body["rates"])
+    return F.coalesce(F.size(days) > 0, F.lit(False))
+
+
 def rate_date(date_text: Column, epoch: Column, extracted_at: Column) -> Column:
     """Response date, else the date of its epoch field, else the extraction date."""
     return F.coalesce(

@@ -149,32 +149,80 @@ def records_from_json_lines(lines: DataFrame, column: str = "value") -> DataFram
     )
 
 
-def rejected_lines(
-    lines: DataFrame, source: str | None = None, column: str = "value"
-) -> DataFrame:
-    """(reason, rows) of the landed lines a load leaves out, one reason per line.
-
-    ``bad_line`` is no JSON object, ``other_source`` carries another label or none, ``bad_date`` has
-    no date, ``bad_key`` has a rate without a code (only that entry is dropped).
-    """
-    line = F.from_json(F.col(column), "map<string,string>")
+def _reason(source: str | None) -> Column:
+    """Why the line parsed to ``_m`` is left out or shortened by a load; NULL where nothing is."""
     keys = F.map_keys(F.col("_m"))
     bad_key = F.exists(keys, lambda k: k.startswith(RATE_PREFIX) & (_text_code(k) == ""))
     other = F.lit(False) if source is None else ~_field("source").eqNullSafe(F.lit(source))
-    reason = (
+    return (
         F.when(F.col("_m").isNull(), "bad_line")
         .when(other, "other_source")
         .when(_field("rate_date").try_cast("date").isNull(), "bad_date")
         .when(bad_key, "bad_key")
     )
-    found = lines.where(F.trim(column) != "").select(line.alias("_m")).select(reason.alias("reason"))
+
+
+def _parsed_lines(lines: DataFrame, column: str) -> DataFrame:
+    line = F.from_json(F.col(column), "map<string,string>")
+    return lines.where(F.trim(column) != "").withColumn("_m", line)
+
+
+def rejected_lines(
+    lines: DataFrame, source: str | None = None, column: str = "value"
+) -> DataFrame:
+    """(reason, rows) of the landed lines a load leaves out, one reason per line.
+
+    ``bad_line`` is no JSON object, ``other_source`` carries another label or none, ``bad_date`` has
+    no date, ``bad_key`` has a rate without a code (only that entry is dropped).
+    """
+    found = _parsed_lines(lines, column).select(_reason(source).alias("reason"))
     return found.where(F.col("reason").isNotNull()).groupBy("reason").agg(F.count("*").alias("rows"))
 
 
+def counted_lines(
+    lines: DataFrame,
+    counts: Observation,
+    source: str,
+    mode: str,
+    start_date: str,
+    end_date: str | None = None,
+    lookback_days: int = 3,
+    column: str = "value",
+) -> DataFrame:
+    """The lines, counted by what becomes of them while a load reads them; no pass of its own.
+
+    ``lines`` = ``bad_line`` + ``other_source`` + ``bad_date`` + ``outside_window`` + ``records``.
+    ``bad_key`` lines are among the records, without the entries that have no code.
+    """
+    day = _field("rate_date").try_cast("date")
+    tagged = _parsed_lines(lines, column).select(*lines.columns, _reason(source).alias("_reason"), day.alias("rate_date"))
+    kept = F.coalesce(F.col("_reason"), F.lit("")).isin("", "bad_key")
+    inside = F.coalesce(in_window(mode, start_date, end_date, lookback_days), F.lit(False))
+    named = [F.count_if(F.col("_reason") == r).alias(r) for r in ("bad_line", "other_source", "bad_date", "bad_key")]
+    return tagged.observe(
+        counts,
+        F.count(F.lit(1)).alias("lines"),
+        *named,
+        F.count_if(kept & ~inside).alias("outside_window"),
+        F.count_if(kept & inside).alias("records"),
+    ).select(*lines.columns)
+
+
 def _field(name: str) -> Column:
     return F.try_element_at(F.col("_m"), F.lit(name))
 
 
+def in_window(
+    mode: str, start_date: str, end_date: str | None = None, lookback_days: int = 3
+) -> Column:
+    """daily: from ``lookback_days`` before the start on; backfill: inclusive range."""
+    day = F.col("rate_date").cast("date")
+    start = F.lit(start_date).cast("date")
+    if mode == "daily":
+        return day >= F.date_sub(start, lookback_days)
+    return day.between(start, F.lit(end_date or start_date).cast("date"))
+
+
 def date_window(
     df: DataFrame,
     mode: str,
@@ -182,12 +230,8 @@ def date_window(
     end_date: str | None = None,
     lookback_days: int = 3,
 ) -> DataFrame:
-    """daily: from ``lookback_days`` before the start on; backfill: inclusive range."""
-    day = F.col("rate_date").cast("date")
-    start = F.lit(start_date).cast("date")
-    if mode == "daily":
-        return df.where(day >= F.date_sub(start, lookback_days))
-    return df.where(day.between(start, F.lit(end_date or start_date).cast("date")))
+    """Rows of the dates a load covers, see ``in_window``."""
+    return df.where(in_window(mode, start_date, end_date, lookback_days))
 
 
 def clean_map_keys(df: DataFrame, map_col: str = "rates") -> DataFrame:

@@ -486,9 +486,18 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT source, rate_date, {_OUTCOME} FROM fx_quotes) t
             WHERE outcome = 'OK' GROUP BY 1, 2""", quotes),
         "quarantine_responses": _sql(f"""
-            SELECT source, outcome, http_status_code, COUNT(*) AS responses
-            FROM (SELECT source, {_STATUS}, {_OUTCOME} FROM fx_quotes) t
+            SELECT source, outcome, http_status_code, COUNT(*) + COUNT_IF(twice) AS responses
+            FROM (SELECT source, {_STATUS}, {_OUTCOME}, second(extraction_timestamp) % 3 = 0 AS twice FROM fx_quotes) t
             WHERE outcome <> 'OK' GROUP BY 1, 2, 3""", quotes),
+        "load_report": _sql("""
+            SELECT DATE '2024-01-20' AS rate_date, source, counted, lines FROM (
+              SELECT source, COUNT(*) AS lines, 0 AS bad_line, 0 AS bad_key, COUNT_IF(other) AS other_source,
+                COUNT_IF(NOT other AND undated) AS bad_date, COUNT_IF(NOT other AND NOT undated AND NOT inside) AS outside_window,
+                COUNT_IF(NOT other AND NOT undated AND inside) AS records
+              FROM (SELECT source, day(rate_date) % 7 = 0 AS other, day(rate_date) % 5 = 0 AS undated,
+                      rate_date >= DATE '2024-01-17' AS inside FROM fx_wide WHERE base_currency = 'USD')
+              GROUP BY source
+            ) UNPIVOT (lines FOR counted IN (lines, bad_line, bad_key, other_source, bad_date, outside_window, records))""", "fx_wide"),
         "norm_flatten_map": _sql(
             "SELECT extraction_id, " + _r(*[f"rates__{c.lower()}" for c in _CODES])
             + " FROM fx_wide", "fx_wide"),

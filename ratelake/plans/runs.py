@@ -11,9 +11,10 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
+from functools import reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ratelake import schemas
@@ -28,6 +29,7 @@ CONSENSUS = "consensus_check"
 FACT = "fact_rates_validated"
 HOT = "currency_rates"
 QUARANTINE = "quarantine_responses"
+REPORT = "load_report"
 
 
 class ChecksFailed(RuntimeError):
@@ -95,12 +97,17 @@ class RateJobs:
 
         Usable responses are normalised (a backfill's one record per date) and appended below their
         source with the rates as they came, so new currencies need no schema.  All others are kept
-        whole with their outcome; a source nobody configured is ``UNKNOWN``.  Landing and quarantine
-        both add up to the responses.
+        whole with their outcome and their number (``responses``), equal ones as one row; a source nobody
+        configured is ``UNKNOWN``, a usable backfill response without any date is ``EMPTY``.  Landing and
+        quarantine both add up to the responses.
         """
         names = [s.name for s in self.cfg.sources]
         known = F.coalesce(F.col("source").isin(names), F.lit(False))
         ok, bad = normalize.split_responses(responses.where(known), self.cfg.sources)
+        if mode != "daily":
+            filled = normalize.with_days(self.cfg.sources)
+            bad = bad.unionByName(ok.where(~filled).withColumn("outcome", F.lit("EMPTY")))
+            ok = ok.where(filled)
         for source in self.cfg.sources:
             mine = ok.where(F.col("source") == source.name)
             if mode == "daily":
@@ -109,11 +116,13 @@ class RateJobs:
                 records = normalize.explode_range(mine, self.cfg.sources)
             landing.land_append(records, f"{self.landing_root}/{source.name}", mode)
         unknown = responses.where(~known).withColumn("outcome", F.lit("UNKNOWN"))
-        kept = bad.unionByName(unknown).withColumns(
-            {"rate_date": F.col("extraction_timestamp").cast("date"), "body_key": F.xxhash64("body")}
+        kept = bad.unionByName(unknown)
+        counted = kept.groupBy(*kept.columns).agg(F.count(F.lit(1)).alias("responses"))
+        counted = counted.withColumns(
+            {"rate_date": F.col("extraction_timestamp").cast("date"), "body_key": F.sha2("body", 256)}
         )
-        keys = ("rate_date", "source", "extraction_timestamp", "http_status_code", "body_key")
-        self.tables.upsert(QUARANTINE, kept.dropDuplicates(list(keys)), keys)
+        keys = ("rate_date", "source", "extraction_timestamp", "http_status_code", "outcome", "body_key")
+        self.tables.upsert(QUARANTINE, counted, keys)
 
     def landed(self, source: SourceSpec, mode: str, start: date) -> DataFrame:
         """Lines of every landed file that may hold rows of the run."""
@@ -126,24 +135,31 @@ class RateJobs:
     def load_silver(self, source: SourceSpec, mode: str, start: date, end: date) -> bool:
         """Landed files of one source into its silver table; False if nothing has landed.
 
-        What is left out is told by ``rejected``.
+        What becomes of the lines is counted while they are read and told in ``load_report``.
         """
         try:
             lines = self.landed(source, mode, start)
         except NoLandingData:
             return False
-        records = silver.records_from_json_lines(lines)
+        counts = Observation()
+        window = (mode, start.isoformat(), end.isoformat(), self.cfg.lookback_days)
+        records = silver.records_from_json_lines(silver.counted_lines(lines, counts, source.name, *window))
         batch = silver.build_silver(
-            records.where(F.col("source") == source.name),
-            mode,
-            start.isoformat(),
-            end.isoformat(),
-            self.cfg.lookback_days,
-            self.cfg.silver_keys,
+            records.where(F.col("source") == source.name), *window, self.cfg.silver_keys
         )
         self.tables.upsert(source.silver_table, batch, self.cfg.silver_keys)
+        told = [(start, mode, source.name, what, n) for what, n in counts.get.items()]
+        report = self.spark.createDataFrame(told, "rate_date date, mode string, source string, counted string, lines long")
+        self.tables.upsert(f"{REPORT}_{source.name}", report, ("rate_date", "mode", "source", "counted"))
         return True
 
+    def load_report(self) -> DataFrame:
+        """(rate_date, mode, source, counted, lines): by start of a run, what became of the landed lines."""
+        schema = "rate_date date, mode string, source string, counted string, lines long"
+        empty = self.spark.createDataFrame([], schema)
+        tables = [self.tables.read(f"{REPORT}_{s.name}", empty.schema) for s in self.cfg.sources]
+        return reduce(DataFrame.unionByName, tables, empty)
+
     def rejected(self, source: SourceSpec, mode: str, start: date) -> DataFrame:
         """(reason, rows) of the landed lines that ``load_silver`` leaves out."""
         return silver.rejected_lines(self.landed(source, mode, start), source.name)

@@ -1,5 +1,6 @@
 from dataclasses import replace
 from datetime import date, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -190,6 +191,38 @@ def test_responses_land_or_are_kept(spark, root):
     assert j.rejected(CFG.source("frankfurter"), "daily", DAYS[0]).count() == 0
 
 
+def test_landing_and_quarantine_add_up(spark, root):
+    """Equal failures keep their number, a second delivery of the same batch changes nothing, and usable
+    backfill responses without any date are kept."""
+    at = ts("2024-01-31T06:00:00")
+    full = '{"base": "USD", "rates": {"2024-01-30": {"EUR": 0.9}, "2024-01-31": {"EUR": 0.8}}}'
+    bodies = [(full, 200)] + [("broken", 500)] * 3 + [('{"base": "USD", "rates": {}}', 200)] * 2 + [('{"base": "USD"}', 200)]
+    responses = spark.createDataFrame(
+        [("frankfurter", b, c, at) for b, c in bodies],
+        "source string, body string, http_status_code int, extraction_timestamp timestamp_ntz")
+    j = jobs(spark, root)
+    j.land(responses, "backfill")
+    j.land(responses.where("http_status_code = 500"), "backfill")
+    kept = j.tables.read("quarantine_responses")
+    assert sorted((r.outcome, r.responses) for r in kept.collect()) == [("EMPTY", 1), ("EMPTY", 2), ("ERROR", 3)]
+    assert j.landed(CFG.source("frankfurter"), "backfill", DAYS[0]).count() == 2
+
+
+def test_a_run_tells_what_became_of_the_lines(spark, root):
+    land(spark, root, DAYS[:2], only=("frankfurter",))
+    folder = next(Path(f"{root}/landing/frankfurter/daily").rglob("day=*"))
+    lines = ["", "no json", '{"source": "other", "rate_date": "2024-01-31"}', '{"source": "frankfurter", "rate_date": "x"}',
+             '{"source": "frankfurter", "rate_date": "2001-01-01", "rates__eur": 1}']
+    (folder / "more.jsonl").write_text("\n".join(lines))
+    j = jobs(spark, root)
+    j.run_daily(DAYS[1])
+    told = {r.counted: r["lines"] for r in j.load_report().where("source = 'frankfurter'").collect()}
+    assert told == {"lines": 4 + 2, "bad_line": 1, "other_source": 1, "bad_date": 1, "bad_key": 0, "outside_window": 1, "records": 2}
+    assert j.load_report().count() == 7
+    j.run_daily(DAYS[1])
+    assert j.load_report().count() == 7
+
+
 def test_backfill_without_landing_is_an_empty_run(spark, root):
     j = jobs(spark, root)
     assert j.run_backfill(DAYS[0], DAYS[1]) == []
