@@ -22,7 +22,7 @@ from ratelake.operators.ranking import first_per_key
 from ratelake.plans import views
 from ratelake.plans.runs import FACT, HOT, QUARANTINE, RateJobs
 from ratelake.session import prepare, scratch_path
-from ratelake.sources import landing, seeds, tables
+from ratelake.sources import hot_table, landing, seeds, tables
 from ratelake.streaming import quota_stream, silver_stream
 
 CFG = EngineConfig(top_currencies=views.MATRIX_CODES)
@@ -365,7 +365,7 @@ def _q(spark, sf_dir):
     return first_per_key(entries, ["table_name", "slice"], [F.col("version").desc()])
 
 
-def _hot_table(spark, sf_dir) -> DataFrame:
+def _hot_table(spark, sf_dir) -> hot_table.HotTable:
     """The stored hot table over every date, as a run's sync writes it, sorted for lookups.
 
     Written twice, which must change nothing.  Rates at nine places as in the oracle.
@@ -379,12 +379,12 @@ def _hot_table(spark, sf_dir) -> DataFrame:
         "exchange_rate", "inverse_rate", "consensus_variance", "validation_status",
         "currency_pair",
     )
-    store = tables.RateTables(spark, scratch_path(spark, "hot"))
+    store = hot_table.HotTable(tables.RateTables(spark, scratch_path(spark, "hot")), HOT)
     items = hot.to_hot_items(with_pair, AS_OF)
     for _ in range(2):
-        store.upsert(HOT, items, hot.HOT_KEYS, sort=hot.HOT_KEYS, grain="month")
-        items = store.read(HOT)
-    return items
+        store.sync(items)
+        items = store.tables.read(HOT)
+    return store
 
 
 def _as_text(items: DataFrame) -> DataFrame:
@@ -394,27 +394,25 @@ def _as_text(items: DataFrame) -> DataFrame:
 
 @query("hot_upsert")
 def _q(spark, sf_dir):
-    items = _hot_table(spark, sf_dir)
+    items = _hot_table(spark, sf_dir).tables.read(HOT)
     return _as_text(items.where(F.col("rate_date") == items.agg(F.max("rate_date")).scalar()))
 
 
 @query("hot_get")
 def _q(spark, sf_dir):
-    return _as_text(hot.hot_get(_hot_table(spark, sf_dir), "USD/C07", "2024-01-15"))
+    return _as_text(_hot_table(spark, sf_dir).get("USD/C07", date(2024, 1, 15)))
 
 
 @query("hot_lookup")
 def _q(spark, sf_dir):
-    items = _hot_table(spark, sf_dir)
-    return _as_text(hot.hot_query(items, "currency_pair", "USD/C07", ascending=False, limit=10))
+    found = _hot_table(spark, sf_dir).lookup("currency_pair", "USD/C07", ascending=False, limit=10)
+    return _as_text(found)
 
 
 @query("hot_lookup_by_target")
 def _q(spark, sf_dir):
-    items = _hot_table(spark, sf_dir)
-    return _as_text(
-        hot.hot_query(items, "target_currency", "C03", since="2024-01-05", until="2024-01-25")
-    )
+    found = _hot_table(spark, sf_dir).lookup("target_currency", "C03", date(2024, 1, 5), date(2024, 1, 25))
+    return _as_text(found)
 
 
 @query("preview_topn")

@@ -22,6 +22,7 @@ from ratelake.config import EngineConfig, SourceSpec
 from ratelake.operators import consensus as cons
 from ratelake.operators import dq, fact, hot, marts, normalize, quota, silver, staging
 from ratelake.sources import landing, seeds
+from ratelake.sources.hot_table import HotTable
 from ratelake.sources.landing import PARTITIONED, LandingLayout, NoLandingData
 from ratelake.sources.tables import RateTables, merge_by_key
 
@@ -303,9 +304,11 @@ class RateJobs:
             self.as_of,
             self.cfg.hot_ttl_days,
         )
-        self.tables.upsert(
-            HOT, items, hot.HOT_KEYS, sort=("currency_pair", "rate_date")
-        )
+        self.hot_table().sync(items)
+
+    def hot_table(self) -> HotTable:
+        """Lookups by pair and by target currency over what ``sync_hot`` has stored."""
+        return HotTable(self.tables, HOT)
 
     def checks(self, w: Window | None = None) -> DataFrame:
         """The declared checks, over everything or over the dates of one window."""

@@ -147,7 +147,9 @@ class RateTables:
         start = F.date_format(F.col(date_col).cast("date"), GRAINS[grain])
         return F.coalesce(start, F.lit(UNDATED))
 
-    def _replace(self, table: str, df: DataFrame, reopened: Iterable[str], sort: Sequence[str]) -> None:
+    def _replace(
+        self, table: str, df: DataFrame, reopened: Iterable[str], sort: Sequence[str], indexed: Sequence[str] = ()
+    ) -> None:
         """Write ``df``, which has its slice as a column, over the slices it has rows for.
 
         ``reopened`` slices that got no file have no rows any more and go.  The rebalance hint sizes the
@@ -159,6 +161,8 @@ class RateTables:
         if sort:
             by_slice = by_slice.sortWithinPartitions(SLICE, *sort)
         writer = by_slice.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        for column in indexed:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
         writer.partitionBy(SLICE).parquet(self.folder(table))
         for folder, names in before.items():
             if files.children(self.spark, folder) == names:
@@ -197,6 +201,7 @@ class RateTables:
         order: Sequence[Column] | None = None,
         sort: Sequence[str] = (),
         grain: str = "day",
+        indexed: Sequence[str] = (),
     ) -> None:
         """Replace rows whose key is in the batch and append the batch; running it twice changes
         nothing.  The first upsert creates the table, an empty batch included.
@@ -210,7 +215,7 @@ class RateTables:
         With ``replace_from`` / ``replace_until`` all rows dated in that range are replaced, so
         rows the batch no longer contains disappear as well.
 
-        The batch is computed once, for the question which slices it has, and written once.
+        ``indexed`` columns get Bloom filters.  The batch is computed once, for the question which slices it has, and written once.
         """
         if date_col is not None and date_col not in keys:
             raise ValueError(f"{date_col} decides the slice, so it has to be one of the keys")
@@ -243,7 +248,7 @@ class RateTables:
             elif order is not None:
                 merged = first_per_key(fresh, keys, order)
             if reopened:
-                self._replace(table, merged, reopened, sort)
+                self._replace(table, merged, reopened, sort, indexed)
             self._keep_columns(table, old, columns)
         finally:
             fresh.unpersist()

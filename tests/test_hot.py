@@ -1,9 +1,11 @@
+from datetime import date
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from ratelake.operators import hot
+from ratelake.sources.hot_table import HotTable
 from ratelake.sources.tables import RateTables
 
 from .helpers import rows, series, ts
@@ -57,3 +59,20 @@ def test_range_lookups(items):
 def test_preview(items):
     assert [r.rate_date for r in hot.preview(items, 1, "rate_date").collect()] == ["2024-01-06"]
     assert len(rows(hot.preview(items, 3))) == 3
+
+
+def test_lookups_open_the_slices_of_their_dates(spark, root):
+    """A point get opens one slice, however often the same items were synced."""
+    days = [f"2024-01-{d:02d}" for d in range(1, 9)]
+    items = spark.createDataFrame(
+        [(f"USD/C{i:02d}", f"C{i:02d}", d, float(i)) for d in days for i in range(30)],
+        "currency_pair string, target_currency string, rate_date string, exchange_rate double")
+    table = HotTable(RateTables(spark, root), "items")
+    for _ in range(2):
+        table.sync(items)
+    found = table.get("USD/C07", date(2024, 1, 3))
+    assert [tuple(r) for r in found.collect()] == [("USD/C07", "C07", "2024-01-03", 7.0)]
+    assert {f.split("_slice=")[1][:10] for f in found.inputFiles()} == {"2024-01-03"}
+    some = table.lookup("target_currency", "C03", date(2024, 1, 2), date(2024, 1, 4))
+    assert [r.rate_date for r in some.collect()] == days[1:4] and len(some.inputFiles()) == 3
+    assert [r.rate_date for r in table.lookup("currency_pair", "USD/C01", ascending=False, limit=2).collect()] == days[:-3:-1]
