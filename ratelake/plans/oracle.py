@@ -49,29 +49,21 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
           SELECT *, DENSE_RANK() OVER (PARTITION BY rate_date, source, base_currency
                                        ORDER BY extraction_timestamp DESC, extraction_id DESC) AS k
           FROM landed) t WHERE k = 1"""),
-    "frank": (("stg",), "SELECT * FROM stg WHERE source = 'frankfurter' AND base_currency = 'USD'"),
-    "er": (("stg",), "SELECT * FROM stg WHERE source = 'exchangerate' AND base_currency = 'USD'"),
-    "cl": (("stg",), "SELECT * FROM stg WHERE source = 'currencylayer' AND base_currency = 'USD'"),
-    "all_rates": (("frank", "er", "cl"), """
-        SELECT rate_date, target_currency, exchange_rate AS rate, source FROM frank
-        UNION ALL SELECT rate_date, target_currency, exchange_rate, source FROM cl
-        UNION ALL SELECT rate_date, target_currency, exchange_rate, source FROM er"""),
-    "stats": (("all_rates",), """
-        SELECT rate_date, target_currency, MEDIAN(rate) AS consensus_rate,
-               COUNT(*) AS source_count,
-               string_agg(source || ':' || CAST(ROUND(rate, 4) AS VARCHAR), ', ' ORDER BY source)
-                 AS source_breakdown
-        FROM all_rates GROUP BY 1, 2"""),
-    "scored": (("stats",), """
-        SELECT s.*, f.exchange_rate AS frank_rate, e.exchange_rate AS exchangerate_rate,
-               c.exchange_rate AS currencylayer_rate,
-               ABS(f.exchange_rate - s.consensus_rate) / s.consensus_rate AS frank_dev,
-               ABS(e.exchange_rate - s.consensus_rate) / s.consensus_rate AS er_dev,
-               ABS(c.exchange_rate - s.consensus_rate) / s.consensus_rate AS cl_dev
-        FROM stats s
-        LEFT JOIN frank f USING (rate_date, target_currency)
-        LEFT JOIN er e USING (rate_date, target_currency)
-        LEFT JOIN cl c USING (rate_date, target_currency)"""),
+    "usd_quotes": (("stg",), """
+        SELECT *, exchange_rate AS rate FROM stg WHERE base_currency = 'USD'"""),
+    "agreed": (("usd_quotes",), """
+        SELECT rate_date, target_currency, MEDIAN(rate) AS consensus_rate, COUNT(*) AS source_count,
+               array_to_string(list_sort(list(source || ':' || CAST(ROUND(rate, 4) AS VARCHAR))), ', ')
+                 AS source_breakdown,
+               MAX(rate) FILTER (source = 'frankfurter') AS frank_rate,
+               MAX(rate) FILTER (source = 'exchangerate') AS exchangerate_rate,
+               MAX(rate) FILTER (source = 'currencylayer') AS currencylayer_rate
+        FROM usd_quotes GROUP BY 1, 2"""),
+    "scored": (("agreed",), """
+        SELECT *, ABS(frank_rate - consensus_rate) / consensus_rate AS frank_dev,
+               ABS(exchangerate_rate - consensus_rate) / consensus_rate AS er_dev,
+               ABS(currencylayer_rate - consensus_rate) / consensus_rate AS cl_dev
+        FROM agreed"""),
     "judged": (("scored",), """
         SELECT *, GREATEST(COALESCE(frank_dev, 0.0), COALESCE(er_dev, 0.0), COALESCE(cl_dev, 0.0))
                     AS variance_pct,
@@ -113,32 +105,17 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
           USING (rate_date, target_currency, base_currency)
         LEFT JOIN (SELECT * FROM per_source WHERE source = 'currencylayer') c
           USING (rate_date, target_currency, base_currency)"""),
-    "usd_keys": (("frank", "er", "cl"), """
-        SELECT rate_date, target_currency FROM frank
-        UNION SELECT rate_date, target_currency FROM er
-        UNION SELECT rate_date, target_currency FROM cl"""),
-    "fact": (("usd_keys", "consensus"), """
-        SELECT COALESCE(f.extraction_id, e.extraction_id, c.extraction_id) AS extraction_id,
-               COALESCE(f.extraction_timestamp, e.extraction_timestamp, c.extraction_timestamp)
-                 AS extraction_timestamp,
-               k.rate_date, 'USD/' || k.target_currency AS currency_pair,
-               'USD' AS base_currency, k.target_currency,
-               COALESCE(f.exchange_rate, e.exchange_rate, c.exchange_rate) AS exchange_rate,
-               COALESCE(f.inverse_rate, e.inverse_rate, c.inverse_rate) AS inverse_rate,
-               CASE WHEN f.exchange_rate IS NOT NULL THEN 'frankfurter'
-                    WHEN e.exchange_rate IS NOT NULL THEN 'exchangerate'
-                    ELSE 'currencylayer' END AS source,
-               CASE WHEN f.exchange_rate IS NOT NULL THEN 'primary'
-                    WHEN e.exchange_rate IS NOT NULL THEN 'secondary'
+    "best_usd": (("usd_quotes",), """
+        SELECT * FROM usd_quotes QUALIFY ROW_NUMBER() OVER (PARTITION BY rate_date, target_currency
+          ORDER BY list_position(['frankfurter', 'exchangerate', 'currencylayer'], source)) = 1"""),
+    "fact": (("best_usd", "consensus"), """
+        SELECT extraction_id, extraction_timestamp, rate_date, 'USD/' || target_currency AS currency_pair,
+               'USD' AS base_currency, target_currency, exchange_rate, inverse_rate, source,
+               CASE source WHEN 'frankfurter' THEN 'primary' WHEN 'exchangerate' THEN 'secondary'
                     ELSE 'tertiary' END AS source_tier,
                'VALIDATED' AS validation_status, 'OK' AS severity,
                CAST(0.0 AS DOUBLE) AS consensus_variance, 'fact_rates_validated' AS model_name
-        FROM usd_keys k
-        LEFT JOIN frank f USING (rate_date, target_currency)
-        LEFT JOIN er e USING (rate_date, target_currency)
-        LEFT JOIN cl c USING (rate_date, target_currency)
-        LEFT JOIN consensus a USING (rate_date, target_currency)
-        WHERE a.status IS NULL"""),
+        FROM best_usd ANTI JOIN consensus USING (rate_date, target_currency)"""),
     # Staging as produced from landed maps: newest record that quotes the currency.
     "landed_stg": (("landed",), """
         SELECT extraction_id, extraction_timestamp, source, source_tier, base_currency,
@@ -581,12 +558,12 @@ def oracle_sql() -> dict[str, str]:
             WHERE rate_date >= DATE '2024-01-17'""", "landed_stg"),
         # consensus
         "cons_union_sources": _sql(
-            f"SELECT rate_date, target_currency, {_r('rate')}, source FROM all_rates",
-            "all_rates"),
+            f"SELECT rate_date, target_currency, {_r('rate')}, source FROM usd_quotes",
+            "usd_quotes"),
         "cons_median": _sql(f"""SELECT rate_date, target_currency, {_r('consensus_rate')},
-            source_count FROM stats""", "stats"),
+            source_count FROM agreed""", "agreed"),
         "cons_breakdown": _sql(
-            "SELECT rate_date, target_currency, source_breakdown FROM stats", "stats"),
+            "SELECT rate_date, target_currency, source_breakdown FROM agreed", "agreed"),
         "cons_pivot_rates": _sql(f"SELECT {median_row} FROM scored", "scored"),
         "cons_deviation": _sql(f"""SELECT rate_date, target_currency,
             {_r('frank_dev', 'er_dev', 'cl_dev', 'variance_pct')} FROM judged""", "judged"),
