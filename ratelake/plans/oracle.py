@@ -463,11 +463,11 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT source, rate_date, {_OUTCOME} FROM fx_quotes) t
             WHERE outcome = 'OK' GROUP BY 1, 2""", quotes),
         "quarantine_responses": _sql(f"""
-            SELECT source, outcome, http_status_code, COUNT(*) + COUNT_IF(twice) AS responses
+            SELECT source, outcome, http_status_code, CAST(COUNT(*) + COUNT_IF(twice) AS BIGINT) AS responses
             FROM (SELECT source, {_STATUS}, {_OUTCOME}, second(extraction_timestamp) % 3 = 0 AS twice FROM fx_quotes) t
             WHERE outcome <> 'OK' GROUP BY 1, 2, 3""", quotes),
         "load_report": _sql("""
-            SELECT DATE '2024-01-20' AS rate_date, source, counted, lines FROM (
+            SELECT DATE '2024-01-20' AS rate_date, source, counted, CAST(lines AS BIGINT) AS lines FROM (
               SELECT source, COUNT(*) AS lines, 0 AS bad_line, 0 AS bad_key, COUNT_IF(other) AS other_source,
                 COUNT_IF(NOT other AND undated) AS bad_date, COUNT_IF(NOT other AND NOT undated AND NOT inside) AS outside_window,
                 COUNT_IF(NOT other AND NOT undated AND inside) AS records
@@ -757,7 +757,7 @@ def oracle_sql() -> dict[str, str]:
         # The first file comes twice: its second batch has no new record and is not told of.
         "stream_late_records": _sql("""
             SELECT concat('late_', extraction_id) AS extraction_id, source, base_currency, rate_date,
-                   count(*) OVER () AS late_rows, 5 AS batches
+                   count(*) OVER () AS late_rows, CAST(5 AS BIGINT) AS batches
             FROM fx_wide WHERE date_diff('day', (SELECT MIN(rate_date) FROM fx_wide), rate_date) < 18
               AND date_diff('day', (SELECT MIN(rate_date) FROM fx_wide), rate_date) % 11 = 0""", "fx_wide"),
         "stream_quota_meter": _sql(
