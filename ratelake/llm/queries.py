@@ -230,8 +230,8 @@ WITH RECURSIVE t AS ({CRC_TABLE}), k AS (
 ), r AS (
   SELECT *, blank OR again AS gone, CASE WHEN right(trimmed, 1) IN ('.', '!', '?') THEN 0 ELSE 1 END AS short FROM f
 ), facts AS (
-  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(blank) AS blank, count_if(again AND NOT blank) AS duplicate,
-    count_if(NOT gone AND short = 1) AS truncated, count_if(pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(blank)::BIGINT AS blank, count_if(again AND NOT blank)::BIGINT AS duplicate,
+    count_if(NOT gone AND short = 1)::BIGINT AS truncated, count_if(pair NOT IN ('su', 'ua', 'au'))::BIGINT AS illegal, count(*) AS n
   FROM r GROUP BY conv_id
 ), d AS (
   SELECT conv_id, n + 1 AS i, '000000000' AS v0, '000000004II' AS vs, '000000002I' AS vu, '000000000' AS va FROM facts
