@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratelake.llm.components import components
+from ratelake.llm.decontaminate import bit_table, slots
 from ratelake.llm.shared import small_batches, stored, tidy
 from ratelake.llm.words import mix64, text_buffers, window_hashes, word_blocks, words_of
 
@@ -213,13 +214,19 @@ def open_groups(docs: DataFrame, asked: DataFrame, members: DataFrame) -> DataFr
     queries = asked.join(lots, "g").select("g", F.col("q").alias("doc_id"), F.pmod(F.xxhash64("q"), F.col("lots")).cast("int").alias("lot"), F.lit(1).alias("kind"))
     rows = stored(wanted.unionByName(queries), "asked")
     ids = rows.select("doc_id").distinct()
+    # A bit table of fixed size keeps most texts that are not asked for out of the join.
+    table = bit_table(ids.select(F.xxhash64("doc_id").alias("seed")))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
+            slot = slots(batch.column(2).to_numpy().view(np.uint64))
+            batch = batch.filter(pa.array((table[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(pack_texts(batch.column(1)), pa.binary())], names=["doc_id", "packed"])
 
-    texts = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(ids, "doc_id", "left_semi").mapInArrow(tidy(pack), "doc_id long, packed binary")
-    texts = stored(texts.dropDuplicates(["doc_id", "packed"]), "texts")
+    texts = docs.where(F.col("text").isNotNull()).select("doc_id", "text", F.xxhash64("doc_id").alias("seed")).mapInArrow(tidy(pack), "doc_id long, packed binary")
+    # Grouped by what the join deals by, so that texts are dealt once.
+    texts = texts.join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.collect_set("packed").alias("all"))
+    texts = stored(texts.select("doc_id", F.explode("all").alias("packed")), "texts")
     dealt = rows.join(texts, "doc_id").repartition("g", "lot").sortWithinPartitions("g", "lot", "kind", "doc_id").select("g", "lot", "kind", "doc_id", "packed")
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -299,7 +306,7 @@ def similar_components(docs: DataFrame) -> DataFrame:
 
     nodes = stored(settled(names, stored(links, "salted")), "nodes")
     # Cells of the matrix whose shingle is found in two groups or more.
-    cells = grouped.where("prefix IS NOT NULL").select("doc_id", "n", "prefix").dropDuplicates(["doc_id", "prefix"]).join(nodes, "doc_id")
+    cells = grouped.where("prefix IS NOT NULL").select("doc_id", "n", "prefix").join(nodes, "doc_id")
     cells = cells.select(F.explode("prefix").alias("shingle"), "doc_id", "n", "leader")
     shared = cells.groupBy("shingle").agg(F.min("leader").alias("low"), F.max("leader").alias("high")).where("low < high").select("shingle")
     cells = stored(cells.select("shingle", "doc_id", "n").join(shared, "shingle"), "cells")
