@@ -5,7 +5,7 @@ from functools import cache
 import pytest
 
 from ratelake.llm.html_tree import parse
-from ratelake.llm.html_wrapper import TreeMatch, _matched, extract, induce, main_texts
+from ratelake.llm.html_wrapper import TreeMatch, _block_nodes, _matched, blocks, extract, induce, main_texts, sizes
 
 PAGES = "page_id long, url string, html string"
 
@@ -133,3 +133,54 @@ def test_odd_pages(spark):
     assert [text[i] for i in (0, 1, 2, 3, 6, 8, 9, 10, 11, 12)] == ["", "", "just text", "a b", "deep", "", "a b", "x", "", "c"]
     assert text[7] == " ".join(["word & more"] * 20_000) and not re.search(r"\s\s", text[7])
     assert main_texts(spark.createDataFrame(rows, "page_id long, url string, html string, host string, salt int").limit(0)).count() == 0
+
+
+def test_a_node_on_half_of_the_pages_is_template_wherever_it_is(spark):
+    """A box on two pages of three, at any place among the paragraphs: whichever pages are aligned, it goes from all."""
+    draw = random.Random(11)
+    made = []
+    for i in range(30):
+        told = [f"Story {i} line {j} of this page" for j in range(3 + i % 5)]
+        body = [f"<p>{t}</p>" for t in told]
+        if i % 3:
+            body.insert(draw.randint(0, len(body)), "<div><p>Join our club today</p></div>")
+        made.append(("".join(body), " ".join(told)))
+    assert texts(spark, [page(i, b) for i, (b, _) in enumerate(made)]) == [t for _, t in made]
+
+
+def test_template_is_counted_over_all_pages_of_a_large_host(spark):
+    """Against plain counts: lines on 150 and on 149 of 300 distinct pages, more than one part; copies count once."""
+    pages = [page(i, f"<p>Own {i}</p>" + ("<p>Half</p>" if i % 2 else "") + ("<p>Less</p>" if i % 2 and i > 1 else "")) for i in range(300)]
+    rows = [(i, "http://h.example/x", p) for i, p in enumerate(pages)] + [(300 + i, "http://h.example/x", pages[3]) for i in range(50)]
+    got = {r.page_id: r.text for r in main_texts(spark.createDataFrame(rows, PAGES).repartition(4)).collect()}
+    want = {i: f"Own {i}" + (" Less" if i % 2 and i > 1 else "") for i in range(300)}
+    assert got == want | {300 + i: "Own 3 Less" for i in range(50)}
+
+
+@pytest.mark.parametrize("order", range(3))
+def test_main_slot_is_that_of_most_pages(spark, order):
+    """Some pages have another layout; whichever hash is smallest, the host's main slot is that of the many."""
+
+    def many(i):
+        return f"<div class=a><p>Number {order}{i}</p></div><div class=b><p>Story {order}{i} " + "that goes on and on " * (5 + i) + "</p></div>"
+
+    odd = [f"<div class=a><p>Contents {order}{i} " + "with a long list of titles " * (i + 20) + "</p></div>" for i in range(6)]
+    pages = [f"<body>{b}</body>" for b in [many(i) for i in range(14)] + odd]
+    got = texts(spark, pages)
+    assert all(t.startswith(f"Story {order}{i} ") for i, t in enumerate(got[:14]))
+    assert all(t.startswith("Contents") for t in got[14:])
+
+
+def test_sizes_are_those_of_blocks():
+    draw = random.Random(7)
+    tags = ["div", "p", "ul", "span", "b", "nav", "article", "div class=ad", "br", "aside"]
+
+    def tree(depth=0):
+        tag = draw.choice(tags)
+        inner = "".join(draw.choice(["", " a ", "bc\n"]) + tree(depth + 1) for _ in range(draw.randint(0, 5 - depth))) if depth < 5 else ""
+        return f"<{tag}>{draw.choice(['', ' x', 'y  z '])}{inner}</{tag.split()[0]}>"
+
+    for _ in range(200):
+        root = parse("".join(tree() for _ in range(4)))
+        found = sizes(root)
+        assert all(found.get(id(n), 0) == sum(map(len, blocks(n))) for n in [root, *_block_nodes(root)])
