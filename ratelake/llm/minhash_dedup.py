@@ -16,6 +16,7 @@ A document's set holds its distinct two-word shingles as 64-bit hashes; document
    share a bucket and are still apart are compared last: the nodes of the smaller one against all of the larger one,
    and the nodes of buckets with very many components, block by block.  Only links and the nodes of surviving pairs are
    ever written, never all pairs of a bucket, and one link between two components is enough.
+5. Bucket rows and lots are joined by sort and merge (``merged``), so the driver never holds them for a broadcast.
 
 Null and empty texts have an empty set, no links and themselves as component.  A null doc_id gets a null
 component and counts as kept.  Rows that repeat a doc_id are one node: it links where any of them links, and each
@@ -150,6 +151,15 @@ def signed(docs: DataFrame) -> DataFrame:
     return docs.selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "text").mapInArrow(tidy(sign), _SIGNED)
 
 
+def merged(many: DataFrame, other: DataFrame, key: str) -> DataFrame:
+    """``many`` joined with ``other`` by sort and merge.
+
+    Spark's size of rows that explode or mapInArrow multiply is that of the rows they came from, so it would gather
+    millions of them in the driver to broadcast them.
+    """
+    return many.join(other.hint("merge"), key)
+
+
 def bands(distinct: DataFrame) -> DataFrame:
     """(key, node): the buckets of every set."""
 
@@ -248,12 +258,12 @@ def links_between(groups: DataFrame, distinct: DataFrame, docs: DataFrame) -> Da
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["a", "b"])
 
-    sides = groups.join(distinct.select("node", "n", "signature"), "node").select(*names, "n", "signature")
+    sides = merged(groups, distinct.select("node", "n", "signature"), "node").select(*names, "n", "signature")
     left = stored(_dealt(sides).mapInArrow(tidy(prune), keys), "plausible")
     texts = docs.where("text IS NOT NULL").selectExpr("CAST(doc_id AS BIGINT) AS node", "text")
     texts = texts.join(left.select("node").distinct(), "node", "left_semi").mapInArrow(tidy(pack), "node long, packed binary")
     texts = texts.groupBy("node").agg(F.collect_set("packed").alias("all")).select("node", F.explode("all").alias("packed"))
-    return stored(_dealt(left.join(texts, "node").select(*names, "packed")).mapInArrow(tidy(verify), "a long, b long"), "links")
+    return stored(_dealt(merged(texts, left, "node").select(*names, "packed")).mapInArrow(tidy(verify), "a long, b long"), "links")
 
 
 def relabelled(nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -279,7 +289,7 @@ def against(asked: DataFrame, nodes: DataFrame, members: DataFrame) -> DataFrame
     every = lambda name: F.explode(F.sequence(F.lit(0).cast("long"), F.col(name) - 1))
     side0 = asked.join(sizes, "g").withColumn("row", block("rows")).withColumn("column", every("columns")).select("g", lot.alias("lot"), F.lit(0).alias("side"), "node")
     side1 = members.join(sizes, "g").withColumn("column", block("columns")).withColumn("row", every("rows")).select("g", lot.alias("lot"), F.lit(1).alias("side"), "node")
-    return side0.unionByName(side1).join(nodes, "node")
+    return merged(side0.unionByName(side1), nodes, "node")
 
 
 def star(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -318,7 +328,7 @@ def each_with_each(crowded: DataFrame, nodes: DataFrame, count: int) -> DataFram
     low, high = F.least("mine", "other"), F.greatest("mine", "other")
     first = dealt.where("mine <= other").select(low.alias("g"), high.alias("lot"), F.lit(0).alias("side"), "node")
     second = dealt.where("mine >= other").select(low.alias("g"), high.alias("lot"), F.lit(1).alias("side"), "node")
-    return first.unionByName(second).join(nodes, "node")
+    return merged(first.unionByName(second), nodes, "node")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -332,7 +342,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     every = bands(distinct)
     shared = every.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("most")).where("low < most").select("key", "low")
-    cells = stored(every.join(shared, "key"), "cells")
+    cells = stored(merged(every, shared, "key"), "cells")
     nodes = distinct.select("node", F.col("node").alias("label")).distinct()
 
     pairs = stored(cells.where("node <> low").select("node", "low").distinct(), "pairs")

@@ -61,6 +61,37 @@ def test_against_brute_force(documents, monkeypatch, seed, side, paired):
     assert got(md.near_duplicates(documents(*rows))) == brute(rows)
 
 
+def under(plan, name):
+    """The lines of ``plan`` below each node ``name``."""
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    lines, found = plan.split("\n"), []
+    for i, line in enumerate(lines):
+        if line.lstrip(" :+-").startswith(name):
+            end = next((j for j in range(i + 1, len(lines)) if depth(lines[j]) <= depth(line)), len(lines))
+            found.append("\n".join(lines[i:end]))
+    return found
+
+
+def test_rows_that_multiply_are_not_broadcast(spark, documents, monkeypatch, tmp_path):
+    """Bucket rows and lots come from small tables and are many; the driver must not hold them, first or replanned."""
+    rows, plans, store = corpus(2), [], md.stored
+
+    def stored(df, name):
+        df.collect()
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return store(df, name)
+
+    documents(*rows).write.parquet(f"{tmp_path}/documents")
+    monkeypatch.setattr(md, "SIDE", 4)
+    monkeypatch.setattr(md, "PAIRED", 1)
+    monkeypatch.setattr(md, "stored", stored)
+    assert int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold").removesuffix("b")) >= 10 << 20
+    assert got(md.near_duplicates(spark.read.parquet(f"{tmp_path}/documents"))) == brute(rows)
+    assert sum("Generate explode(" in p for p in plans) >= 4 and sum("MapInArrow" in p for p in plans) >= 9
+    sent = [x for p in plans for x in under(p, "BroadcastExchange")]
+    assert sent and not [x for x in sent if "Generate" in x or "MapInArrow" in x]
+
+
 def test_a_third_of_all_rows_in_one_group_of_copies(documents):
     draw = random.Random(4)
     base = [f"w{i}" for i in range(80)]
